@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .wordlists import ENDINGS, IS_HOSTS, WHOLE_WORDS
+from .binding import let
+from .wordlists import ENDINGS, IS_HOSTS, SLANG, WHOLE_WORDS
 
 # White space as the training texts were split on: Unicode spaces and the four separator
 # controls, which java.util.regex leaves out of \s even in Unicode mode.
-_SPACE = r"[\s\x1c-\x1f]"
-_URL = r"http[^\s\x1c-\x1f]+"
+_SPACES = r"(?U)[\s\x1c-\x1f]+"
+_URL = r"(?U)http[^\s\x1c-\x1f]+"
 _WORD_CHAR = r"[\p{L}\p{N}_]"
 
 
@@ -47,7 +48,7 @@ def profile(name: str) -> Profile:
 
 def split_words(col: Column) -> Column:
     """White-space words of a text, none of them empty."""
-    return F.filter(F.split(col, f"(?U){_SPACE}+", -1), lambda w: w != "")
+    return F.filter(F.split(col, _SPACES, -1), lambda w: w != "")
 
 
 def token_count(col: Column) -> Column:
@@ -62,15 +63,12 @@ def clean(col: Column, name: str = "serving", stopwords: Iterable[str] = ()) ->
     (:func:`expand_contractions`), since dictionaries differ between corpora.
     """
     p = profile(name)
-    junk = f"[^a-zA-Z0-9{p.keep}]"
-    if p.url == " ":
-        out = F.regexp_replace(col, f"(?U){_URL}|{junk}", " ")
-    else:
-        out = F.regexp_replace(F.regexp_replace(col, f"(?U){_URL}", p.url), junk, " ")
+    # \p{Alnum} is ASCII here. Spaces are junk too, so each run leaves one space behind.
+    out = F.regexp_replace(F.regexp_replace(col, _URL, p.url), rf"[^\p{{Alnum}}{p.keep}]+", " ")
     out = F.lower(out)
     if p.drop_stopwords:
-        return F.array_join(without_words(split_words(out), stopwords), " ")
-    return F.regexp_replace(out, " +", " ")
+        return F.array_join(without_words(F.split(out, " ", -1), ["", *stopwords]), " ")
+    return out
 
 
 def expand_contractions(
@@ -81,20 +79,26 @@ def expand_contractions(
 ) -> Column:
     """Write contractions out (``they're`` -> ``they are``), curly apostrophes included.
 
-    The rewrites run only on texts in which something is there to rewrite.
+    Texts without an apostrophe pass through, and each rewrite runs only where its letters
+    occur. Slang without apostrophes is left to the token dictionary.
     """
-    text = F.replace(col, F.lit("’"), F.lit("'"))
-    edge_l, edge_r = f"(?<!{_WORD_CHAR})", f"(?!{_WORD_CHAR})"
-    listed = "|".join(whole_words)
-    out = text
-    for word, full in whole_words.items():
-        out = F.regexp_replace(out, f"(?i){edge_l}{word}{edge_r}", full)
-    text = F.when(text.rlike(f"(?i){edge_l}({listed}){edge_r}"), out).otherwise(text)
-    out = text
-    for ending, full in endings.items():
-        out = F.regexp_replace(out, f"(?i)(?<=[a-z]){ending}{edge_r}", full)
-    out = F.regexp_replace(out, f"(?i){edge_l}({'|'.join(is_hosts)})'s{edge_r}", "$1 is")
-    return F.when(text.contains("'"), out).otherwise(text)
+    left, right = f"(?<!{_WORD_CHAR})", f"(?!{_WORD_CHAR})"
+    rules = [(word, f"(?i){left}{word}{right}", full) for word, full in whole_words.items()]
+    rules += [(end, f"(?i)(?<=[a-z]){end}{right}", full) for end, full in endings.items()]
+    rules.append(("'s", f"(?i){left}({'|'.join(is_hosts)})'s{right}", "$1 is"))
+
+    def step(text: Column, low: Column, letters: str, pattern: str, full: str) -> Column:
+        return let(text, lambda t: F.when(
+            low.contains(letters), F.regexp_replace(t, pattern, full)).otherwise(t))
+
+    def rewrite(text: Column, low: Column) -> Column:
+        for rule in rules:
+            text = step(text, low, *rule)
+        return text
+
+    return let(F.replace(col, F.lit("’"), F.lit("'")), lambda text: F.when(
+        text.contains("'"), let(F.lower(text), lambda low: rewrite(text, low))
+    ).otherwise(text))
 
 
 def tokens(col: Column) -> Column:
@@ -133,6 +137,8 @@ def normalize(
     stopwords: Iterable[str] = (),
 ) -> Column:
     """The whole chain: contractions (if the profile wants them), clean, tokens, lemmas, joined."""
+    words = dict(lemmas or {})
     if profile(name).contractions:
         col = expand_contractions(col)
-    return F.array_join(replace_tokens(tokens(clean(col, name, stopwords)), lemmas or {}), " ")
+        words.update(SLANG)
+    return F.array_join(replace_tokens(tokens(clean(col, name, stopwords)), words), " ")

@@ -15,7 +15,7 @@ STOPWORDS = tuple(
     """.split()
 )
 
-# Contractions that are not regular, and slang, as whole words.
+# Contractions that are not regular, as whole words.
 WHOLE_WORDS = {
     "can't": "can not",
     "won't": "will not",
@@ -24,6 +24,10 @@ WHOLE_WORDS = {
     "let's": "let us",
     "y'all": "you all",
     "ma'am": "madam",
+}
+
+# Contracted words without an apostrophe.
+SLANG = {
     "bc": "because",
     "wanna": "want to",
     "gonna": "going to",

@@ -16,14 +16,6 @@ from .periods import period_number
 TABLE_LABELS = ("negative", "neutral", "positive")
 
 
-def _labelled(
-    df: DataFrame, ts_col: str, label_col: str, period: str, labels: Sequence[str]
-) -> DataFrame:
-    return df.select(
-        period_start(F.col(ts_col), period).alias("period_date"), F.col(label_col).alias("label")
-    ).where(F.col("period_date").isNotNull() & F.col("label").isin(list(labels)))
-
-
 def label_pivot(
     df: DataFrame,
     ts_col: str = "comment_created",
@@ -34,12 +26,17 @@ def label_pivot(
     """One row per period: its number and start, one count per label, and their total.
 
     Conditional counts need one shuffle of already combined rows, and the label list fixes the
-    schema. The period number is taken after the aggregation, on one row per period.
+    schema. Other labels are sorted out by the counting rather than by a filter, which would
+    compute the label twice. The period number is taken on one row per period.
     """
-    counts = _labelled(df, ts_col, label_col, period, labels).groupBy("period_date").agg(
-        *[F.count_if(F.col("label") == name).alias(name) for name in labels],
-        F.count(F.lit(1)).alias("total"),
+    dated = df.select(
+        period_start(F.col(ts_col), period).alias("period_date"), F.col(label_col).alias("label")
+    ).where(F.col("period_date").isNotNull())
+    counts = dated.groupBy("period_date").agg(
+        *[F.count_if(F.col("label") == name).alias(name) for name in labels]
     )
+    each = [F.col(name) for name in labels]
+    counts = counts.withColumn("total", sum(each[1:], each[0])).where(F.col("total") > 0)
     return counts.select(period_number().alias("period_int"), "period_date", *labels, "total")
 
 
@@ -55,12 +52,9 @@ def label_counts(
 
     A label absent from a period has no row, unless ``zero_fill`` asks for one with 0.
     """
-    if zero_fill:
-        wide = label_pivot(df, ts_col, label_col, period, labels)
-        return wide.unpivot(["period_int", "period_date"], list(labels), "label", "n")
-    counts = _labelled(df, ts_col, label_col, period, labels)
-    counts = counts.groupBy("period_date", "label").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(period_number().alias("period_int"), "period_date", "label", "n")
+    wide = label_pivot(df, ts_col, label_col, period, labels)
+    long = wide.unpivot(["period_int", "period_date"], list(labels), "label", "n")
+    return long if zero_fill else long.where(F.col("n") > 0)
 
 
 def word_counts(df: DataFrame, text_col: str = "clean_text") -> DataFrame:
@@ -104,8 +98,9 @@ def _length_counts(df: DataFrame, text_col: str) -> DataFrame:
 
     Doubles from here on, so that no decimal arithmetic creeps in.
     """
-    lengths = df.select(token_count(F.col(text_col)).cast("double").alias("len"))
-    return lengths.where(F.col("len").isNotNull()).groupBy("len").agg(F.count(F.lit(1)).alias("n"))
+    texts = df.where(F.col(text_col).isNotNull())
+    lengths = texts.select(token_count(F.col(text_col)).cast("double").alias("len"))
+    return lengths.groupBy("len").agg(F.count(F.lit(1)).alias("n"))
 
 
 def length_hist(df: DataFrame, text_col: str = "clean_text", bins: int = 30) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.binding import once_where
 from ..functions.hashing import in_fraction, key_hash
 from ..functions.text import token_count
 from ..settle import settle
@@ -18,8 +19,7 @@ _EDGE_HEX = 5
 
 def length_filter(df: DataFrame, text_col: str = "text", lo: int = 2, hi: int = 1000) -> DataFrame:
     """Keep texts of ``lo`` to ``hi`` white-space tokens; adds ``text_len``."""
-    sized = df.withColumn("text_len", token_count(F.col(text_col)))
-    return sized.where(F.col("text_len").between(lo, hi))
+    return once_where(df, "text_len", token_count(F.col(text_col)), lambda n: n.between(lo, hi))
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: str | int) -> DataFrame:

@@ -20,9 +20,10 @@ def build_vocab(df: DataFrame, tokens_col: str, size: int = 30_522) -> DataFrame
 
     Ids are numbered after the cut, on at most ``size`` rows.
     """
-    counts = df.select(F.explode(tokens_col).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    # a plain explode would have the optimizer test the array for emptiness first, by
+    # tokenising the text once more
+    words = df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull())
+    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     best = [F.desc("n"), F.asc("token")]
     kept = counts.orderBy(*best).limit(size - len(SPECIALS))
     rank = F.row_number().over(W.orderBy(*best))

@@ -60,7 +60,7 @@ def _ngrams(words: Column, size: int, field: int) -> Column:
     last = F.size(words) - size
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
         F.lit(field).alias("field"), i.alias("start"), F.lit(size).alias("size"),
-        F.array_join(F.slice(words, i + 1, size), " ").alias("phrase"),
+        F.concat_ws(" ", *[words[i + k] for k in range(size)]).alias("phrase"),
     ))).otherwise(F.array().cast("array<struct<field:int,start:int,size:int,phrase:string>>"))
 
 

@@ -10,8 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..functions.labels import SENTIMENTS, decode
 from ..functions.vectors import argmax, confidence, softmax
+from ..session import ship_package
 
 
 class Scorer(Protocol):
@@ -39,6 +41,7 @@ def score(df: DataFrame, scorer: Scorer, input_col: str = "clean_text") -> DataF
     Only ``input_col`` travels to Python, in Arrow batches of bounded size
     (``spark.sql.execution.arrow.maxRecordsPerBatch``); the other columns stay where they are.
     """
+    ship_package(df.sparkSession)
 
     @F.pandas_udf("array<double>")
     def logits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -56,13 +59,15 @@ def word_logits(
 
     Repeated words count each time. A hashed test drops unweighted words before any lookup.
     """
-    known = F.filter(words, lambda w: w.isin(list(weights)))
 
-    def logit(c: int) -> Column:
+    def logit(known: Column, c: int) -> Column:
         table = F.create_map(*[x for w, v in weights.items() for x in (F.lit(w), F.lit(float(v[c])))])
         return F.aggregate(known, F.lit(float(bias[c])), lambda acc, w: acc + table[w])
 
-    return F.array(*[logit(c) for c in range(len(bias))])
+    return let(
+        F.filter(words, lambda w: w.isin(list(weights))),
+        lambda known: F.array(*[logit(known, c) for c in range(len(bias))]),
+    )
 
 
 def with_predictions(

@@ -30,8 +30,10 @@ class Fitted:
         """Add ``logits``; refuses texts cleaned under another profile."""
         if profile != self.profile:
             raise ValueError(f"model was trained on {self.profile!r} texts, not {profile!r}")
-        scored = self.model.transform(df)
-        return scored.select(*df.columns, vector_to_array("rawPrediction").alias("logits"))
+        scored = self.model.transform(df).withColumn("_z", vector_to_array("rawPrediction"))
+        # a class that no training row had gets a logit no other falls below
+        absent = F.array_repeat(F.lit(-1e30), F.lit(len(self.names)) - F.size("_z"))
+        return scored.select(*df.columns, F.concat("_z", absent).alias("logits"))
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import once
 from ..functions.text import normalize
 from ..functions.wordlists import SEED_LEMMAS, STOPWORDS
 from ..operators.aggregates import label_counts, label_pivot, length_density, length_hist, top_words
@@ -46,8 +47,7 @@ def enrich(
     lemmas: Mapping[str, str] = SEED_LEMMAS,
 ) -> DataFrame:
     """Add clean text, logits, class and label to comments."""
-    text = normalize(F.col("comment_text"), profile, lemmas)
-    cleaned = comments.withColumn("clean_text", text)
+    cleaned = once(comments, clean_text=normalize(F.col("comment_text"), profile, lemmas))
     return with_predictions(cleaned.withColumn("logits", logits(F.col("clean_text"))))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ...sources.tables import widen
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -31,6 +33,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return widen(table(spark, sf, "documents"), "doc_id")
+
+
 # Events stand in for dated, labelled comments.
 LABEL_SQL = """CASE WHEN event_type = 'error' THEN 'negative'
     WHEN event_type IN ('purchase', 'signup') THEN 'positive' ELSE 'neutral' END"""
@@ -57,10 +63,10 @@ TEXTS_SQL = """texts AS (
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").select(
+    pages = widen(table(spark, sf, "pages"), "page_id").select(
         (-1 - F.col("page_id")).alias("id"), F.concat("html", F.lit(" "), "url", F.lit(" seen")).alias("text")
     )
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text").unionByName(pages)
+    return documents(spark, sf).select(F.col("doc_id").alias("id"), "text").unionByName(pages)
 
 
 # Embeddings stand in for logits (their first three cells) and classes (label modulo 3).

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions import text as T
-from ...functions.wordlists import ENDINGS, IS_HOSTS, SEED_LEMMAS, STOPWORDS, WHOLE_WORDS
+from ...functions.wordlists import ENDINGS, IS_HOSTS, SEED_LEMMAS, SLANG, STOPWORDS, WHOLE_WORDS
 from ...operators.datasets import length_filter
 from ...operators.lexicon import apply_lexicon, drop_listed
-from .base import TEXTS_SQL, query, quoted, table, texts, words_sql
+from .base import TEXTS_SQL, documents, query, quoted, table, texts, words_sql
 
 
 def _keep(name: str) -> str:
@@ -111,17 +111,19 @@ def expand_sql(text: str) -> str:
 )
 def expand(spark, sf):
     out = T.expand_contractions(_with_apostrophes(F.col("text")))
-    return table(spark, sf, "documents").select("doc_id", out.alias("expanded"))
+    return documents(spark, sf).select("doc_id", out.alias("expanded"))
 
 
-def lemma_sql(token: str) -> str:
-    pairs = ", ".join(f"'{k}': '{v}'" for k, v in SEED_LEMMAS.items())
+def lemma_sql(token: str, slang: bool) -> str:
+    listed = {**SEED_LEMMAS, **SLANG} if slang else SEED_LEMMAS
+    pairs = ", ".join(f"'{k}': '{v}'" for k, v in listed.items())
     return f"coalesce(MAP {{{pairs}}}[{token}], {token})"
 
 
 def normalize_sql(text: str, name: str) -> str:
-    cleaned = clean_sql(expand_sql(text) if name in ("serving", "batch") else text, name)
-    return f"array_to_string(list_transform({tokens_sql(cleaned)}, lambda t: {lemma_sql('t')}), ' ')"
+    serving = name in ("serving", "batch")
+    cleaned = clean_sql(expand_sql(text) if serving else text, name)
+    return f"array_to_string(list_transform({tokens_sql(cleaned)}, lambda t: {lemma_sql('t', serving)}), ' ')"
 
 
 @query(
@@ -130,7 +132,7 @@ def normalize_sql(text: str, name: str) -> str:
 )
 def normalize_batch(spark, sf):
     out = T.normalize(_with_apostrophes(F.col("text")), "batch", SEED_LEMMAS)
-    return table(spark, sf, "documents").select("doc_id", out.alias("clean_text"))
+    return documents(spark, sf).select("doc_id", out.alias("clean_text"))
 
 
 # A dictionary table read off the conversations: words in -s lose the s, words in -nd split.
@@ -163,7 +165,7 @@ def lexicon(spark, sf):
 )
 def lexicon_normalize(spark, sf):
     words = T.tokens(T.clean(F.col("text"), "training")).alias("w")
-    rows = table(spark, sf, "documents").select("doc_id", words)
+    rows = documents(spark, sf).select("doc_id", words)
     out = apply_lexicon(rows, "doc_id", "w", lexicon(spark, sf))
     return out.select("doc_id", F.array_join("w", " ").alias("clean_text"))
 
@@ -180,5 +182,5 @@ def lexicon_normalize(spark, sf):
 )
 def listed_words(spark, sf):
     listed = table(spark, sf, "benchmark").select(F.explode(T.split_words(F.lower("text"))).alias("word"))
-    rows = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("kept"))
+    rows = documents(spark, sf).select("doc_id", F.lower("text").alias("kept"))
     return drop_listed(rows, "doc_id", "kept", listed.distinct())

@@ -11,10 +11,10 @@ from ...operators.topn import drop_stickied, top_n_per_post, top_posts
 from ...plans.batch_job import CLEANED, cleaned_comments
 from ...plans.dashboard import comment_report
 from ...sources.feed import flatten_posts, join_posts
-from .base import query, quoted, table
+from ...sources.tables import widen
+from .base import documents, query, quoted, table, words_sql
 from .cleaning import normalize_sql
 from .scores import _NAME_SQL, class_sql, text_logits, word_logits_sql
-from .base import words_sql
 
 
 @query(
@@ -70,7 +70,7 @@ def flatten(spark, sf):
     made = F.lit(1704067200) + F.col("doc_id")
     lines = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(
         i.alias("rank"), line.alias("body"), (made + i).alias("created_utc"), (i == 0).alias("stickied")))
-    posts = table(spark, sf, "documents").select(
+    posts = documents(spark, sf).select(
         F.col("doc_id").cast("string").alias("post_id"), F.col("source").alias("title"),
         F.col("text").alias("selftext"), made.alias("created_utc"), lines.alias("comments"),
     )
@@ -127,14 +127,14 @@ def gazetteer(spark, sf):
     FROM documents LEFT JOIN lists USING (doc_id)""",
 )
 def entity_extract(spark, sf):
-    found = extract(table(spark, sf, "documents"), "doc_id", ["text"], gazetteer(spark, sf))
+    found = extract(documents(spark, sf), "doc_id", ["text"], gazetteer(spark, sf))
     return found.select("doc_id", F.array_join("named_entities", "|").alias("entities"),
                         F.size("named_entities").alias("n"))
 
 
 @query("entity_counts", f"WITH {_GAZETTEER_SQL} SELECT phrase, type, count(*) AS n FROM whole GROUP BY ALL")
 def counts(spark, sf):
-    return entity_counts(mentions(table(spark, sf, "documents"), "doc_id", ["text"], gazetteer(spark, sf)))
+    return entity_counts(mentions(documents(spark, sf), "doc_id", ["text"], gazetteer(spark, sf)))
 
 
 # A small phrase list; DATE is not a reported type.
@@ -168,7 +168,7 @@ def _phrases_sql(text: str, key: str, source: str) -> str:
 )
 def entity_inline(spark, sf):
     found = mentions_in(F.col("text"), PHRASES)
-    return table(spark, sf, "documents").select("doc_id", F.array_join(found, "|").alias("entities"))
+    return documents(spark, sf).select("doc_id", F.array_join(found, "|").alias("entities"))
 
 
 # Documents as posts, conversation turns as their comments, dated by an event.
@@ -177,7 +177,7 @@ _REPORT_SQL = """c AS (SELECT conv_id * 8 + turn AS comment_id, conv_id AS post_
 
 
 def _posts(spark, sf):
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").alias("post_id"),
         F.concat(F.initcap("lang"), F.lit(" The "), "source").alias("post_title"),
         F.col("text").alias("post_text"),
@@ -185,7 +185,7 @@ def _posts(spark, sf):
 
 
 def _comments(spark, sf):
-    turns = table(spark, sf, "conversations").withColumn("comment_id", F.col("conv_id") * 8 + F.col("turn"))
+    turns = widen(table(spark, sf, "conversations"), "conv_id", "turn").withColumn("comment_id", F.col("conv_id") * 8 + F.col("turn"))
     times = table(spark, sf, "events").select(F.col("event_id").alias("comment_id"), F.col("ts").alias("comment_created"))
     return turns.join(times, "comment_id").select(
         "comment_id", F.col("conv_id").alias("post_id"), F.col("text").alias("comment_text"), "comment_created"

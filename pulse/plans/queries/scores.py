@@ -10,7 +10,7 @@ from ...functions.text import clean, split_words
 from ...functions.vectors import argmax, confidence, linear, one_hot, softmax
 from ...operators.evaluate import best_run, last_is_best, metrics, report
 from ...operators.scoring import score, score_frame, with_predictions, word_logits
-from .base import LOGITS_SQL, logits, query, table, words_sql
+from .base import LOGITS_SQL, documents, logits, query, table, words_sql
 from .cleaning import clean_sql
 
 _NAME_SQL = "CASE {y} WHEN 0 THEN 'neutral' WHEN 1 THEN 'positive' WHEN 2 THEN 'negative' END"
@@ -153,7 +153,7 @@ def class_sql(z: str) -> str:
     FROM scored""",
 )
 def score_words(spark, sf):
-    rows = table(spark, sf, "documents").withColumn("clean_text", clean(F.col("text"), "serving"))
+    rows = documents(spark, sf).withColumn("clean_text", clean(F.col("text"), "serving"))
     out = with_predictions(rows.withColumn("logits", text_logits(F.col("clean_text"))))
     return out.select("doc_id", "class_predictions", "sentiment_labels")
 
@@ -164,7 +164,7 @@ def score_words(spark, sf):
     round(p[3], 6) AS negative, round(list_max(p), 6) AS "Overall_Score" FROM probs JOIN documents ON doc_id = vec_id""",
 )
 def frame(spark, sf):
-    text = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    text = documents(spark, sf).select(F.col("doc_id").alias("row_id"), "text")
     scores = logits(spark, sf).select(F.col("vec_id").alias("row_id"), F.col("z").alias("logits"))
     out = score_frame(text, scores, "row_id", SENTIMENTS)
     return out.select("row_id", "Text", *[F.round(c, 6).alias(c) for c in (*SENTIMENTS, "Overall_Score")])

@@ -8,12 +8,12 @@ from ...functions.text import clean, tokens
 from ...operators.datasets import exact_sample, exact_split, hash_sample, split
 from ...operators.encoding import build_vocab, encode
 from ...plans.training import train_and_evaluate, training_rows
-from .base import query, table, words_sql
+from .base import documents, query, table, words_sql
 from .cleaning import clean_sql, tokens_sql
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "lang")
+    return documents(spark, sf).select("doc_id", "lang")
 
 
 def _below(seed: str, fraction: float) -> str:
@@ -80,7 +80,7 @@ _VOCAB_SQL = f"""words AS (SELECT doc_id, {tokens_sql(clean_sql('text', 'trainin
 
 def _tokens(spark, sf):
     out = tokens(clean(F.col("text"), "training"))
-    return table(spark, sf, "documents").select("doc_id", out.alias("w"))
+    return documents(spark, sf).select("doc_id", out.alias("w"))
 
 
 @query("build_vocab", f"WITH {_VOCAB_SQL} SELECT token, id, n FROM vocab")
@@ -119,7 +119,7 @@ _SENTIMENT_SQL = "CASE WHEN toxic = 1 THEN -1 ELSE quality END"
 def _labelled(spark, sf):
     labels = table(spark, sf, "labels")
     sentiment = F.when(F.col("toxic") == 1, -1).otherwise(F.col("quality")).alias("sentiment")
-    return table(spark, sf, "documents").select("doc_id", "text").join(
+    return documents(spark, sf).select("doc_id", "text").join(
         labels.select("doc_id", sentiment), "doc_id"
     )
 

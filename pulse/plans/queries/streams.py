@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...functions.wordlists import SLANG
 from ...streaming.live import drain, monthly_rollup, stream_label_counts, stream_score, table_stream
 from .base import COMMENTS_SQL, label_of, query, table, words_sql
 from .cleaning import clean_sql, expand_sql, tokens_sql
@@ -14,7 +15,9 @@ def _stream(spark, sf, name):
     return table_stream(spark, sf, table(spark, sf, name).schema, f"{name}.parquet")
 
 
-_CLEAN = f"array_to_string({tokens_sql(clean_sql(expand_sql('text'), 'serving'))}, ' ')"
+_SLANG = "CASE t " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SLANG.items()) + " ELSE t END"
+_CLEAN = f"""array_to_string(list_transform({tokens_sql(clean_sql(expand_sql('text'), 'serving'))},
+    lambda t: {_SLANG}), ' ')"""
 
 
 @query(

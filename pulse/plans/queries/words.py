@@ -8,12 +8,12 @@ from ...functions.text import clean, split_words
 from ...functions.wordlists import STOPWORDS
 from ...operators.aggregates import length_density, length_hist, top_words, word_counts
 from ...operators.lexicon import lemma_counts, unlisted_words
-from .base import TEXTS_SQL, query, quoted, table, texts, words_sql
+from .base import TEXTS_SQL, documents, query, quoted, table, texts, words_sql
 from .cleaning import LEXICON_SQL, clean_sql, lexicon
 
 
 def _cleaned(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", clean(F.col("text"), "serving").alias("clean_text"))
+    return documents(spark, sf).select("doc_id", clean(F.col("text"), "serving").alias("clean_text"))
 
 
 _WORDS = f"SELECT unnest({words_sql(clean_sql('text', 'serving'))}) AS word FROM documents"

@@ -8,12 +8,14 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import once
 from ..functions.labels import SENTIMENTS, encode_labels
 from ..functions.text import normalize
 from ..operators.datasets import length_filter, split
 from ..operators.evaluate import metrics, report
 from ..operators.scoring import with_predictions
 from ..operators.train import Fitted, fit
+from ..settle import settle
 
 PROFILE = "training"
 
@@ -22,7 +24,7 @@ def training_rows(
     df: DataFrame, key: str, seed: str | int, lemmas: Mapping[str, str] | None = None
 ) -> DataFrame:
     """``df(key, text, sentiment)`` cleaned, without length outliers, coded and split."""
-    cleaned = df.withColumn("clean_text", normalize(F.col("text"), PROFILE, lemmas))
+    cleaned = once(df, clean_text=normalize(F.col("text"), PROFILE, lemmas))
     coded = length_filter(cleaned, "clean_text").withColumn("label", encode_labels(F.col("sentiment")))
     return split(coded.where(F.col("label").isNotNull()), key, seed)
 
@@ -30,7 +32,11 @@ def training_rows(
 def train_and_evaluate(
     rows: DataFrame, estimator: Estimator | None = None
 ) -> tuple[Fitted, DataFrame, DataFrame]:
-    """Fit on the train rows; overall metrics and class report on the test rows."""
+    """Fit on the train rows; overall metrics and class report on the test rows.
+
+    Fitting passes over its rows many times, so they are cleaned once and written first.
+    """
+    rows = settle(rows.select("clean_text", "label", "split"), "training")
     fitted = fit(rows.where(F.col("split") == "train"), PROFILE, estimator=estimator)
     held = with_predictions(fitted.predict(rows.where(F.col("split") == "test"), PROFILE))
     return (

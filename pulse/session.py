@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +46,21 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="pulse-")
     return f"{root.rstrip('/')}/pulse/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Only Python scorers need it, and only where the package is not installed on the executors.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    home = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="pulse-")) / home.name
+    archive = shutil.make_archive(str(base), "zip", root_dir=home.parent, base_dir=home.name)
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)

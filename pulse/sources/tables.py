@@ -1,0 +1,15 @@
+"""Scans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def widen(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that yields fewer tasks than there are cores, by the hash of ``keys``.
+
+    For text work, which costs far more than moving the text. A large table yields more splits
+    than cores and is returned as it is, so no more than a split per core is ever moved.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, *keys) if df.rdd.getNumPartitions() < slots else df

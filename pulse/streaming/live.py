@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.binding import once
 from ..functions.text import normalize, split_words
 from ..operators.aggregates import TABLE_LABELS
 from ..operators.scoring import with_predictions, word_logits
@@ -38,7 +39,7 @@ def stream_score(
     logits: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Clean and score each comment; no state. ``logits`` replaces the word-weight scorer."""
-    cleaned = comments.withColumn("clean_text", normalize(F.col(text_col), profile))
+    cleaned = once(comments, clean_text=normalize(F.col(text_col), profile))
     text = F.col("clean_text")
     z = logits(text) if logits else word_logits(split_words(text), weights, bias)
     return with_predictions(cleaned.withColumn("logits", z))
