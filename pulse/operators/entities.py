@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..settle import settle
+
 # The entity types that are reported.
 TYPES = ("PERSON", "ORG", "GPE", "NORP", "PRODUCT", "EVENT", "WORK_OF_ART")
 
@@ -70,11 +72,12 @@ def mentions(
 ) -> DataFrame:
     """``key, field, start, size, phrase, type`` for every mention in the texts of ``text_cols``.
 
-    Word n-grams join the gazetteer ``(phrase, type)``; only phrase lengths that occur in it are
-    built. A match inside a longer one of the same text is dropped, by a running maximum over
+    Word n-grams join the gazetteer ``(phrase, type)``, which is written first, so that the join
+    is planned by its true size; only phrase lengths that occur in it are built. A match inside a longer one of the same text is dropped, by a running maximum over
     that text's matches. ``key`` must be unique.
     """
     listed = gazetteer.where(F.col("type").isin(list(types))).select("phrase", "type").distinct()
+    listed = settle(listed, "gazetteer")
     # one number per phrase length, however long the gazetteer
     lengths = listed.select(F.size(F.split("phrase", " ")).alias("n")).distinct().orderBy("n")
     sizes = [r.n for r in lengths.collect()] or [1]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_words
+from ..settle import settle
 
 
 def lookup_tokens(
@@ -17,25 +18,29 @@ def lookup_tokens(
 ) -> DataFrame:
     """``key, values``: each row's tokens looked up in ``table(token, value)``, order kept.
 
-    Tokens the table does not hold become ``default``, which may refer to ``token``. The rows are
+    Tokens the table does not hold become ``default``, which may refer to ``_token``. The rows are
     combined per key before the shuffle, which therefore carries one array per row of ``df``;
     a row without tokens keeps its key and gets an empty array. ``key`` must be unique.
     """
-    spread = df.select(key, F.posexplode_outer(words).alias("pos", "token"))
-    found = spread.join(table.select("token", value), "token", "left")
-    cell = F.struct("pos", F.coalesce(F.col(value), default).alias("value"))
+    spread = df.select(key, F.posexplode_outer(words).alias("_pos", "_token"))
+    entries = table.select(F.col("token").alias("_token"), F.col(value).alias("_value"))
+    found = spread.join(entries, "_token", "left")
+    cell = F.struct("_pos", F.coalesce("_value", default).alias("value"))
     grouped = found.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), cell))).alias("cells")
+        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), cell))).alias("_cells")
     )
-    return grouped.select(key, F.col("cells.value").alias("values"))
+    return grouped.select(key, F.col("_cells.value").alias("values"))
 
 
 def apply_lexicon(df: DataFrame, key: str, tokens_col: str, lexicon: DataFrame) -> DataFrame:
     """``key`` and ``tokens_col`` with tokens replaced through ``lexicon(token, replacement)``.
 
-    A replacement of several words becomes several tokens.
+    A replacement of several words becomes several tokens. Of two entries for a token the
+    smaller counts. The lexicon is written first, so that the join is planned by its true size.
     """
-    out = lookup_tokens(df, key, F.col(tokens_col), lexicon, "replacement", F.col("token"))
+    entries = lexicon.groupBy("token").agg(F.min("replacement").alias("replacement"))
+    table = settle(entries, "lexicon")
+    out = lookup_tokens(df, key, F.col(tokens_col), table, "replacement", F.col("_token"))
     words = F.flatten(F.transform("values", lambda v: F.split(v, " ")))
     return out.select(key, words.alias(tokens_col))
 
@@ -43,7 +48,8 @@ def apply_lexicon(df: DataFrame, key: str, tokens_col: str, lexicon: DataFrame)
 def drop_listed(df: DataFrame, key: str, text_col: str, listed: DataFrame) -> DataFrame:
     """``key`` and ``text_col`` without the words of the table ``listed(word)``."""
     marked = listed.select(F.col("word").alias("token"), F.lit("").alias("gone")).distinct()
-    out = lookup_tokens(df, key, split_words(F.col(text_col)), marked, "gone", F.col("token"))
+    marked = settle(marked, "listed")
+    out = lookup_tokens(df, key, split_words(F.col(text_col)), marked, "gone", F.col("_token"))
     kept = F.filter("values", lambda v: v != "")
     return out.select(key, F.array_join(kept, " ").alias(text_col))
 
@@ -58,7 +64,7 @@ def unlisted_words(counts: DataFrame, listed: DataFrame) -> DataFrame:
 
 def lemma_counts(counts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Word counts summed per lemma; counting lemmas does not need the texts rebuilt."""
-    named = lexicon.select(F.col("token").alias("word"), "replacement")
+    named = lexicon.groupBy(F.col("token").alias("word")).agg(F.min("replacement").alias("replacement"))
     joined = counts.join(named, "word", "left")
     lemma = F.coalesce("replacement", "word").alias("word")
     return joined.groupBy(lemma).agg(F.sum("n").alias("n"))

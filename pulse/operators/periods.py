@@ -25,7 +25,7 @@ def with_period(df: DataFrame, ts_col: str = "comment_created", period: str = "W
     back; the rows themselves are neither sorted nor gathered. Rows without a timestamp stay,
     with null period columns.
     """
-    dated = df.withColumn("period_date", period_start(F.col(ts_col), period))
+    dated = df.drop("period_int").withColumn("period_date", period_start(F.col(ts_col), period))
     starts = dated.select("period_date").where(F.col("period_date").isNotNull()).distinct()
     numbered = settle(starts.withColumn("period_int", period_number()), "periods")
     return dated.join(numbered, "period_date", "left").select(*dated.columns, "period_int")

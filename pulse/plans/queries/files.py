@@ -55,11 +55,12 @@ def jsonl_quarantine(spark, sf):
 @query(
     "jsonl_stop",
     """SELECT event_id, value FROM events WHERE event_id <
-    (SELECT min(event_id) FROM events WHERE event_type = 'error' AND value > 50)""",
+    (SELECT min(event_id) FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-20')""",
 )
 def jsonl_stop(spark, sf):
-    # in event order, lines of dear errors are broken: the read keeps what comes before the first
-    broken = (F.col("event_type") == "error") & (F.col("value") > 50)
+    # in event order, lines of late errors are broken: the read keeps what comes before the first
+    late = F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")
+    broken = (F.col("event_type") == "error") & late
     whole = F.to_json(F.struct("event_id", "value"))
     line = F.when(broken, F.concat(F.lit("{broken "), whole)).otherwise(whole)
     path = shared_dir(spark, "jsonl")
