@@ -58,9 +58,16 @@ def mentions_in(
     )
 
 
-def _ngrams(words: Column, size: int, field: int) -> Column:
+# A gazetteer with more first words than this is joined without the test for them.
+_MAX_FIRST_WORDS = 2000
+
+
+def _ngrams(words: Column, size: int, field: int, first_words: list[str]) -> Column:
     last = F.size(words) - size
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+    starts = F.sequence(F.lit(0), last)
+    if first_words:
+        starts = F.filter(starts, lambda i: words[i].isin(first_words))
+    return F.when(last >= 0, F.transform(starts, lambda i: F.struct(
         F.lit(field).alias("field"), i.alias("start"), F.lit(size).alias("size"),
         F.concat_ws(" ", *[words[i + k] for k in range(size)]).alias("phrase"),
     ))).otherwise(F.array().cast("array<struct<field:int,start:int,size:int,phrase:string>>"))
@@ -73,16 +80,22 @@ def mentions(
     """``key, field, start, size, phrase, type`` for every mention in the texts of ``text_cols``.
 
     Word n-grams join the gazetteer ``(phrase, type)``, which is written first, so that the join
-    is planned by its true size; only phrase lengths that occur in it are built. A match inside a longer one of the same text is dropped, by a running maximum over
-    that text's matches. ``key`` must be unique.
+    is planned by its true size. Only phrase lengths that occur in it are built, and, unless the
+    first words of its phrases are too many to list, only where one of those stands. A match
+    inside a longer one of the same text is dropped, by a running maximum over that text's
+    matches. ``key`` must be unique.
     """
     listed = gazetteer.where(F.col("type").isin(list(types))).select("phrase", "type").distinct()
     listed = settle(listed, "gazetteer")
     # one number per phrase length, however long the gazetteer
     lengths = listed.select(F.size(F.split("phrase", " ")).alias("n")).distinct().orderBy("n")
     sizes = [r.n for r in lengths.collect()] or [1]
+    first = listed.select(F.substring_index("phrase", " ", 1).alias("w")).distinct()
+    first_words = [r.w for r in first.limit(_MAX_FIRST_WORDS + 1).collect()]
+    if len(first_words) > _MAX_FIRST_WORDS:
+        first_words = []
     worded = df.select(key, *[raw_words(F.col(c)).alias(f"_w{i}") for i, c in enumerate(text_cols)])
-    grams = [_ngrams(F.coalesce(F.col(f"_w{i}"), F.array().cast("array<string>")), n, i)
+    grams = [_ngrams(F.coalesce(F.col(f"_w{i}"), F.array().cast("array<string>")), n, i, first_words)
              for i in range(len(text_cols)) for n in sizes]
     hits = worded.select(key, F.inline(F.concat(*grams))).join(listed, "phrase")
     by_start = W.partitionBy(key, "field", "start")

@@ -49,7 +49,7 @@ class Fitted:
         return Fitted(model, facts["profile"], tuple(facts["names"]), facts["text_col"])
 
 
-def baseline(text_col: str, features: int = 1 << 16, max_iter: int = 20) -> Pipeline:
+def baseline(text_col: str, features: int = 1 << 14, max_iter: int = 20) -> Pipeline:
     """Hashed tf-idf and multinomial logistic regression."""
     return Pipeline(stages=[
         RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=r"\s+"),

@@ -19,9 +19,12 @@ def cleaned_comments(
     comments: DataFrame, logits: Callable[[Column], Column], period: str = "W",
     lemmas: Mapping[str, str] = SEED_LEMMAS,
 ) -> DataFrame:
-    """``comments(comment_text, comment_created)`` cleaned, scored and dated."""
-    enriched = enrich(comments, logits, "batch", lemmas)
-    return with_period(enriched, "comment_created", period).select(*CLEANED)
+    """``comments(comment_text, comment_created)`` dated, cleaned and scored.
+
+    Dated first: finding the periods then reads the times only.
+    """
+    dated = with_period(comments, "comment_created", period)
+    return enrich(dated, logits, "batch", lemmas).select(*CLEANED)
 
 
 def run(

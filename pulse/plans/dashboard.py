@@ -1,4 +1,4 @@
-"""Everything the dashboard shows for one request, as lazy tables."""
+"""Everything the dashboard shows for one request, as tables."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from ..operators.aggregates import label_counts, label_pivot, length_density, le
 from ..operators.entities import mentions_in
 from ..operators.periods import with_period
 from ..operators.scoring import with_predictions
+from ..settle import settle
 
 REPORT = ("comment_text", "sentiment_labels", "comment_created", "period_int", "post_title",
           "named_entities")
@@ -51,19 +52,29 @@ def enrich(
     return with_predictions(cleaned.withColumn("logits", logits(F.col("clean_text"))))
 
 
+def with_entities(
+    posts: DataFrame, comments: DataFrame, gazetteer: Mapping[str, str]
+) -> DataFrame:
+    """Comments with their post's columns and ``named_entities``: title, post text, own text.
+
+    Both sides are searched where they lie; one join brings them together.
+    """
+    own = mentions_in(F.coalesce("comment_text", F.lit("")), gazetteer)
+    joined = comments.withColumn("own_entities", own).join(tag_posts(posts, gazetteer), "post_id")
+    return joined.withColumn("named_entities", F.concat("post_entities", "own_entities"))
+
+
 def comment_report(
     posts: DataFrame, comments: DataFrame, logits: Callable[[Column], Column],
     gazetteer: Mapping[str, str], period: str = "D", lemmas: Mapping[str, str] = SEED_LEMMAS,
 ) -> DataFrame:
     """Every comment with label, period number, post title and entities.
 
-    Comments are cleaned, scored, dated and searched where they lie; one join brings the tagged
-    posts. Beside the report columns, ``post_id`` and ``clean_text`` stay available.
+    Beside the report columns, ``post_id`` and ``clean_text`` stay available. Periods come
+    first: finding them must read the times only, not clean texts.
     """
-    scored = with_period(enrich(comments, logits, lemmas=lemmas), "comment_created", period)
-    own = mentions_in(F.coalesce("comment_text", F.lit("")), gazetteer)
-    joined = scored.withColumn("own_entities", own).join(tag_posts(posts, gazetteer), "post_id")
-    return joined.withColumn("named_entities", F.concat("post_entities", "own_entities"))
+    scored = enrich(with_period(comments, "comment_created", period), logits, lemmas=lemmas)
+    return with_entities(posts, scored, gazetteer)
 
 
 def dashboard(
@@ -72,10 +83,16 @@ def dashboard(
     n_words: int = 20, bins: int = 30, stopwords: Iterable[str] = STOPWORDS,
 ) -> Dashboard:
     """``posts(post_id, post_title, post_text)`` and ``comments(post_id, comment_text,
-    comment_created)`` to the tables shown. The counts and the text statistics need no post
-    columns, and are planned without the join."""
-    scored = enrich(comments.join(posts.select("post_id"), "post_id", "left_semi"), logits)
-    shown = comment_report(posts, comments, logits, gazetteer, period).select(*REPORT)
+    comment_created)`` to the tables shown.
+
+    All tables come from the scored comments, so those are computed once and written; each
+    table then reads the columns it needs. Only the report joins the posts.
+    """
+    asked = comments.join(posts.select("post_id"), "post_id", "left_semi")
+    columns = ("post_id", "comment_text", "comment_created", "clean_text", "sentiment_labels")
+    scored = settle(enrich(asked, logits).select(*columns), "scored")
+    dated = with_period(scored, "comment_created", period)
+    shown = with_entities(posts, dated, gazetteer).select(*REPORT)
     over_time, counts = (f(scored, period=period) for f in (label_counts, label_pivot))
     if not show_text_analysis:
         return Dashboard(shown, over_time, counts)

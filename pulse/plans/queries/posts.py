@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ...operators.entities import TYPES, entity_counts, extract, mentions, mentions_in, raw_words
 from ...operators.topn import drop_stickied, top_n_per_post, top_posts
-from ...plans.batch_job import CLEANED, cleaned_comments
-from ...plans.dashboard import comment_report
+from ..batch_job import CLEANED, cleaned_comments
+from ..dashboard import comment_report
 from ...sources.feed import flatten_posts, join_posts
 from ...sources.tables import widen
 from .base import documents, query, quoted, table, words_sql

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.text import clean, tokens
+from ...functions.text import clean, normalize, tokens
 from ...operators.datasets import exact_sample, exact_split, hash_sample, split
 from ...operators.encoding import build_vocab, encode
-from ...plans.training import train_and_evaluate, training_rows
+from ...operators.scoring import with_predictions
+from ...operators.train import baseline, fit
+from ...settle import settle
+from ..training import PROFILE, train_and_evaluate, training_rows
 from .base import documents, query, table, words_sql
 from .cleaning import clean_sql, tokens_sql
 
@@ -138,6 +141,16 @@ def rows_for_training(spark, sf):
     return rows.select("doc_id", "clean_text", "text_len", "label", "split")
 
 
+@query("score_ml")
+def score_ml(spark, sf):
+    """Every document scored by a small fitted model: no SQL."""
+    labelled = training_rows(_labelled(spark, sf), "doc_id", "s").select("clean_text", "label")
+    fitted = fit(settle(labelled, "labelled"), PROFILE, estimator=baseline("clean_text", 1 << 12, 5))
+    rows = documents(spark, sf).select("doc_id", normalize(F.col("text"), PROFILE).alias("clean_text"))
+    scored = with_predictions(fitted.predict(rows, PROFILE))
+    return scored.select("doc_id", "class_predictions", "sentiment_labels")
+
+
 @query("train_eval")
 def train_eval(spark, sf):
     """Fits a model: no SQL."""

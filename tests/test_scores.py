@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions.labels import EMOTIONS, SENTIMENTS, decode, encode_labels
 from pulse.functions.vectors import argmax, linear, one_hot, softmax
+from pulse.operators import entities
 from pulse.operators.encoding import build_vocab, encode
 from pulse.operators.entities import entity_counts, extract, mentions, mentions_in
 from pulse.operators.evaluate import best_run, last_is_best, metrics, report
@@ -135,6 +136,14 @@ def test_entities_inline_and_joined(spark):
     assert counts[("New York Times", "ORG")] == 2 and ("Monday", "DATE") not in counts
 
 
+def test_gazetteer_with_too_many_first_words(spark, monkeypatch):
+    monkeypatch.setattr(entities, "_MAX_FIRST_WORDS", 1)
+    df = spark.createDataFrame(list(enumerate(t for t, _ in TEXTS)), "id int, t string")
+    table = spark.createDataFrame(list(GAZETTEER.items()), "phrase string, type string")
+    out = {r.id: r.named_entities for r in extract(df, "id", ["t"], table).collect()}
+    assert [out[i] for i in range(len(TEXTS))] == [want for _, want in TEXTS]
+
+
 def test_entities_of_several_columns_keep_order(spark):
     df = spark.createDataFrame([(1, "A", None, "York A")], "id int, t string, b string, c string")
     table = spark.createDataFrame([("A", "PERSON"), ("A", "ORG"), ("York", "GPE")], "phrase string, type string")
