@@ -29,9 +29,9 @@ def label_pivot(
     schema. Other labels are sorted out by the counting rather than by a filter, which would
     compute the label twice. The period number is taken on one row per period.
     """
-    dated = df.select(
+    dated = df.where(F.col(ts_col).isNotNull()).select(
         period_start(F.col(ts_col), period).alias("period_date"), F.col(label_col).alias("label")
-    ).where(F.col("period_date").isNotNull())
+    )
     counts = dated.groupBy("period_date").agg(
         *[F.count_if(F.col("label") == name).alias(name) for name in labels]
     )

@@ -27,16 +27,16 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: str | int) -> Da
     return df.where(in_fraction(F.col(key), fraction, seed))
 
 
-def _mark_first(
+def _hash_cut(
     df: DataFrame, key: str, seed: str | int, want: Callable[[Column], Column],
-    strata: Sequence[str], mark: str,
+    strata: Sequence[str],
 ) -> DataFrame:
-    """Add the boolean ``mark``: true for exactly ``want(size)`` rows of each stratum.
+    """The largest key hash, as ``_cut``, among the first ``want(size)`` rows of each stratum.
 
-    Those are the rows with the smallest key hashes. The table is neither sorted nor gathered:
-    counts per leading hash digits locate the digits in which the quota ends, the few rows with
-    those digits are ranked, and the rest is a comparison with the hash found. A stratum of any
-    size puts at most 16^5 counters, and one row in 16^5, into one task. ``key`` must be unique.
+    First by key hash, that is. The table is neither sorted nor gathered: counts per leading
+    hash digits locate the digits in which the quota ends, and the few rows with those digits
+    are ranked. A stratum of any size puts at most 16^5 counters, and one row in 16^5, into one
+    task. ``key`` must be unique.
     """
     strata = list(strata)
     hashed = df.select(*strata, key_hash(F.col(key), seed).alias("_h"))
@@ -58,10 +58,16 @@ def _mark_first(
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [*strata, "_lead"]]
     near = rows.join(at, reduce(Column.__and__, same)).select("r.*", "e._need")
     ranked = near.withColumn("_rn", F.row_number().over(whole.orderBy("_h")))
-    cut = settle(
+    return settle(
         ranked.where(F.col("_rn") == F.col("_need")).select(*strata, F.col("_h").alias("_cut")),
         "cut",
     )
+
+
+def _mark_first(
+    df: DataFrame, key: str, seed: str | int, cut: DataFrame, strata: Sequence[str], mark: str
+) -> DataFrame:
+    """Add the boolean ``mark``: whether the key hash is within the stratum's cut."""
     here = key_hash(F.col(key), seed)
     if not strata:
         last = cut.select("_cut").scalar()
@@ -74,8 +80,8 @@ def _mark_first(
 
 def exact_sample(df: DataFrame, key: str, fraction: float, seed: str | int) -> DataFrame:
     """Exactly ``round(fraction * rows)`` rows (halves to even), chosen by key hash."""
-    marked = _mark_first(df, key, seed, lambda n: F.bround(n * F.lit(float(fraction))), (), "_in")
-    return marked.where("_in").drop("_in")
+    cut = _hash_cut(df, key, seed, lambda n: F.bround(n * F.lit(float(fraction))), [])
+    return _mark_first(df, key, seed, cut, [], "_in").where("_in").drop("_in")
 
 
 def split(
@@ -101,10 +107,11 @@ def exact_split(
     def share(f: float) -> Callable[[Column], Column]:
         return lambda n: F.ceil(n * F.lit(float(f)))
 
-    marked = _mark_first(df, key, f"{seed}/test", share(test), strata, "_test")
-    rest = _mark_first(
-        marked.where(~F.col("_test")), key, f"{seed}/val", share(val), strata, "_val"
-    ) if val else marked.where(~F.col("_test")).withColumn("_val", F.lit(False))
-    held = marked.where("_test").drop("_test").withColumn("split", F.lit("test"))
-    named = F.when(F.col("_val"), "val").otherwise("train")
-    return held.unionByName(rest.withColumn("split", named).drop("_test", "_val"))
+    cut = _hash_cut(df, key, f"{seed}/test", share(test), strata)
+    out = _mark_first(df, key, f"{seed}/test", cut, strata, "_test")
+    rest = out.where(~F.col("_test"))
+    cut = _hash_cut(rest, key, f"{seed}/val", share(val), strata)
+    # the second cut is right for the rest, and not asked of the test rows: one scan gives all
+    out = _mark_first(out, key, f"{seed}/val", cut, strata, "_val")
+    named = F.when(F.col("_test"), "test").when(F.col("_val"), "val").otherwise("train")
+    return out.withColumn("split", named).drop("_test", "_val")
