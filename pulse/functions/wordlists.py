@@ -59,6 +59,7 @@ SEED_LEMMAS = {
     "ass": "as",
     "breaks": "break",
     "bs": "b",
+    "computers": "computer",
     "connections": "connection",
     "does": "doe",
     "events": "event",
