@@ -119,7 +119,7 @@ def extract(
     Repeats stay; a row without mentions gets an empty array.
     """
     found = mentions(df, key, text_cols, gazetteer, types)
-    cells = F.array_sort(F.collect_list(F.struct("field", "start", "type", "phrase")))
+    cells = F.sort_array(F.collect_list(F.struct("field", "start", "type", "phrase")))
     lists = found.groupBy(key).agg(cells.alias("cells"))
     lists = lists.select(key, F.col("cells.phrase").alias("named_entities"))
     none = F.array().cast("array<string>")

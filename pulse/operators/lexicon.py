@@ -27,7 +27,7 @@ def lookup_tokens(
     found = spread.join(entries, "_token", "left")
     cell = F.struct("_pos", F.coalesce("_value", default).alias("value"))
     grouped = found.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), cell))).alias("_cells")
+        F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), cell))).alias("_cells")
     )
     return grouped.select(key, F.col("_cells.value").alias("values"))
 

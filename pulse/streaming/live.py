@@ -84,6 +84,8 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """
     spark = stream.sparkSession
     sink, state = shared_dir(spark, name), shared_dir(spark, f"{name}-state")
+    # a stream without input writes nothing, and its sink must still be a table
+    spark.createDataFrame([], stream.schema).write.parquet(sink)
     writer = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
     if mode == "append":
         query = writer.format("parquet").option("path", sink).start()

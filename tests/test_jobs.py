@@ -162,6 +162,14 @@ def test_late_rows_are_dropped_in_append_mode(spark, event_files):
     assert dt.date(2024, 1, 29) not in {d for d, _ in got}  # its window is still open
 
 
+def test_stream_without_input_gives_an_empty_table(spark, event_files):
+    folder, _ = event_files
+    schema = spark.read.parquet(folder).schema
+    for mode in ("append", "complete"):
+        stream = table_stream(spark, folder, schema, glob="nothing*")
+        assert drain(stream_label_counts(stream), "t", mode).count() == 0
+
+
 def test_months_are_no_stream_window(spark):
     with pytest.raises(ValueError, match="roll months up"):
         stream_label_counts(spark.createDataFrame([], "comment_created timestamp, sentiment_labels string"), period="M")
