@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import checking
+from pulse.plans.queries import ORACLES, QUERIES
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -16,14 +17,14 @@ def con():
     return checking.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
-    assert checking.difference(df, con, entry.oracle_sql()[name]) is None
+    assert checking.difference(df, con, ORACLES[name]) is None
 
 
 def test_every_query_without_sql_is_known():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"score_ml", "train_eval"}
+    assert set(QUERIES) - set(ORACLES) == {"score_ml", "train_eval"}
 
 
 def test_training_gives_a_full_report(spark):
