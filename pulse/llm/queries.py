@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, toxicity
+from . import decontaminate, linededup, minhash, packing, toxicity
 from .arrow import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,43 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf, "labels"))
     return toxicity.score(docs, model, keep=["doc_id"])
+
+
+@query("op6_minhash")
+def op6_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate documents over three words at a similarity of 0.85."""
+    return minhash.near_duplicates(table(spark, sf, "documents"), length=3, percent=85)
+
+
+_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op9_decontaminate", f"""
+    WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+    i AS (SELECT DISTINCT item, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS win
+        FROM (SELECT item, w, least({decontaminate.LENGTH}, len(w)) AS k, unnest(range(1, len(w) - least({decontaminate.LENGTH}, len(w)) + 2)) AS p FROM b WHERE len(w) > 0)),
+    t AS (SELECT doc_id, k, p, array_to_string(list_slice(w, p, p + k - 1), ' ') AS win
+        FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)),
+    m AS (SELECT t.doc_id, t.p, t.k, i.item FROM t JOIN i ON t.k = i.k AND t.win = i.win),
+    c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM m) GROUP BY doc_id),
+    n AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+    SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)""")
+def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold ten consecutive words of a benchmark item."""
+    return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("spans")
+
+
+def vocabulary() -> tuple[str, int]:
+    """File of the public vocabulary that sequences are packed with, and the id that ends a document."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json"), 2
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents in sequences of 4096 ids."""
+    return packing.pack(table(spark, sf, "documents"), *vocabulary())
