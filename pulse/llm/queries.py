@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, minhash, packing, toxicity
+from . import decontaminate, linededup, minhash, packing, substrings, toxicity
 from .arrow import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,22 @@ def vocabulary() -> tuple[str, int]:
 def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in sequences of 4096 ids."""
     return packing.pack(table(spark, sf, "documents"), *vocabulary())
+
+
+_RUNS = "coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), [])"
+
+
+@query("op7_substring_dedup", f"""
+    WITH d AS (SELECT doc_id, {_RUNS} AS w FROM documents),
+    t AS (SELECT doc_id, p, array_to_string(list_slice(w, p, p + {substrings.LENGTH} - 1), ' ') AS win
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {substrings.LENGTH} + 2)) AS p FROM d WHERE len(w) >= {substrings.LENGTH})),
+    f AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY win ORDER BY doc_id, p) AS r FROM t) WHERE r > 1),
+    c AS (SELECT DISTINCT doc_id, unnest(range(p, p + {substrings.LENGTH})) AS q FROM f),
+    x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+    k AS (SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.q) AS kept FROM x LEFT JOIN c ON x.doc_id = c.doc_id AND x.q = c.q WHERE c.q IS NULL GROUP BY x.doc_id)
+    SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id)""")
+def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without the words of passages of twenty words that start earlier."""
+    done = substrings.remove_repeats(table(spark, sf, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
