@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, minhash, packing, substrings, toxicity
+from . import decontaminate, linededup, minhash, packing, sharding, substrings, toxicity, warc
 from .arrow import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,17 @@ def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Documents without the words of passages of twenty words that start earlier."""
     done = substrings.remove_repeats(table(spark, sf, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op4_sharding")
+def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents in forty shards of nearly equal bytes."""
+    return sharding.shard(table(spark, sf, "documents"), 40)
+
+
+@query("op5_warc")
+def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages written to packaged archives and read back from them."""
+    pages = table(spark, sf, "pages")
+    archives = warc.write_archives(pages, warc.fresh_folder(pages))
+    return warc.read_archives(archives).drop("url")
