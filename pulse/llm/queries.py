@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, minhash, packing, sharding, substrings, toxicity, warc
+from . import decontaminate, linededup, minhash, packing, quality, sharding, substrings, toxicity, warc
 from .arrow import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,9 @@ def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages")
     archives = warc.write_archives(pages, warc.fresh_folder(pages))
     return warc.read_archives(archives).drop("url")
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents kept by rules whose reliability is estimated from their votes."""
+    return quality.judged(table(spark, sf, "documents"))
