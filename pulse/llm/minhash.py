@@ -39,8 +39,8 @@ SHINGLE, PERCENT = 5, 80
 CELLS, SEED = 1 << 20, 20
 #: Largest chance that a pair at the threshold shares no band.
 MISS = 1e-6
-#: Members of a bucket that are compared in one piece; larger buckets are split in blocks of this size.
-BLOCK = 400
+#: Members of a bucket, and shingles of all of them, that are compared in one piece; larger buckets are split in such blocks.
+BLOCK, BLOCK_SHINGLES = 3000, 4 << 20
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -161,7 +161,7 @@ def link_members(key: int, ids, comps, side, sets, bands, sketches, percent: int
     need = (j - 6 * math.sqrt(j * (1 - j) / sketch.shape[1])) * sketch.shape[1]
     least = min(ids)
     two = len(set(side)) > 1
-    found = []
+    found = []  # compact: a bucket of similar texts has millions of pairs to look at
     for u in range(len(ids) - 1):
         if ids[u] == least and not two:
             continue  # the bucket's smallest member has been compared with all
@@ -176,9 +176,13 @@ def link_members(key: int, ids, comps, side, sets, bands, sketches, percent: int
         ok = agree >= need
         if column:
             ok &= ~(bands[v, :column] == bands[u, :column]).any(axis=1)
-        found += [(-int(a), u, int(w)) for a, w in zip(agree[ok], v[ok])]
+        found.append((agree[ok].astype(np.int16), np.full(int(ok.sum()), u, np.int32), v[ok].astype(np.int32)))
+    if not found:
+        return []
+    agree, left, right = (np.concatenate(x) for x in zip(*found))
     forest, links = _Forest(comps.tolist()), []
-    for _, u, v in sorted(found):
+    for at in np.argsort(-agree, kind="stable"):  # the likeliest links first: they spare most of the others
+        u, v = int(left[at]), int(right[at])
         a, b = forest.root(u), forest.root(v)
         if a != b:
             both = len(np.intersect1d(sets[u], sets[v], assume_unique=True))
@@ -191,13 +195,13 @@ def link_members(key: int, ids, comps, side, sets, bands, sketches, percent: int
 def _links_between(shared: DataFrame, reps: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame | None:
     """Further links in buckets of three or more that hold several components."""
     labels = comps.select(F.col("node").alias("id"), "component")
-    wide = shared.where("m > 2").join(labels, "id", "left").select("key", "id", "m", F.coalesce("component", "id").alias("comp"))
+    wide = shared.where("m > 2").join(labels, "id", "left").select("key", "id", "n", "m", F.coalesce("component", "id").alias("comp"))
     wide = settle(wide, "near-wide")
-    mixed = wide.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    mixed = wide.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("shingles")).where("x <> y").select("key", "shingles")
     rows = settle(wide.join(mixed, "key"), "near-mixed")
     if rows.isEmpty():
         return None
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     mine = F.pmod(F.xxhash64("id", "key"), blocks).cast("int")
     rows = rows.withColumns({"side": mine, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
     rows = rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp")
@@ -239,7 +243,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     one = named.groupBy("hi", "lo").agg(F.min("id").alias("id"))
     reps = settle(named.join(one, ["hi", "lo", "id"]).dropDuplicates(["hi", "lo", "id"]), "near-classes")
 
-    cells = reps.select("id", F.explode("bands").alias("key"))
+    cells = reps.select("id", "n", F.explode("bands").alias("key"))
     heads = cells.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("m")).where("m > 1")
     shared = settle(cells.join(heads, "key"), "near-buckets")
     ids = settle(shared.select("id").distinct(), "near-ids")
