@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, minhash, packing, quality, sharding, substrings, toxicity, warc
+from . import decontaminate, linededup, minhash, packing, pii, quality, sharding, substrings, toxicity, warc
 from .arrow import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,10 @@ def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Documents kept by rules whose reliability is estimated from their votes."""
     return quality.judged(table(spark, sf, "documents"))
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in documents: the fixed patterns and what the tagger adds."""
+    docs = table(spark, sf, "documents")
+    return pii.find(docs, pii.fit(docs))
