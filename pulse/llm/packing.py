@@ -29,48 +29,72 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..settle import settle
-from . import arrow
+from . import arrow, words
 
 #: Ids of a sequence; ids of a grain in which lengths are counted; ids between possible cuts.
 WINDOW, GRAIN, CUT = 4096, 16, 64
 #: Lengths of a combination, at most.
 DEPTH = 3
 #: Pieces that one task ranks, and tokens that one task packs greedily, about.
-RANKED, GREEDY = 50_000, 4 << 20
-#: Words whose ids a worker remembers: of each of two generations, so many.
-KNOWN = 250_000
+RANKED, GREEDY = 50_000, 1 << 20
+#: Places for words that a worker remembers (a power of two), and ids of all of them at most; both are bounded memory.
+KNOWN, KNOWN_IDS = 1 << 21, 24 << 20
 
 
-class Words(dict):
-    """Ids of words (runs between ASCII white space) as bytes; words met lately are remembered.
+class Words:
+    """Ids of words (runs between ASCII white space), for a batch at a time.
 
     The vocabulary's model drops white space and never joins across it, so a text's ids are those of
-    its words.
+    its words. Words are looked up by their hashes in one table for all; only those not met before, or
+    displaced since, go through the tokenizer, once per batch.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.older: dict = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KNOWN:
-            self.older = dict(self)
-            self.clear()
-        ids = self.older.get(word)
-        if ids is None:
-            ids = np.array(self._ids(word.decode()), "<u4").tobytes()
-        self[word] = ids
-        return ids
-
-    def _ids(self, word: str) -> list[int]:
-        if "<|" in word:  # may hold a special token
-            return self.whole.encode(word, add_special_tokens=False).ids
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.at, self.size = np.zeros(KNOWN, np.uint64), np.zeros(KNOWN, np.int32), np.zeros(KNOWN, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def ids_of(self, word: str) -> list[int]:
         whole = self.whole
+        if "<|" in word:  # may hold a special token
+            return whole.encode(word, add_special_tokens=False).ids
         parts = whole.pre_tokenizer.pre_tokenize_str(whole.normalizer.normalize_str(word))
         return [t.id for part, _ in parts for t in whole.model.tokenize(part)]
 
+    def _learn(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        size = np.array([len(x) for x in found], np.int64)
+        at = self.used + np.cumsum(size) - size
+        self.used += int(size.sum())
+        if self.used > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), self.used), np.uint32)])
+        if len(found):
+            self.pool[at[0]:self.used] = np.concatenate([np.array(x, np.uint32) for x in found])
+        return at, size
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows in one array, and where each row's begin in it."""
+        if self.used > KNOWN_IDS:
+            self._forget()
+        body, rows = words.texts(column)
+        starts, ends, first = words.bounds(body, rows)
+        h = words.hashes(body, starts, ends)
+        slot = (h >> np.uint64(64 - KNOWN.bit_length() + 1)).astype(np.int64)
+        at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
+        new = np.flatnonzero(self.keys[slot] != h)
+        if len(new):
+            own, which, back = np.unique(h[new], return_index=True, return_inverse=True)
+            which = new[which]
+            own_at, own_size = self._learn([self.ids_of(body[a:b].tobytes().decode()) for a, b in zip(starts[which], ends[which])])
+            at[new], size[new] = own_at[back], own_size[back]
+            self.keys[slot[which]], self.at[slot[which]], self.size[slot[which]] = own, own_at, own_size
+        offsets = np.cumsum(np.r_[0, size])
+        return self.pool[np.repeat(at - offsets[:-1], size) + np.arange(offsets[-1])], offsets[first]
+
 
 _words: dict[str, Words] = {}
 
@@ -107,7 +131,6 @@ def tail_crc(before: int, whole: int, n: int) -> int:
 def pieces(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``start``, ``length``, ``crc``, ``doc_tokens``, ``prefix`` (checksums at multiples of CUT within the piece)."""
     arrow.prepare(docs.sparkSession)
-    last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _words:
@@ -117,9 +140,9 @@ def pieces(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text:
         types = [pa.int64()] * 5 + [pa.binary()]
         for b in batches:
             rows = []
-            for name, value in zip(b["id"].to_pylist(), b["text"]):
-                value = value.as_py()
-                ids = b"".join(map(known.__getitem__, value.encode().split())) + last if value else last
+            flat, cuts = known.encode(b["text"])
+            for name, low, high in zip(b["id"].to_pylist(), cuts[:-1], cuts[1:]):
+                ids = np.append(flat[low:high], np.uint32(end)).astype("<u4").tobytes()
                 n = len(ids) // 4
                 for start in range(0, n, WINDOW):
                     part = memoryview(ids)[4 * start:4 * (start + WINDOW)]
