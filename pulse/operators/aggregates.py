@@ -22,22 +22,25 @@ def label_pivot(
     label_col: str = "sentiment_labels",
     period: str = "W",
     labels: Sequence[str] = TABLE_LABELS,
+    other: str | None = None,
 ) -> DataFrame:
-    """One row per period: its number and start, one count per label, and their total.
+    """One row per period: its number and start, one count per label, and the number of labelled rows.
 
-    Conditional counts need one shuffle of already combined rows, and the label list fixes the
-    schema. Other labels are sorted out by the counting rather than by a filter, which would
-    compute the label twice. The period number is taken on one row per period.
+    Labels that are not listed are in the ``total``, and in a column of their own if ``other``
+    names one. Conditional counts need one shuffle of already combined rows, and the label list fixes
+    the schema. The period number is taken on one row per period, over all dated rows, as
+    :func:`with_period` does; periods without a labelled row are then left out.
     """
     dated = df.where(F.col(ts_col).isNotNull()).select(
         period_start(F.col(ts_col), period).alias("period_date"), F.col(label_col).alias("label")
     )
     counts = dated.groupBy("period_date").agg(
-        *[F.count_if(F.col("label") == name).alias(name) for name in labels]
+        *[F.count_if(F.col("label") == name).alias(name) for name in labels], F.count("label").alias("total")
     )
-    each = [F.col(name) for name in labels]
-    counts = counts.withColumn("total", sum(each[1:], each[0])).where(F.col("total") > 0)
-    return counts.select(period_number().alias("period_int"), "period_date", *labels, "total")
+    rest = sum((F.col(name) for name in labels), F.lit(0).cast("long"))
+    extra = [(F.col("total") - rest).alias(other)] if other else []
+    numbered = counts.select(period_number().alias("period_int"), "period_date", *labels, *extra, "total")
+    return numbered.where(F.col("total") > 0)
 
 
 def label_counts(
@@ -48,13 +51,22 @@ def label_counts(
     labels: Sequence[str] = TABLE_LABELS,
     zero_fill: bool = False,
 ) -> DataFrame:
-    """Line-plot data: ``period_int, period_date, label, n``.
+    """Line-plot data: ``period_int, period_date, label, n`` for every label that occurs.
 
-    A label absent from a period has no row, unless ``zero_fill`` asks for one with 0.
+    A label absent from a period has no row, unless ``zero_fill`` asks for one with 0 for each of
+    ``labels``.
     """
-    wide = label_pivot(df, ts_col, label_col, period, labels)
-    long = wide.unpivot(["period_int", "period_date"], list(labels), "label", "n")
-    return long if zero_fill else long.where(F.col("n") > 0)
+    dated = df.where(F.col(ts_col).isNotNull()).select(
+        period_start(F.col(ts_col), period).alias("period_date"), F.col(label_col).alias("label")
+    )
+    counts = dated.groupBy("period_date", "label").agg(F.count(F.lit(1)).alias("n"))
+    long = counts.select(period_number().alias("period_int"), "period_date", "label", "n").where(F.col("label").isNotNull())
+    if not zero_fill:
+        return long
+    # one more row of 0 per listed label and counted row; all of them are already few per period
+    names = F.explode(F.array(*[F.lit(x) for x in labels])).alias("label")
+    zeros = long.select("period_int", "period_date", names, F.lit(0).cast("long").alias("n"))
+    return long.unionByName(zeros).groupBy("period_int", "period_date", "label").agg(F.sum("n").alias("n"))
 
 
 def word_counts(df: DataFrame, text_col: str = "clean_text") -> DataFrame:

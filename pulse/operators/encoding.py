@@ -40,7 +40,7 @@ def encode(
     padding. The cut comes before the tokens are looked up, so no more is shuffled than is kept.
     """
     head = F.slice(F.col(tokens_col), 1, max_len - 2)
-    ids = lookup_tokens(df, key, head, vocab, "id", F.lit(UNK))
+    ids = lookup_tokens(df, key, head, vocab, "id", lambda _: F.lit(UNK))
     body = F.concat(F.array(F.lit(CLS)), F.col("values"), F.array(F.lit(SEP)))
     used = F.size("values") + 2
     pad = F.array_repeat(F.lit(PAD), F.lit(max_len) - used)

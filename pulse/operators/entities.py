@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.binding import once
 from ..settle import settle
 
 # The entity types that are reported.
@@ -58,19 +59,12 @@ def mentions_in(
     )
 
 
-# A gazetteer with more first words than this is joined without the test for them.
-_MAX_FIRST_WORDS = 2000
-
-
-def _ngrams(words: Column, size: int, field: int, first_words: list[str]) -> Column:
-    last = F.size(words) - size
-    starts = F.sequence(F.lit(0), last)
-    if first_words:
-        starts = F.filter(starts, lambda i: words[i].isin(first_words))
-    return F.when(last >= 0, F.transform(starts, lambda i: F.struct(
-        F.lit(field).alias("field"), i.alias("start"), F.lit(size).alias("size"),
-        F.concat_ws(" ", *[words[i + k] for k in range(size)]).alias("phrase"),
-    ))).otherwise(F.array().cast("array<struct<field:int,start:int,size:int,phrase:string>>"))
+def _places(words: Column, field: int, longest: int) -> Column:
+    """Every word with its place and those that follow it, as many as the longest phrase has."""
+    return F.transform(words, lambda w, i: F.struct(
+        F.lit(field).alias("field"), i.alias("start"), w.alias("word"),
+        F.array(w, *[F.get(words, i + k) for k in range(1, longest)]).alias("run"),
+    ))
 
 
 def mentions(
@@ -79,25 +73,27 @@ def mentions(
 ) -> DataFrame:
     """``key, field, start, size, phrase, type`` for every mention in the texts of ``text_cols``.
 
-    Word n-grams join the gazetteer ``(phrase, type)``, which is written first, so that the join
-    is planned by its true size. Only phrase lengths that occur in it are built, and, unless the
-    first words of its phrases are too many to list, only where one of those stands. A match
-    inside a longer one of the same text is dropped, by a running maximum over that text's
-    matches. ``key`` must be unique.
+    One way for gazetteers of any size. Places whose word begins no phrase fall out in a join
+    with the distinct first words; the others are asked for each length that phrases with that first
+    word have, and the phrases made join the gazetteer ``(phrase, type)``. Both tables are
+    written first, so that the joins are planned by their true sizes: a small gazetteer is broadcast and
+    no word of a text is shuffled. A match inside a longer one of the same text is dropped, by a
+    running maximum over that text's matches. ``key`` must be unique.
     """
     listed = gazetteer.where(F.col("type").isin(list(types))).select("phrase", "type").distinct()
     listed = settle(listed, "gazetteer")
-    # one number per phrase length, however long the gazetteer
-    lengths = listed.select(F.size(F.split("phrase", " ")).alias("n")).distinct().orderBy("n")
-    sizes = [r.n for r in lengths.collect()] or [1]
-    first = listed.select(F.substring_index("phrase", " ", 1).alias("w")).distinct()
-    first_words = [r.w for r in first.limit(_MAX_FIRST_WORDS + 1).collect()]
-    if len(first_words) > _MAX_FIRST_WORDS:
-        first_words = []
-    worded = df.select(key, *[raw_words(F.col(c)).alias(f"_w{i}") for i, c in enumerate(text_cols)])
-    grams = [_ngrams(F.coalesce(F.col(f"_w{i}"), F.array().cast("array<string>")), n, i, first_words)
-             for i in range(len(text_cols)) for n in sizes]
-    hits = worded.select(key, F.inline(F.concat(*grams))).join(listed, "phrase")
+    size = F.size(F.split("phrase", " "))
+    first = listed.groupBy(F.substring_index("phrase", " ", 1).alias("word")).agg(F.collect_set(size).alias("sizes"))
+    first = settle(first, "gazetteer-words")
+    longest = listed.agg(F.max(size)).first()[0] or 1
+    empty = F.array().cast("array<string>")
+    places = [_places(F.coalesce(F.col(f"_w{i}"), empty), i, longest) for i in range(len(text_cols))]
+    worded = once(df.select(key, *text_cols), **{f"_w{i}": raw_words(F.col(c)) for i, c in enumerate(text_cols)})
+    starts = worded.select(key, F.inline(F.concat(*places))).join(first, "word")
+    grams = starts.select(key, "field", "start", "run", F.explode("sizes").alias("size"))
+    grams = grams.where(F.get("run", F.col("size") - 1).isNotNull()).select(
+        key, "field", "start", "size", F.array_join(F.slice("run", F.lit(1), F.col("size")), " ").alias("phrase"))
+    hits = grams.join(listed, "phrase")
     by_start = W.partitionBy(key, "field", "start")
     earlier = W.partitionBy(key, "field").orderBy("start").rangeBetween(W.unboundedPreceding, -1)
     end = F.col("start") + F.col("size")

@@ -20,34 +20,38 @@ def _f1(precision: Column, recall: Column) -> Column:
 
 
 def metrics(
-    df: DataFrame, y_col: str, logits_col: str, n: int = 3, cut: str = "logit"
+    df: DataFrame, y_col: str, logits_col: str, n: int = 3, cut: str = "logit",
+    left_out: str | None = None,
 ) -> DataFrame:
     """One row: ``loss, accuracy, precision, recall, f1``, from a single pass.
 
     Loss is the cross-entropy of the logits. Precision and recall are counted over all cells of
     the one-hot matrix, a cell being predicted when it exceeds 0.5. ``cut='logit'`` compares the
     raw logits, as a training run that monitors a model without a softmax layer does;
-    ``'probability'`` compares the probabilities.
+    ``'probability'`` compares the probabilities. Rows without a class among the ``n``, or without
+    ``n`` logits, are left out; ``left_out`` names a column that counts them.
     """
     if cut not in ("logit", "probability"):
         raise ValueError("cut must be 'logit' or 'probability'")
     y, z = F.col("y"), F.col("z")
     rows = df.select(F.col(y_col).cast("int").alias("y"), F.col(logits_col).alias("z"))
-    rows = rows.where(y.isNotNull() & z.isNotNull())
+    fit = F.coalesce((y >= 0) & (y < n) & (F.size(z) == n), F.lit(False))
+    rows = rows.select(F.when(fit, y).alias("y"), F.when(fit, z).alias("z"))
     cells = z if cut == "logit" else softmax(z, n)
     rows = rows.select("y", "z", cells.alias("cells"))
     hot = [F.col("cells")[i] > 0.5 for i in range(n)]
     hits = sum((F.when(hot[i] & (y == i), 1).otherwise(0) for i in range(n)), F.lit(0))
-    called = sum((hot[i].cast("int") for i in range(n)), F.lit(0))
+    called = F.when(y.isNotNull(), sum((hot[i].cast("int") for i in range(n)), F.lit(0)))
     sums = rows.agg(
-        F.avg(log_sum_exp(z, n) - z[y]).alias("loss"),
+        F.avg(log_sum_exp(z, n) - F.get(z, y)).alias("loss"),
         F.avg((argmax(z) == y).cast("double")).alias("accuracy"),
         F.sum(hits).alias("tp"),
         F.sum(called).alias("called"),
-        F.count(F.lit(1)).alias("rows"),
+        F.count(y).alias("rows"),
+        F.count_if(y.isNull()).alias("left_out"),
     )
     out = sums.select(
-        "loss", "accuracy",
+        *([F.col("left_out").alias(left_out)] if left_out else []), "loss", "accuracy",
         _ratio(F.col("tp"), F.col("called")).alias("precision"),
         _ratio(F.col("tp"), F.col("rows")).alias("recall"),
     )

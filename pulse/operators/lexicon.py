@@ -6,30 +6,37 @@ do the same without a join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import once
 from ..functions.text import split_words
 from ..settle import settle
 
 
 def lookup_tokens(
-    df: DataFrame, key: str, words: Column, table: DataFrame, value: str, default: Column
+    df: DataFrame, key: str, words: Column, table: DataFrame, value: str,
+    default: Callable[[Column], Column],
 ) -> DataFrame:
     """``key, values``: each row's tokens looked up in ``table(token, value)``, order kept.
 
-    Tokens the table does not hold become ``default``, which may refer to ``_token``. The rows are
-    combined per key before the shuffle, which therefore carries one array per row of ``df``;
-    a row without tokens keeps its key and gets an empty array. ``key`` must be unique.
+    Tokens the table does not hold become ``default`` of the token. Only distinct tokens of a row
+    are looked up, and only those that the table holds go on: the join drops the others, and what is
+    shuffled by key is a small map per row. The row's own tokens stay in order where they are.
+    A row without tokens gets an empty array. ``key`` must be unique.
     """
-    spread = df.select(key, F.posexplode_outer(words).alias("_pos", "_token"))
+    rows = once(df, _words=words).select(key, "_words")
     entries = table.select(F.col("token").alias("_token"), F.col(value).alias("_value"))
-    found = spread.join(entries, "_token", "left")
-    cell = F.struct("_pos", F.coalesce("_value", default).alias("value"))
-    grouped = found.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), cell))).alias("_cells")
-    )
-    return grouped.select(key, F.col("_cells.value").alias("values"))
+    found = rows.select(key, F.explode(F.array_distinct("_words")).alias("_token")).join(entries, "_token")
+    maps = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_token", "_value"))).alias("_known"))
+    joined = rows.join(maps, key, "left")
+    held = F.coalesce(F.size("_known"), F.lit(0)) > 0
+    values = F.when(held, F.transform("_words", lambda w: F.coalesce(F.try_element_at("_known", w), default(w)))).otherwise(
+        F.transform("_words", default))
+    none = F.array().cast(f"array<{dict(table.dtypes)[value]}>")
+    return joined.select(key, F.coalesce(values, none).alias("values"))
 
 
 def apply_lexicon(df: DataFrame, key: str, tokens_col: str, lexicon: DataFrame) -> DataFrame:
@@ -40,7 +47,7 @@ def apply_lexicon(df: DataFrame, key: str, tokens_col: str, lexicon: DataFrame)
     """
     entries = lexicon.groupBy("token").agg(F.min("replacement").alias("replacement"))
     table = settle(entries, "lexicon")
-    out = lookup_tokens(df, key, F.col(tokens_col), table, "replacement", F.col("_token"))
+    out = lookup_tokens(df, key, F.col(tokens_col), table, "replacement", lambda w: w)
     words = F.flatten(F.transform("values", lambda v: F.split(v, " ")))
     return out.select(key, words.alias(tokens_col))
 
@@ -49,7 +56,7 @@ def drop_listed(df: DataFrame, key: str, text_col: str, listed: DataFrame) -> Da
     """``key`` and ``text_col`` without the words of the table ``listed(word)``."""
     marked = listed.select(F.col("word").alias("token"), F.lit("").alias("gone")).distinct()
     marked = settle(marked, "listed")
-    out = lookup_tokens(df, key, split_words(F.col(text_col)), marked, "gone", F.col("_token"))
+    out = lookup_tokens(df, key, split_words(F.col(text_col)), marked, "gone", lambda w: w)
     kept = F.filter("values", lambda v: v != "")
     return out.select(key, F.array_join(kept, " ").alias(text_col))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any, Protocol
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,19 +23,20 @@ class Scorer(Protocol):
     """A classifier that Python workers load themselves."""
 
     name: str
-    """Identifies the model; each worker process loads a name once."""
+    """Names the model; each worker process keeps the latest scorer of a name loaded."""
 
     def load(self) -> Callable[[pd.Series], Any]:
         """Return a function from a batch of inputs to an (inputs x classes) array of logits."""
 
 
-_loaded: dict[str, Callable[[pd.Series], Any]] = {}
+_loaded: dict[str, tuple[str, Callable[[pd.Series], Any]]] = {}
 
 
-def _predictor(scorer: Scorer) -> Callable[[pd.Series], Any]:
-    if scorer.name not in _loaded:
-        _loaded[scorer.name] = scorer.load()
-    return _loaded[scorer.name]
+def _predictor(scorer: Scorer, version: str) -> Callable[[pd.Series], Any]:
+    """Workers outlive a query, so a model trained anew under the same name must not be taken for the old one."""
+    if _loaded.get(scorer.name, ("",))[0] != version:
+        _loaded[scorer.name] = version, scorer.load()
+    return _loaded[scorer.name][1]
 
 
 def score(df: DataFrame, scorer: Scorer, input_col: str = "clean_text") -> DataFrame:
@@ -42,16 +46,54 @@ def score(df: DataFrame, scorer: Scorer, input_col: str = "clean_text") -> DataF
     (``spark.sql.execution.arrow.maxRecordsPerBatch``); the other columns stay where they are.
     """
     ship_package(df.sparkSession)
+    version = hashlib.sha256(cloudpickle.dumps(scorer)).hexdigest()
 
     @F.pandas_udf("array<double>")
     def logits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        predict = _predictor(scorer)
+        predict = _predictor(scorer, version)
         for batch in batches:
             yield pd.Series(list(np.asarray(predict(batch), dtype="float64")), dtype=object)
 
     return df.withColumn("logits", logits(F.col(input_col)))
 
 
+@dataclass(frozen=True)
+class Model:
+    """A classifier as every job takes it.
+
+    ``apply`` adds ``logits`` to a frame with ``clean_text``. The model knows how texts must be
+    cleaned for it, so jobs cannot clean them in another way than it was trained on.
+    """
+
+    apply: Callable[[DataFrame], DataFrame]
+    profile: str = "serving"
+    lemmas: Mapping[str, str] | None = None
+    names: tuple[str, ...] = SENTIMENTS
+
+
+def column_model(
+    logits: Callable[[Column], Column], profile: str = "serving",
+    lemmas: Mapping[str, str] | None = None, names: Sequence[str] = SENTIMENTS,
+) -> Model:
+    """A model that is a column expression over the clean text."""
+    return Model(lambda df: df.withColumn("logits", logits(F.col("clean_text"))), profile, lemmas, tuple(names))
+
+
+def python_model(
+    scorer: Scorer, profile: str = "serving", lemmas: Mapping[str, str] | None = None,
+    names: Sequence[str] = SENTIMENTS,
+) -> Model:
+    """A model that Python workers load themselves."""
+    return Model(lambda df: score(df, scorer), profile, lemmas, tuple(names))
+
+
+def as_model(
+    model: Model | Callable[[Column], Column], profile: str, lemmas: Mapping[str, str] | None
+) -> Model:
+    """``model`` itself, or a plain column function with the cleaning the job would use."""
+    return model if isinstance(model, Model) else column_model(model, profile, lemmas)
+
+
 def word_logits(
     words: Column, weights: Mapping[str, Sequence[float]], bias: Sequence[float]
 ) -> Column:

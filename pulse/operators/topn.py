@@ -38,14 +38,17 @@ def top_posts(
 
 
 def top_n_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, spread: int = 32
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, spread: int | None = None
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their rank in ``rn``.
 
-    ``order`` must be total within a group. A group may hold most of the table: each map task
-    first keeps its own ``n`` best (the optimizer's group limit), ``spread`` tasks per group
-    reduce those, and only their survivors meet in one task.
+    ``order`` must be total within a group. A group may hold most of the table: its rows are dealt
+    over ``spread`` tasks (by default as many as a shuffle has partitions, so they grow with the cluster),
+    each keeps its ``n`` best, and only those meet in one task. For ``n`` up to 1000 the
+    optimizer's group limit cuts in the map tasks already; nothing here depends on that.
     """
+    if spread is None:
+        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread_rows = df.withColumn("_part", F.spark_partition_id() % spread)
     by_part = W.partitionBy(*group, "_part").orderBy(*order)
     some = spread_rows.withColumn("rn", F.row_number().over(by_part)).where(F.col("rn") <= n)

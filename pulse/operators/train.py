@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import SENTIMENTS
 from ..functions.text import profile as known_profile
+from .scoring import Model
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,11 @@ class Fitted:
     profile: str
     names: tuple[str, ...]
     text_col: str = "clean_text"
+    lemmas: Mapping[str, str] | None = None
+
+    def as_model(self) -> Model:
+        """The model as jobs take it; they clean texts as its training did."""
+        return Model(lambda df: self.predict(df, self.profile), self.profile, self.lemmas, self.names)
 
     def predict(self, df: DataFrame, profile: str) -> DataFrame:
         """Add ``logits``; refuses texts cleaned under another profile."""
@@ -37,7 +43,7 @@ class Fitted:
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        facts = {"profile": self.profile, "names": list(self.names), "text_col": self.text_col}
+        facts = {"profile": self.profile, "names": list(self.names), "text_col": self.text_col, "lemmas": self.lemmas}
         spark = SparkSession.active()
         spark.createDataFrame([(json.dumps(facts),)], "value string").write.mode(
             "overwrite").text(f"{path}/facts")
@@ -46,7 +52,7 @@ class Fitted:
     def load(spark: SparkSession, path: str) -> Fitted:
         facts = json.loads(spark.read.text(f"{path}/facts").first().value)
         model = PipelineModel.load(f"{path}/model")
-        return Fitted(model, facts["profile"], tuple(facts["names"]), facts["text_col"])
+        return Fitted(model, facts["profile"], tuple(facts["names"]), facts["text_col"], facts.get("lemmas"))
 
 
 def baseline(text_col: str, features: int = 1 << 14, max_iter: int = 20) -> Pipeline:
@@ -63,10 +69,11 @@ def baseline(text_col: str, features: int = 1 << 14, max_iter: int = 20) -> Pipe
 def fit(
     df: DataFrame, profile: str, text_col: str = "clean_text", label_col: str = "label",
     names: Sequence[str] = SENTIMENTS, estimator: Estimator | None = None,
+    lemmas: Mapping[str, str] | None = None,
 ) -> Fitted:
     """Fit on rows with a text and a label; ``estimator`` may be any Spark ML estimator or grid
     search that reads ``text_col`` and ``_y`` and writes ``rawPrediction``."""
     known_profile(profile)
     rows = df.select(F.col(text_col), F.col(label_col).cast("double").alias("_y")).dropna()
     model = (estimator or baseline(text_col)).fit(rows)
-    return Fitted(getattr(model, "bestModel", model), profile, tuple(names), text_col)
+    return Fitted(getattr(model, "bestModel", model), profile, tuple(names), text_col, lemmas)

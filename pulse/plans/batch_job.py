@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..functions.wordlists import SEED_LEMMAS
 from ..operators.periods import with_period
+from ..operators.scoring import Model
 from ..sources.files import write_csv
 from .dashboard import enrich
 
@@ -16,7 +17,7 @@ CLEANED = ("comment_text", "comment_created", "clean_text", "class_predictions",
 
 
 def cleaned_comments(
-    comments: DataFrame, logits: Callable[[Column], Column], period: str = "W",
+    comments: DataFrame, model: Model | Callable[[Column], Column], period: str = "W",
     lemmas: Mapping[str, str] = SEED_LEMMAS,
 ) -> DataFrame:
     """``comments(comment_text, comment_created)`` dated, cleaned and scored.
@@ -24,13 +25,13 @@ def cleaned_comments(
     Dated first: finding the periods then reads the times only.
     """
     dated = with_period(comments, "comment_created", period)
-    return enrich(dated, logits, "batch", lemmas).select(*CLEANED)
+    return enrich(dated, model, "batch", lemmas).select(*CLEANED)
 
 
 def run(
-    comments: DataFrame, logits: Callable[[Column], Column], folder: str, period: str = "W",
+    comments: DataFrame, model: Model | Callable[[Column], Column], folder: str, period: str = "W",
     lemmas: Mapping[str, str] = SEED_LEMMAS,
 ) -> None:
     """Write ``raw_comments`` as they came and ``cleaned_comments`` with all derived columns."""
     write_csv(comments.select("comment_text", "comment_created"), f"{folder}/raw_comments")
-    write_csv(cleaned_comments(comments, logits, period, lemmas), f"{folder}/cleaned_comments")
+    write_csv(cleaned_comments(comments, model, period, lemmas), f"{folder}/cleaned_comments")

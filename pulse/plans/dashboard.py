@@ -14,7 +14,7 @@ from ..functions.wordlists import SEED_LEMMAS, STOPWORDS
 from ..operators.aggregates import label_counts, label_pivot, length_density, length_hist, top_words
 from ..operators.entities import mentions_in
 from ..operators.periods import with_period
-from ..operators.scoring import with_predictions
+from ..operators.scoring import Model, as_model, with_predictions
 from ..settle import settle
 
 REPORT = ("comment_text", "sentiment_labels", "comment_created", "period_int", "post_title",
@@ -44,12 +44,16 @@ def tag_posts(posts: DataFrame, gazetteer: Mapping[str, str]) -> DataFrame:
 
 
 def enrich(
-    comments: DataFrame, logits: Callable[[Column], Column], profile: str = "serving",
+    comments: DataFrame, model: Model | Callable[[Column], Column], profile: str = "serving",
     lemmas: Mapping[str, str] = SEED_LEMMAS,
 ) -> DataFrame:
-    """Add clean text, logits, class and label to comments."""
-    cleaned = once(comments, clean_text=normalize(F.col("comment_text"), profile, lemmas))
-    return with_predictions(cleaned.withColumn("logits", logits(F.col("clean_text"))))
+    """Add clean text, logits, class and label to comments.
+
+    ``model`` brings its own cleaning; ``profile`` and ``lemmas`` are for a plain column function.
+    """
+    model = as_model(model, profile, lemmas)
+    cleaned = once(comments, clean_text=normalize(F.col("comment_text"), model.profile, model.lemmas))
+    return with_predictions(model.apply(cleaned), names=model.names)
 
 
 def with_entities(
@@ -65,7 +69,7 @@ def with_entities(
 
 
 def comment_report(
-    posts: DataFrame, comments: DataFrame, logits: Callable[[Column], Column],
+    posts: DataFrame, comments: DataFrame, model: Model | Callable[[Column], Column],
     gazetteer: Mapping[str, str], period: str = "D", lemmas: Mapping[str, str] = SEED_LEMMAS,
 ) -> DataFrame:
     """Every comment with label, period number, post title and entities.
@@ -73,12 +77,12 @@ def comment_report(
     Beside the report columns, ``post_id`` and ``clean_text`` stay available. Periods come
     first: finding them must read the times only, not clean texts.
     """
-    scored = enrich(with_period(comments, "comment_created", period), logits, lemmas=lemmas)
+    scored = enrich(with_period(comments, "comment_created", period), model, lemmas=lemmas)
     return with_entities(posts, scored, gazetteer)
 
 
 def dashboard(
-    posts: DataFrame, comments: DataFrame, logits: Callable[[Column], Column],
+    posts: DataFrame, comments: DataFrame, model: Model | Callable[[Column], Column],
     gazetteer: Mapping[str, str], period: str = "D", show_text_analysis: bool = False,
     n_words: int = 20, bins: int = 30, stopwords: Iterable[str] = STOPWORDS,
 ) -> Dashboard:
@@ -90,7 +94,7 @@ def dashboard(
     """
     asked = comments.join(posts.select("post_id"), "post_id", "left_semi")
     columns = ("post_id", "comment_text", "comment_created", "clean_text", "sentiment_labels")
-    scored = settle(enrich(asked, logits).select(*columns), "scored")
+    scored = settle(enrich(asked, model).select(*columns), "scored")
     dated = with_period(scored, "comment_created", period)
     shown = with_entities(posts, dated, gazetteer).select(*REPORT)
     over_time, counts = (f(scored, period=period) for f in (label_counts, label_pivot))

@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ...sources.tables import widen
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -33,8 +31,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly, for text work over the given tables.
+
+    Each of them is one file of one row group, so its scan is one task. A step of the checked queries
+    only, not of the operators; taken at any size, and by no key, so that plans show every exchange that
+    the operators themselves need.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return widen(table(spark, sf, "documents"), "doc_id")
+    return dealt(table(spark, sf, "documents"))
 
 
 # Events stand in for dated, labelled comments.
@@ -63,7 +71,7 @@ TEXTS_SQL = """texts AS (
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    pages = widen(table(spark, sf, "pages"), "page_id").select(
+    pages = dealt(table(spark, sf, "pages")).select(
         (-1 - F.col("page_id")).alias("id"), F.concat("html", F.lit(" "), "url", F.lit(" seen")).alias("text")
     )
     return documents(spark, sf).select(F.col("doc_id").alias("id"), "text").unionByName(pages)

@@ -68,15 +68,17 @@ def sentiment_over_time(spark, sf):
 
 @query(
     "sentiment_over_time_filled",
-    f"""WITH {_COUNTS_SQL.replace("FROM comments", "FROM comments WHERE label <> 'neutral' OR day(ts) > 15")}
+    """WITH c AS (SELECT CAST(date_trunc('day', o_orderdate) AS DATE) AS period_date, o_orderpriority AS label FROM orders),
+    counts AS (SELECT period_date, label, count(*) AS n FROM c GROUP BY ALL),
+    starts AS (SELECT period_date, CAST(row_number() OVER (ORDER BY period_date) AS INTEGER) AS period_int
+        FROM (SELECT DISTINCT period_date FROM c))
     SELECT period_int, period_date, l.label, coalesce(n, 0) AS n
-    FROM starts CROSS JOIN (VALUES ('negative'), ('neutral'), ('positive')) AS l(label)
-    LEFT JOIN counts USING (period_date, label)""",
+    FROM starts CROSS JOIN (SELECT DISTINCT label FROM c) AS l LEFT JOIN counts USING (period_date, label)""",
 )
 def sentiment_over_time_filled(spark, sf):
-    # early neutral comments are left out, so that there is something to fill
-    some = comments(spark, sf).where((F.col("label") != "neutral") | (F.dayofmonth("ts") > 15))
-    return label_counts(some, "ts", "label", "W", zero_fill=True)
+    # days on which a priority does not occur
+    priorities = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    return label_counts(table(spark, sf, "orders"), "o_orderdate", "o_orderpriority", "D", priorities, zero_fill=True)
 
 
 @query(
@@ -93,6 +95,20 @@ def sentiment_pivot(spark, sf):
     return label_pivot(comments(spark, sf), "ts", "label", "W")
 
 
+@query(
+    "sentiment_pivot_other",
+    """WITH c AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS period_date, CASE WHEN event_type <> 'click' THEN event_type END AS label FROM events),
+    n AS (SELECT CAST(dense_rank() OVER (ORDER BY period_date) AS INTEGER) AS period_int, period_date,
+        count(*) FILTER (label = 'view') AS view, count(*) FILTER (label = 'error') AS error,
+        count(*) FILTER (label NOT IN ('view', 'error')) AS other, count(label) AS total FROM c GROUP BY period_date)
+    SELECT * FROM n WHERE total > 0""",
+)
+def sentiment_pivot_other(spark, sf):
+    # some event types are not listed, and clicks have no label at all
+    rows = table(spark, sf, "events").withColumn("label", F.when(F.col("event_type") != "click", F.col("event_type")))
+    return label_pivot(rows, "ts", "label", "W", ["view", "error"], other="other")
+
+
 @query(
     "sentiment_pivot_month",
     """WITH c AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period_date, o_orderstatus AS s

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from ...operators.entities import TYPES, entity_counts, extract, mentions, mentions_in, raw_words
 from ...operators.topn import drop_stickied, top_n_per_post, top_posts
+from ...functions.wordlists import SEED_LEMMAS
+from ...operators.scoring import python_model
 from ..batch_job import CLEANED, cleaned_comments
 from ..dashboard import comment_report
 from ...sources.feed import flatten_posts, join_posts
-from ...sources.tables import widen
-from .base import documents, query, quoted, table, words_sql
+from .base import dealt, documents, query, quoted, table, words_sql, ORACLES
 from .cleaning import normalize_sql
-from .scores import _NAME_SQL, class_sql, text_logits, word_logits_sql
+from .scores import _NAME_SQL, WordScorer, class_sql, text_logits, word_logits_sql
 
 
 @query(
@@ -43,6 +44,18 @@ def topn(spark, sf):
     return top_n_per_post(rows, 7, order, "user_id").select("user_id", "event_id", "rn")
 
 
+@query(
+    "topn_large",
+    """SELECT event_type, event_id, rn FROM (SELECT event_type, event_id,
+        CAST(row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS INTEGER) AS rn FROM events)
+    WHERE rn <= 1500""",
+)
+def topn_large(spark, sf):
+    order = [F.desc("value"), F.asc("event_id")]
+    rows = table(spark, sf, "events").select("event_type", "event_id", "value")
+    return top_n_per_post(rows, 1500, order, "event_type").select("event_type", "event_id", "rn")
+
+
 @query(
     "topn_then_filter",
     """SELECT conv_id, turn, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
@@ -67,14 +80,30 @@ _LINES_SQL = """lines AS (SELECT doc_id, source, unnest(string_split(text, chr(1
     FROM lines WHERE i < 5 AND i > 0""",
 )
 def flatten(spark, sf):
+    return flatten_posts(_nested(spark, sf), 5).select("post_id", "post_title", "post_created", "comment_text", "comment_created")
+
+
+def _nested(spark, sf):
     made = F.lit(1704067200) + F.col("doc_id")
     lines = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(
         i.alias("rank"), line.alias("body"), (made + i).alias("created_utc"), (i == 0).alias("stickied")))
-    posts = documents(spark, sf).select(
+    return documents(spark, sf).select(
         F.col("doc_id").cast("string").alias("post_id"), F.col("source").alias("title"),
         F.col("text").alias("selftext"), made.alias("created_utc"), lines.alias("comments"),
     )
-    return flatten_posts(posts, 5).select("post_id", "post_title", "post_created", "comment_text", "comment_created")
+
+
+@query(
+    "flatten_posts_all",
+    f"""WITH {_LINES_SQL}
+    SELECT CAST(lines.doc_id AS VARCHAR) AS post_id, lines.source AS post_title, documents.text AS post_text,
+        strftime(epoch_ms((1704067200 + lines.doc_id) * 1000), '%Y-%m-%d %H:%M:%S') AS post_created, body AS comment_text,
+        strftime(epoch_ms((1704067200 + lines.doc_id + i) * 1000), '%Y-%m-%d %H:%M:%S') AS comment_created
+    FROM lines JOIN documents USING (doc_id) WHERE i > 0""",
+)
+def flatten_all(spark, sf):
+    return flatten_posts(_nested(spark, sf)).select(
+        "post_id", "post_title", "post_text", "post_created", "comment_text", "comment_created")
 
 
 @query(
@@ -185,7 +214,7 @@ def _posts(spark, sf):
 
 
 def _comments(spark, sf):
-    turns = widen(table(spark, sf, "conversations"), "conv_id", "turn").withColumn("comment_id", F.col("conv_id") * 8 + F.col("turn"))
+    turns = dealt(table(spark, sf, "conversations")).withColumn("comment_id", F.col("conv_id") * 8 + F.col("turn"))
     times = table(spark, sf, "events").select(F.col("event_id").alias("comment_id"), F.col("ts").alias("comment_created"))
     return turns.join(times, "comment_id").select(
         "comment_id", F.col("conv_id").alias("post_id"), F.col("text").alias("comment_text"), "comment_created"
@@ -210,7 +239,10 @@ def _comments(spark, sf):
         LEFT JOIN p2_found p2f ON p2f.k = post_id LEFT JOIN c_found cf ON cf.k = comment_id""",
 )
 def report(spark, sf):
-    out = comment_report(_posts(spark, sf), _comments(spark, sf), text_logits, PHRASES, "D")
+    return _shown(comment_report(_posts(spark, sf), _comments(spark, sf), text_logits, PHRASES, "D"))
+
+
+def _shown(out):
     return out.select(
         "comment_id", "comment_text", "sentiment_labels",
         F.date_format("comment_created", "yyyy-MM-dd HH:mm:ss").alias("comment_created"),
@@ -218,6 +250,12 @@ def report(spark, sf):
     )
 
 
+@query("comment_report_python", ORACLES["comment_report"])
+def report_python(spark, sf):
+    out = comment_report(_posts(spark, sf), _comments(spark, sf), python_model(WordScorer(), lemmas=SEED_LEMMAS), PHRASES, "D")
+    return _shown(out)
+
+
 @query(
     "cleaned_comments",
     f"""WITH {_REPORT_SQL}, cleaned AS (SELECT *, {normalize_sql('comment_text', 'batch')} AS clean_text FROM c),

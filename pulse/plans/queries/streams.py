@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ...functions.wordlists import SLANG
 from ...streaming.live import drain, monthly_rollup, stream_label_counts, stream_score, table_stream
-from .base import COMMENTS_SQL, label_of, query, table, words_sql
+from .base import COMMENTS_SQL, ORACLES, label_of, query, table, words_sql
 from .cleaning import clean_sql, expand_sql, tokens_sql
-from .scores import _NAME_SQL, WORD_BIAS, WORD_WEIGHTS, class_sql, word_logits_sql
+from ...operators.scoring import python_model
+from .scores import _NAME_SQL, WordScorer, WORD_BIAS, WORD_WEIGHTS, class_sql, word_logits_sql
 
 
 def _stream(spark, sf, name):
@@ -31,6 +32,12 @@ def scored(spark, sf):
     return drain(out.select("conv_id", "turn", "clean_text", "sentiment_labels"), "stream-score")
 
 
+@query("stream_score_python", ORACLES["stream_score"])
+def scored_python(spark, sf):
+    out = stream_score(_stream(spark, sf, "conversations"), text_col="text", model=python_model(WordScorer()))
+    return drain(out.select("conv_id", "turn", "clean_text", "sentiment_labels"), "stream-score-python")
+
+
 @query(
     "stream_sentiment",
     f"""WITH {COMMENTS_SQL} SELECT CAST(date_trunc('week', ts) AS DATE) AS period_date, label, count(*) AS n

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
@@ -12,7 +12,7 @@ from ..functions.binding import once
 from ..functions.labels import SENTIMENTS, encode_labels
 from ..functions.text import normalize
 from ..operators.datasets import length_filter, split
-from ..operators.evaluate import metrics, report
+from ..operators.evaluate import best_run, metrics, report
 from ..operators.scoring import with_predictions
 from ..operators.train import Fitted, fit
 from ..settle import settle
@@ -30,17 +30,28 @@ def training_rows(
 
 
 def train_and_evaluate(
-    rows: DataFrame, estimator: Estimator | None = None
+    rows: DataFrame, estimator: Estimator | None = None, candidates: Mapping[str, Estimator] | None = None,
+    profile: str = PROFILE, names: Sequence[str] = SENTIMENTS, lemmas: Mapping[str, str] | None = None,
 ) -> tuple[Fitted, DataFrame, DataFrame]:
     """Fit on the train rows; overall metrics and class report on the test rows.
 
+    Of several ``candidates`` (name -> estimator) the one with the best accuracy on the validation
+    rows is kept. ``profile`` and ``lemmas`` tell how ``rows`` were cleaned; the model keeps them.
     Fitting passes over its rows many times, so they are cleaned once and written first.
     """
     rows = settle(rows.select("clean_text", "label", "split"), "training")
-    fitted = fit(rows.where(F.col("split") == "train"), PROFILE, estimator=estimator)
-    held = with_predictions(fitted.predict(rows.where(F.col("split") == "test"), PROFILE))
+    train, val, test = (rows.where(F.col("split") == part) for part in ("train", "val", "test"))
+    fitted = {name: fit(train, profile, names=names, estimator=e, lemmas=lemmas)
+              for name, e in (candidates or {"only": estimator}).items()}
+    kept = next(iter(fitted))
+    if len(fitted) > 1:
+        runs = [(name, 1, metrics(f.predict(val, profile), "label", "logits", len(names)).first().accuracy)
+                for name, f in fitted.items()]  # a row per candidate
+        best = best_run(rows.sparkSession.createDataFrame(runs, "run string, epoch int, val_accuracy double")).first()
+        kept = best.run if best else kept
+    held = with_predictions(fitted[kept].predict(test, profile), names=names)
     return (
-        fitted,
-        metrics(held, "label", "logits", len(SENTIMENTS)),
-        report(held, "label", "class_predictions", SENTIMENTS),
+        fitted[kept],
+        metrics(held, "label", "logits", len(names)),
+        report(held, "label", "class_predictions", names),
     )

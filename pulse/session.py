@@ -37,14 +37,11 @@ def session(app: str = "pulse", master: str | None = None, **conf: str) -> Spark
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that setting
-    falls back to a temporary folder, since there driver and executors share one disk.
+    The session names it in ``spark.checkpoint.dir``, whatever its master.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="pulse-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{root.rstrip('/')}/pulse/{name}-{uuid.uuid4().hex}"
 
 

@@ -14,8 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.binding import once
 from ..functions.text import normalize, split_words
-from ..operators.aggregates import TABLE_LABELS
-from ..operators.scoring import with_predictions, word_logits
+from ..operators.scoring import Model, column_model, with_predictions, word_logits
 from ..session import shared_dir
 
 # Stream windows. Epoch day 0 was a Thursday, so Monday weeks start 4 days later.
@@ -34,23 +33,31 @@ def table_stream(
 
 
 def stream_score(
-    comments: DataFrame, weights: Mapping[str, Sequence[float]], bias: Sequence[float],
-    text_col: str = "comment_text", profile: str = "serving",
-    logits: Callable[[Column], Column] | None = None,
+    comments: DataFrame, weights: Mapping[str, Sequence[float]] | None = None,
+    bias: Sequence[float] | None = None, text_col: str = "comment_text", profile: str = "serving",
+    logits: Callable[[Column], Column] | None = None, model: Model | None = None,
 ) -> DataFrame:
-    """Clean and score each comment; no state. ``logits`` replaces the word-weight scorer."""
-    cleaned = once(comments, clean_text=normalize(F.col(text_col), profile))
-    text = F.col("clean_text")
-    z = logits(text) if logits else word_logits(split_words(text), weights, bias)
-    return with_predictions(cleaned.withColumn("logits", z))
+    """Clean and score each comment; no state.
+
+    Scored by ``model``, which may be any that the batch jobs take and brings its own cleaning, else
+    by the column function ``logits``, else by word weights.
+    """
+    if model is None:
+        made = logits or (lambda text: word_logits(split_words(text), weights, bias))
+        model = column_model(made, profile)
+    cleaned = once(comments, clean_text=normalize(F.col(text_col), model.profile, model.lemmas))
+    return with_predictions(model.apply(cleaned), names=model.names)
 
 
 def stream_label_counts(
     comments: DataFrame, ts_col: str = "comment_created", label_col: str = "sentiment_labels",
-    period: str = "D", watermark: str = "1 hour", labels: Sequence[str] = TABLE_LABELS,
+    period: str = "D", watermark: str = "1 hour", labels: Sequence[str] | None = None,
+    other: str = "other",
 ) -> DataFrame:
     """``period_date, label, n`` per day or week; rows later than ``watermark`` are dropped.
 
+    Every label is counted; with ``labels``, those not among them under the name ``other``.
+
     State is one counter per open window and label. Months are no stream window: count days
     and use :func:`monthly_rollup`.
     """
@@ -62,8 +69,11 @@ def stream_label_counts(
     ts = F.col(ts_col)
     if zoneless:
         ts = F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
-    timed = comments.select(ts.alias("ts"), F.col(label_col).alias("label"))
-    counts = timed.where(F.col("label").isin(list(labels))).withWatermark("ts", watermark).groupBy(
+    label = F.col(label_col)
+    if labels is not None:
+        label = F.when(label.isNull() | label.isin(list(labels)), label).otherwise(other)
+    timed = comments.where(F.col(label_col).isNotNull()).select(ts.alias("ts"), label.alias("label"))
+    counts = timed.withWatermark("ts", watermark).groupBy(
         F.window("ts", length, startTime=offset), "label"
     ).agg(F.count(F.lit(1)).alias("n"))
     start = F.to_utc_timestamp(F.col("window.start"), F.current_timezone())

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from pulse.functions.labels import EMOTIONS, SENTIMENTS, decode, encode_labels
 from pulse.functions.vectors import argmax, linear, one_hot, softmax
-from pulse.operators import entities
+
 from pulse.operators.encoding import build_vocab, encode
 from pulse.operators.entities import entity_counts, extract, mentions, mentions_in
 from pulse.operators.evaluate import best_run, last_is_best, metrics, report
-from pulse.operators.scoring import score, with_predictions, word_logits
+from pulse.operators.scoring import column_model, python_model, score, with_predictions, word_logits
 from pulse.operators.train import Fitted, baseline, fit
+from pulse.plans.dashboard import enrich
 
 
 def test_label_codings(spark):
@@ -136,12 +137,52 @@ def test_entities_inline_and_joined(spark):
     assert counts[("New York Times", "ORG")] == 2 and ("Monday", "DATE") not in counts
 
 
-def test_gazetteer_with_too_many_first_words(spark, monkeypatch):
-    monkeypatch.setattr(entities, "_MAX_FIRST_WORDS", 1)
+def test_one_way_for_gazetteers_of_any_size(spark):
     df = spark.createDataFrame(list(enumerate(t for t, _ in TEXTS)), "id int, t string")
     table = spark.createDataFrame(list(GAZETTEER.items()), "phrase string, type string")
-    out = {r.id: r.named_entities for r in extract(df, "id", ["t"], table).collect()}
-    assert [out[i] for i in range(len(TEXTS))] == [want for _, want in TEXTS]
+    large = table.union(spark.range(5000).select(F.concat(F.lit("First"), "id", F.lit(" last")), F.lit("ORG")))
+    for gazetteer in (table, large):
+        out = {r.id: r.named_entities for r in extract(df, "id", ["t"], gazetteer).collect()}
+        assert [out[i] for i in range(len(TEXTS))] == [want for _, want in TEXTS]
+
+
+def constant(value):
+    class Constant:  # local, so that it travels to the workers by value
+        name = "m"
+
+        def load(self):
+            return lambda batch: [[value, 0.0, 0.0]] * len(batch)
+
+    return Constant()
+
+
+def test_a_model_trained_anew_under_its_name_is_loaded(spark):
+    df = spark.createDataFrame([("a",)], "clean_text string")
+    for value in (1.0, 2.0, 1.0):
+        assert score(df, constant(value)).first().logits == [value, 0.0, 0.0]
+
+
+def test_jobs_take_any_model(spark):
+    df = spark.createDataFrame([("GOOD day",), (None,)], "comment_text string")
+    models = [python_model(constant(3.0)), column_model(lambda t: F.array(F.lit(3.0), F.lit(0.0), F.lit(0.0)))]
+    got = [[(r.clean_text, r.class_predictions, r.sentiment_labels) for r in enrich(df, m).collect()] for m in models]
+    assert got[0] == got[1] and got[0][0][1:] == (0, "neutral")
+
+
+def test_a_fitted_model_brings_its_cleaning(spark, tmp_path):
+    rows = spark.createDataFrame([("fine dogs", 1), ("bad cats", 2)] * 10, "clean_text string, label int")
+    fitted = fit(rows, "training", lemmas={"dogs": "dog"})
+    fitted.save(str(tmp_path / "m"))
+    model = type(fitted).load(spark, str(tmp_path / "m")).as_model()
+    assert (model.profile, model.lemmas) == ("training", {"dogs": "dog"})
+    got = enrich(spark.createDataFrame([("fine dogs",)], "comment_text string"), model).first()
+    assert got.clean_text == "fine dog" and got.sentiment_labels == "positive"
+
+
+def test_metrics_leave_out_rows_without_a_class_or_logits(spark):
+    rows = [(0, [2.0, 0.0, 0.0]), (3, [0.0, 0.0, 1.0]), (-1, [0.0, 0.0, 1.0]), (None, [0.0, 0.0, 1.0]), (1, [1.0]), (1, None)]
+    got = metrics(spark.createDataFrame(rows, "y int, z array<double>"), "y", "z", 3, left_out="skipped").first()
+    assert got.skipped == 5 and got.accuracy == 1.0 and got.recall == 1.0 and got.precision == 1.0
 
 
 def test_entities_of_several_columns_keep_order(spark):

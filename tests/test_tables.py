@@ -54,7 +54,10 @@ def test_row_periods_keep_rows_without_time(sample):
 
 def test_rank_does_not_gather_rows(sample):
     plan = with_period(sample, "comment_created", "D")._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    # one partition ranks the distinct starts, behind an aggregation, and is broadcast
+    rows, starts = plan.split("BroadcastExchange", 1)
+    assert "SinglePartition" not in rows and starts.count("SinglePartition") == 1
+    assert "HashAggregate" in starts.split("SinglePartition", 1)[1]
 
 
 @pytest.mark.parametrize("period, day", [
@@ -181,3 +184,23 @@ def test_exact_split_sizes(spark):
     }
     two = exact_split(df, "id", 2018, test=0.2, val=0.0)
     assert Counter(r.split for r in two.collect()) == {"test": 200, "train": 800}
+
+
+def test_periods_agree_and_no_label_is_lost(spark):
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(days=7 * k) for k in range(4)]
+    df = spark.createDataFrame(list(zip(days, [None, "positive", "mixed", "negative"])), "comment_created timestamp, sentiment_labels string")
+    ranked = {r.comment_created: r.period_int for r in with_period(df).collect()}
+    pivot = {r.period_int: r for r in label_pivot(df, other="other").collect()}
+    assert list(ranked.values()) == [1, 2, 3, 4] and sorted(pivot) == [2, 3, 4]
+    assert (pivot[3].other, pivot[3].total, pivot[2].other) == (1, 1, 0)
+    assert {(r.period_int, r.label, r.n) for r in label_counts(df).collect()} == {(2, "positive", 1), (3, "mixed", 1), (4, "negative", 1)}
+
+
+def test_large_n_of_a_hot_group_is_cut_in_many_tasks(spark):
+    df = spark.range(6000).select((F.col("id") % 10 == 0).cast("int").alias("g"), "id")
+    out = top_n_per_group(df, ["g"], [F.asc("id")], 1500)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(g") == 2 and "_part" in plan
+    got = {(r.g, r.id): r.rn for r in out.collect()}
+    want = [(g, [i for i in range(6000) if (i % 10 == 0) == bool(g)][:1500]) for g in (0, 1)]
+    assert got == {(g, i): k + 1 for g, ids in want for k, i in enumerate(ids)}
