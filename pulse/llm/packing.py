@@ -37,8 +37,9 @@ WINDOW, GRAIN, CUT = 4096, 16, 64
 DEPTH = 3
 #: Pieces that one task ranks, and tokens that one task packs greedily, about.
 RANKED, GREEDY = 50_000, 1 << 20
-#: Places for words that a worker remembers (a power of two), and ids of all of them at most; both are bounded memory.
-KNOWN, KNOWN_IDS = 1 << 21, 24 << 20
+#: Places for words that a worker remembers (a power of two), ids of all of them at most, and parts of words that
+#: it remembers besides; all bounded memory.
+KNOWN, KNOWN_IDS, KNOWN_PARTS = 1 << 21, 24 << 20, 200_000
 
 
 class Words:
@@ -53,6 +54,9 @@ class Words:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.parts: dict[str, list[int]] = {}
+        # whether ASCII letters and the sign after them are parts of their own, in lower case
+        self.simple = all(self._split(a + b) == [a.lower(), b] for a in ("Abc", "x") for b in ".,;:!?")
         self._forget()
 
     def _forget(self) -> None:
@@ -60,11 +64,25 @@ class Words:
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def ids_of(self, word: str) -> list[int]:
-        whole = self.whole
         if "<|" in word:  # may hold a special token
-            return whole.encode(word, add_special_tokens=False).ids
-        parts = whole.pre_tokenizer.pre_tokenize_str(whole.normalizer.normalize_str(word))
-        return [t.id for part, _ in parts for t in whole.model.tokenize(part)]
+            return self.whole.encode(word, add_special_tokens=False).ids
+        if self.simple and word.isascii():
+            if word.isalpha():
+                return self._ids_of_part(word.lower())
+            if word[-1] in ".,;:!?" and word[:-1].isalpha():
+                return self._ids_of_part(word[:-1].lower()) + self._ids_of_part(word[-1])
+        return [i for part in self._split(word) for i in self._ids_of_part(part)]
+
+    def _split(self, word: str) -> list[str]:
+        return [part for part, _ in self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(word))]
+
+    def _ids_of_part(self, part: str) -> list[int]:
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) >= KNOWN_PARTS:
+                self.parts.clear()
+            ids = self.parts[part] = [t.id for t in self.whole.model.tokenize(part)]
+        return ids
 
     def _learn(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         size = np.array([len(x) for x in found], np.int64)
