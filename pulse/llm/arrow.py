@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ship_package
 
 #: Rows and bytes that a Python worker gets at once.
-BATCH_ROWS = 2000
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 500
+BATCH_BYTES = 2 << 20
 
 
 def prepare(spark: SparkSession) -> None:

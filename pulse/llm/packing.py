@@ -39,7 +39,7 @@ DEPTH = 3
 RANKED, GREEDY = 50_000, 1 << 20
 #: Places for words that a worker remembers (a power of two), ids of all of them at most, and parts of words that
 #: it remembers besides; all bounded memory.
-KNOWN, KNOWN_IDS, KNOWN_PARTS = 1 << 21, 24 << 20, 200_000
+KNOWN, KNOWN_IDS, KNOWN_PARTS = 1 << 21, 12 << 20, 100_000
 
 
 class Words:
@@ -54,6 +54,7 @@ class Words:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.kind = np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32
         self.parts: dict[str, list[int]] = {}
         # whether ASCII letters and the sign after them are parts of their own, in lower case
         self.simple = all(self._split(a + b) == [a.lower(), b] for a in ("Abc", "x") for b in ".,;:!?")
@@ -61,7 +62,7 @@ class Words:
 
     def _forget(self) -> None:
         self.keys, self.at, self.size = np.zeros(KNOWN, np.uint64), np.zeros(KNOWN, np.int32), np.zeros(KNOWN, np.int32)
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
 
     def ids_of(self, word: str) -> list[int]:
         if "<|" in word:  # may hold a special token
@@ -89,9 +90,9 @@ class Words:
         at = self.used + np.cumsum(size) - size
         self.used += int(size.sum())
         if self.used > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), self.used), np.uint32)])
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), self.used), self.kind)])
         if len(found):
-            self.pool[at[0]:self.used] = np.concatenate([np.array(x, np.uint32) for x in found])
+            self.pool[at[0]:self.used] = np.concatenate([np.array(x, self.kind) for x in found])
         return at, size
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +161,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text:
             rows = []
             flat, cuts = known.encode(b["text"])
             for name, low, high in zip(b["id"].to_pylist(), cuts[:-1], cuts[1:]):
-                ids = np.append(flat[low:high], np.uint32(end)).astype("<u4").tobytes()
+                ids = np.append(flat[low:high].astype("<u4"), np.uint32(end)).astype("<u4").tobytes()
                 n = len(ids) // 4
                 for start in range(0, n, WINDOW):
                     part = memoryview(ids)[4 * start:4 * (start + WINDOW)]
