@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.text import clean, normalize, tokens
+from ...functions.binding import once
+from ...operators.bayes import fit_bayes
 from ...operators.datasets import exact_sample, exact_split, hash_sample, split
 from ...operators.encoding import build_vocab, encode
 from ...operators.scoring import with_predictions
@@ -155,7 +157,52 @@ def score_ml(spark, sf):
 def train_eval(spark, sf):
     """Fits a model: no SQL."""
     _, overall, per_class = train_and_evaluate(training_rows(_labelled(spark, sf), "doc_id", "s"))
-    summary = overall.select(
-        F.lit("overall").alias("label"), "precision", "recall", "f1", F.col("accuracy").alias("support")
-    )
-    return per_class.unionByName(summary)
+    summary = overall.select(F.lit("overall").alias("label"), "precision", "recall", "f1", "loss", "accuracy")
+    return per_class.unionByName(summary, allowMissingColumns=True)
+
+
+_NB_SQL = f"""l AS (SELECT doc_id, {{clean}} AS clean_text, {_SENTIMENT_SQL} AS s FROM documents JOIN labels USING (doc_id)),
+    sized AS (SELECT *, CAST(len({words_sql('clean_text')}) AS INTEGER) AS text_len FROM l),
+    r AS (SELECT doc_id, clean_text, CASE s WHEN -1 THEN 2 ELSE s END AS y, CASE WHEN {_below('s/test', 0.1)} THEN 'test'
+        WHEN {_below('s/val', 0.2)} THEN 'val' ELSE 'train' END AS split FROM sized WHERE text_len BETWEEN 2 AND 1000),
+    p AS (SELECT {', '.join(f'ln((count(*) FILTER (y = {i}) + 1.0::DOUBLE) / (count(*) + 3.0::DOUBLE)) AS p{i}' for i in range(3))} FROM r WHERE split = 'train'),
+    c AS (SELECT word, {', '.join(f'count(*) FILTER (y = {i}) AS n{i}' for i in range(3))}
+        FROM (SELECT y, unnest({words_sql('clean_text')}) AS word FROM r WHERE split = 'train') GROUP BY word),
+    w AS (SELECT word, {', '.join(f'ln((n{i} + 1.0::DOUBLE) / ((sum(n{i}) OVER ()) + count(*) OVER ())::DOUBLE) AS z{i}' for i in range(3))} FROM c)""".replace(
+    "{clean}", f"array_to_string({tokens_sql(clean_sql('text', 'training'))}, ' ')")
+
+
+def _bayes(spark, sf):
+    rows = training_rows(_labelled(spark, sf), "doc_id", "s").select("doc_id", "clean_text", "label", "split")
+    rows = settle(rows, "bayes-training")
+    return rows, fit_bayes(rows.where(F.col("split") == "train"), PROFILE)
+
+
+@query(
+    "score_nb",
+    f"""WITH {_NB_SQL}, t AS (SELECT doc_id, unnest({words_sql('clean_text')}) AS word
+        FROM (SELECT doc_id, array_to_string({tokens_sql(clean_sql('text', 'training'))}, ' ') AS clean_text FROM documents)),
+    s AS (SELECT doc_id, sum(z0) AS z0, sum(z1) AS z1, sum(z2) AS z2 FROM t JOIN w USING (word) GROUP BY doc_id)
+    SELECT doc_id, round(p0 + coalesce(z0, 0), 3) AS z0, round(p1 + coalesce(z1, 0), 3) AS z1, round(p2 + coalesce(z2, 0), 3) AS z2
+    FROM documents LEFT JOIN s USING (doc_id), p""",
+)
+def score_nb(spark, sf):
+    _, model = _bayes(spark, sf)
+    rows = once(documents(spark, sf).select("doc_id", "text"), clean_text=normalize(F.col("text"), PROFILE))
+    scored = model.predict(rows, "doc_id")
+    return scored.select("doc_id", *[F.round(F.col("logits")[i], 3).alias(f"z{i}") for i in range(3)])
+
+
+@query(
+    "train_nb_eval",
+    f"""WITH {_NB_SQL}, t AS (SELECT doc_id, unnest({words_sql('clean_text')}) AS word FROM r WHERE split <> 'train'),
+    s AS (SELECT doc_id, sum(z0) AS z0, sum(z1) AS z1, sum(z2) AS z2 FROM t JOIN w USING (word) GROUP BY doc_id),
+    z AS (SELECT split, y, [p0 + coalesce(z0, 0), p1 + coalesce(z1, 0), p2 + coalesce(z2, 0)] AS z
+        FROM r LEFT JOIN s USING (doc_id), p WHERE split <> 'train')
+    SELECT split, count(*) AS n, round(avg(CASE WHEN list_position(z, list_max(z)) - 1 = y THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS accuracy FROM z GROUP BY split""",
+)
+def train_nb_eval(spark, sf):
+    rows, model = _bayes(spark, sf)
+    held = with_predictions(model.predict(rows.where(F.col("split") != "train"), "doc_id"))
+    right = (F.col("class_predictions") == F.col("label")).cast("double")
+    return held.groupBy("split").agg(F.count("*").alias("n"), F.round(F.avg(right), 6).alias("accuracy"))

@@ -50,11 +50,7 @@ def parse_lines(
     ``missing <field>`` for the first field of the schema that the object lacks.
     """
     others = [c for c in lines.columns if c != line_col]
-    wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = lines.withColumn("_row", F.from_json(
-        F.col(line_col), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    ))
-    parsed = parsed.withColumn("_reason", _reason(F.col(line_col), schema))
+    parsed = _parsed(lines, line_col, schema)
     good = parsed.where(F.col("_reason").isNull()).select(
         *others, *[F.col(f"_row.{f.name}").alias(f.name) for f in schema.fields]
     )
@@ -64,6 +60,15 @@ def parse_lines(
     return good, bad
 
 
+def _parsed(lines: DataFrame, line_col: str, schema: T.StructType) -> DataFrame:
+    """``lines`` with the fields in ``_row`` and, for a bad line, why in ``_reason``."""
+    wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = lines.withColumn("_row", F.from_json(
+        F.col(line_col), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    ))
+    return parsed.withColumn("_reason", _reason(F.col(line_col), schema))
+
+
 def _reason(line: Column, schema: T.StructType) -> Column:
     keys = F.json_object_keys(line)
     out = F.when(
@@ -94,14 +99,15 @@ def read_jsonl(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    good, bad = parse_lines(lines.select("value", place.alias("_at")), "value", schema)
+    placed = lines.select("value", place.alias("_at"))
+    _, bad = parse_lines(placed, "value", schema)
     malformed = bad.where(F.col("reason") == "malformed")
     first = malformed.agg(F.min("_at").alias("at")).scalar()
-    before = first.isNull() | (F.col("_at") < first)
-    lacking = bad.where((F.col("reason") != "malformed") & before)
-    failed = lacking.select("_at", *[
-        F.raise_error(F.concat(F.lit("JSON line: "), F.col("reason"))).cast(f.dataType).alias(f.name)
+    # whole rows and lacking ones come from one scan; the bound is the other
+    parsed = _parsed(placed, "value", schema).where(first.isNull() | (F.col("_at") < first))
+    failure = F.raise_error(F.concat(F.lit("JSON line: "), F.col("_reason")))
+    kept = parsed.select(*[
+        F.when(F.col("_reason").isNull(), F.col(f"_row.{f.name}")).otherwise(failure.cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ])
-    kept = good.where(before).unionByName(failed)
-    return kept.drop("_at"), malformed.drop("_at")
+    return kept, malformed.drop("_at")
