@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..operators.aggregates import label_counts, label_pivot, length_density, le
 from ..operators.entities import mentions_in
 from ..operators.periods import with_period
 from ..operators.scoring import Model, as_model, with_predictions
+from ..operators.topn import drop_stickied, top_n_per_post, top_posts
 from ..settle import settle
 
 REPORT = ("comment_text", "sentiment_labels", "comment_created", "period_int", "post_title",
@@ -106,3 +108,20 @@ def dashboard(
         length_hist(scored, bins=bins),
         length_density(scored, bins=bins),
     )
+
+
+def dashboard_for(
+    posts: DataFrame, comments: DataFrame, model: Model | Callable[[Column], Column], community: str,
+    as_of: datetime, time_filter: str = "month", num_posts: int = 10, num_comments: int = 5,
+    gazetteer: Mapping[str, str] | None = None, **shown,
+) -> Dashboard:
+    """A request from end to end: the best posts of a community, their first comments, all tables.
+
+    ``posts(post_id, community, created, score, post_title, post_text)`` and ``comments(post_id, rank,
+    stickied, comment_text, comment_created)``. The slice of ``num_comments + 2`` comes before pinned
+    ones are dropped, so a post may show fewer or more than asked. ``shown`` goes to :func:`dashboard`.
+    """
+    chosen = settle(top_posts(posts, community, as_of, time_filter, num_posts), "posts")
+    own = comments.join(chosen.select("post_id"), "post_id", "left_semi")
+    first = top_n_per_post(own, num_comments + 2, [F.asc("rank")])
+    return dashboard(chosen, drop_stickied(first).drop("rn"), model, gazetteer or {}, **shown)

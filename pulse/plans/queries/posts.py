@@ -11,7 +11,7 @@ from ...operators.topn import drop_stickied, top_n_per_post, top_posts
 from ...functions.wordlists import SEED_LEMMAS
 from ...operators.scoring import python_model
 from ..batch_job import CLEANED, cleaned_comments
-from ..dashboard import comment_report
+from ..dashboard import comment_report, dashboard_for
 from ...sources.feed import flatten_posts, join_posts
 from .base import dealt, documents, query, quoted, table, words_sql, ORACLES
 from .cleaning import normalize_sql
@@ -268,3 +268,58 @@ def report_python(spark, sf):
 def cleaned(spark, sf):
     out = cleaned_comments(_comments(spark, sf), text_logits, "W").select(*CLEANED)
     return out.withColumn("comment_created", F.date_format("comment_created", "yyyy-MM-dd HH:mm:ss"))
+
+
+# A request: posts of a language by length, the first turns of each, without the system's.
+_REQUEST_SQL = f"""p AS (SELECT doc_id AS post_id, source AS post_title FROM documents
+        WHERE lang = 'en' AND TIMESTAMP '2024-01-20' - to_minutes(doc_id) > TIMESTAMP '2024-01-20' - INTERVAL 1 MONTH
+        ORDER BY n_chars DESC, doc_id LIMIT 150),
+    asked AS (SELECT conv_id AS post_id, conv_id * 8 + turn AS comment_id, role, text AS comment_text, ts, post_title,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
+        FROM conversations JOIN events ON event_id = conv_id * 8 + turn JOIN p ON p.post_id = conv_id),
+    cleaned AS (SELECT *, {normalize_sql('comment_text', 'serving')} AS clean_text FROM asked WHERE rn <= 4 AND role <> 'system'),
+    scored AS (SELECT *, {_NAME_SQL.format(y=class_sql('z'))} AS label FROM (
+        SELECT *, {word_logits_sql(words_sql('clean_text'))} AS z FROM cleaned))"""
+
+
+def _request(spark, sf):
+    posts = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("post_id"), F.col("lang").alias("community"), F.col("n_chars").alias("score"),
+        (F.lit("2024-01-20").cast("timestamp_ntz") - F.make_dt_interval(mins=F.col("doc_id").cast("int"))).alias("created"),
+        F.col("source").alias("post_title"), F.lit("").alias("post_text"),
+    )
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", (F.col("role") == "system").alias("stickied"))
+    ranked = _comments(spark, sf).join(turns.withColumn("comment_id", F.col("conv_id") * 8 + F.col("turn")), "comment_id")
+    return dashboard_for(posts, ranked.withColumn("rank", F.col("turn")), text_logits, "en", datetime(2024, 1, 20), "month", 150, 2,
+                         period="W", show_text_analysis=True, stopwords=())
+
+
+@query(
+    "request_counts",
+    f"""WITH {_REQUEST_SQL}
+    SELECT CAST(dense_rank() OVER (ORDER BY CAST(date_trunc('week', ts) AS DATE)) AS INTEGER) AS period_int,
+        CAST(date_trunc('week', ts) AS DATE) AS period_date, count(*) FILTER (label = 'negative') AS negative,
+        count(*) FILTER (label = 'neutral') AS neutral, count(*) FILTER (label = 'positive') AS positive, count(*) AS total
+    FROM scored GROUP BY date_trunc('week', ts)""",
+)
+def request_counts(spark, sf):
+    return _request(spark, sf).counts
+
+
+@query(
+    "request_report",
+    f"""WITH {_REQUEST_SQL} SELECT comment_text, label AS sentiment_labels, strftime(ts, '%Y-%m-%d %H:%M:%S') AS comment_created,
+        CAST(dense_rank() OVER (ORDER BY date_trunc('week', ts)) AS INTEGER) AS period_int, post_title FROM scored""",
+)
+def request_report(spark, sf):
+    return _request(spark, sf).report.drop("named_entities").withColumn(
+        "comment_created", F.date_format("comment_created", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(
+    "request_words",
+    f"""WITH {_REQUEST_SQL} SELECT word, count(*) AS n FROM (SELECT unnest({words_sql('clean_text')}) AS word FROM scored)
+    GROUP BY word ORDER BY n DESC, word LIMIT 20""",
+)
+def request_words(spark, sf):
+    return _request(spark, sf).words

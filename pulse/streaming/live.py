@@ -89,19 +89,25 @@ def monthly_rollup(daily: DataFrame) -> DataFrame:
 def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a stream over what is there now and return its sink as a table.
 
-    ``append`` writes final rows once. ``complete`` overwrites the sink with the whole result
-    after each batch, which also makes a repeated batch harmless.
+    ``append`` writes final rows once. ``complete`` writes the whole result of each batch to a folder
+    of its own and returns the last: no reader meets a half-written table, a failed batch leaves its
+    predecessor, and a repeated one writes the same again.
     """
     spark = stream.sparkSession
     sink, state = shared_dir(spark, name), shared_dir(spark, f"{name}-state")
     # a stream without input writes nothing, and its sink must still be a table
-    spark.createDataFrame([], stream.schema).write.parquet(sink)
+    first = sink if mode == "append" else f"{sink}/none"
+    spark.createDataFrame([], stream.schema).write.parquet(first)
     writer = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
     if mode == "append":
-        query = writer.format("parquet").option("path", sink).start()
-    else:
-        query = writer.outputMode(mode).foreachBatch(
-            lambda batch, _: batch.write.mode("overwrite").parquet(sink)
-        ).start()
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(sink)
+        writer.format("parquet").option("path", sink).start().awaitTermination()
+        return spark.read.schema(stream.schema).parquet(sink)
+    last = [first]
+
+    def publish(batch: DataFrame, number: int) -> None:
+        folder = f"{sink}/batch-{number}"
+        batch.write.mode("overwrite").parquet(folder)
+        last[0] = folder
+
+    writer.outputMode(mode).foreachBatch(publish).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(last[0])
