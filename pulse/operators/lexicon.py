@@ -6,7 +6,7 @@ do the same without a join.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +61,36 @@ def drop_listed(df: DataFrame, key: str, text_col: str, listed: DataFrame) -> Da
     return out.select(key, F.array_join(kept, " ").alias(text_col))
 
 
+# Plural endings and what they stand for, tried in this order.
+NOUN_ENDINGS = (
+    ("ies", "y"), ("ves", "f"), ("ves", "fe"), ("ses", "s"), ("xes", "x"), ("ches", "ch"), ("shes", "sh"),
+    ("men", "man"), ("s", ""),
+)
+
+
+def noun_lemmas(words: DataFrame, known: DataFrame, irregular: Mapping[str, str] | None = None) -> DataFrame:
+    """A lexicon ``token, replacement`` for those of ``words(word)`` that are regular plurals.
+
+    An ending is taken off only if what is left is in the table ``known(word)``; the first ending
+    whose stem is known counts. ``irregular`` forms go first and need not be known.
+    """
+    irregular = dict(irregular or {})
+    own = words.select("word").where(F.col("word").isNotNull()).distinct()
+    regular = own.where(~F.col("word").isin(list(irregular))) if irregular else own
+    stems = F.array(*[
+        F.when(F.col("word").endswith(end) & (F.length("word") > len(end)), F.struct(
+            F.lit(i).alias("rank"), F.concat(F.expr(f"left(word, length(word) - {len(end)})"), F.lit(stem)).alias("stem")))
+        for i, (end, stem) in enumerate(NOUN_ENDINGS)])
+    tried = regular.select("word", F.explode(F.array_compact(stems)).alias("s")).select("word", "s.rank", "s.stem")
+    found = tried.join(known.select(F.col("word").alias("stem")).distinct(), "stem", "left_semi")
+    best = found.groupBy("word").agg(F.min_by("stem", "rank").alias("replacement"))
+    lexicon = best.select(F.col("word").alias("token"), "replacement")
+    if irregular:
+        fixed = F.create_map(*[F.lit(x) for pair in irregular.items() for x in pair])
+        lexicon = lexicon.union(own.where(F.col("word").isin(list(irregular))).select("word", F.element_at(fixed, F.col("word"))))
+    return lexicon
+
+
 def unlisted_words(counts: DataFrame, listed: DataFrame) -> DataFrame:
     """Word counts without the words of ``listed(word)``.
 

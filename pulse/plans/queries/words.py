@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...functions.binding import once
 from ...functions.text import clean, split_words
 from ...functions.wordlists import STOPWORDS
 from ...operators.aggregates import length_density, length_hist, top_words, word_counts
-from ...operators.lexicon import lemma_counts, unlisted_words
+from ...operators.lexicon import NOUN_ENDINGS, lemma_counts, noun_lemmas, unlisted_words
+from ...settle import settle
 from .base import TEXTS_SQL, documents, query, quoted, table, texts, words_sql
 from .cleaning import LEXICON_SQL, clean_sql, lexicon
 
@@ -106,3 +108,26 @@ _register("length_hist_10", 10)
 def density(spark, sf):
     out = length_density(texts(spark, sf), "text")
     return out.select("point", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
+
+
+# Forms that no ending explains.
+IRREGULAR = {"children": "child", "people": "person", "feet": "foot", "mice": "mouse"}
+
+_STEMS = ", ".join(
+    f"({i}, CASE WHEN ends_with(word, '{end}') AND length(word) > {len(end)} THEN left(word, length(word) - {len(end)}) || '{stem}' END)"
+    for i, (end, stem) in enumerate(NOUN_ENDINGS))
+
+
+@query(
+    "lemma_rules",
+    f"""WITH w AS (SELECT DISTINCT unnest({words_sql(clean_sql('text', 'training'))}) AS word FROM documents),
+    s AS (SELECT word, rank, stem FROM w, LATERAL (VALUES {_STEMS}) AS v(rank, stem) WHERE stem IN (SELECT word FROM w)
+        AND word NOT IN ({quoted(IRREGULAR)}))
+    SELECT word AS token, arg_min(stem, rank) AS replacement FROM s GROUP BY word
+    UNION ALL SELECT word, CASE word {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in IRREGULAR.items())} END FROM w
+    WHERE word IN ({quoted(IRREGULAR)})""",
+)
+def lemma_rules(spark, sf):
+    rows = once(documents(spark, sf).select("text"), clean_text=clean(F.col("text"), "training"))
+    words = settle(word_counts(rows).select("word"), "words")
+    return noun_lemmas(words, words, IRREGULAR)

@@ -45,6 +45,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/pulse/{name}-{uuid.uuid4().hex}"
 
 
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written folder when the application ends, whatever file system it lies in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 _shipped: set[str] = set()
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.binding import once
 from ..functions.text import normalize, split_words
 from ..operators.scoring import Model, column_model, with_predictions, word_logits
-from ..session import shared_dir
+from ..session import discard_at_exit, shared_dir
 
 # Stream windows. Epoch day 0 was a Thursday, so Monday weeks start 4 days later.
 WINDOWS = {"D": ("1 day", "0 days"), "W": ("7 days", "4 days")}
@@ -101,6 +101,8 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     writer = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
     if mode == "append":
         writer.format("parquet").option("path", sink).start().awaitTermination()
+        for folder in (sink, state):
+            discard_at_exit(spark, folder)
         return spark.read.schema(stream.schema).parquet(sink)
     last = [first]
 
@@ -110,4 +112,6 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
         last[0] = folder
 
     writer.outputMode(mode).foreachBatch(publish).start().awaitTermination()
+    for folder in (sink, state):
+        discard_at_exit(spark, folder)
     return spark.read.schema(stream.schema).parquet(last[0])
