@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ship_package
 
@@ -18,5 +19,14 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def sampled(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` of the rows, by the hash of their key, or all if they are no more.
+
+    Counted first and then cut by a threshold: no task sends the driver more than its share.
+    """
+    n = df.count()
+    return df if n <= rows else df.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(rows / n * (1 << 40)))
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")

@@ -33,7 +33,7 @@ from .tagger import CHARACTERS, Tagger
 KINDS = ("email", "ip", "card", "phone")
 #: Characters of a window, and between the starts of two. A text's spans of up to their difference lie whole in one.
 WINDOW, STRIDE = 96, 48
-#: Documents that the fit reads at most, and windows that it learns from at most.
+#: Documents that the fit reads, about, at most, and windows that it learns from at most.
 SAMPLE_ROWS, SAMPLE_WINDOWS = 3000, 4000
 #: Mean chance of its tags that a span needs; shortest and longest span.
 SURE, SHORTEST, LONGEST = 0.95, 7, 200
@@ -161,12 +161,12 @@ def training_windows(texts: list[str], seed: int = 0, most: int = SAMPLE_WINDOWS
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Tagger | None:
-    """Train on documents with digits or signs, at most ``rows`` (those with the smallest hash of their id)."""
+    """Train on documents with digits or signs, about ``rows`` of them by the hash of their id."""
     own = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).where(F.col("t").rlike("[0-9@]"))
     # only the surroundings of digits and signs are learned from: at most this much of a text travels to the driver
     around = F.array_join(F.slice(F.regexp_extract_all("t", F.lit(f"(?s).{{0,{WINDOW}}}[0-9@].{{0,{WINDOW}}}"), F.lit(0)), 1, 8), "\n")
-    picked = own.orderBy(F.xxhash64("k"), "k").limit(rows).select(around.alias("t")).collect()
-    x, y = training_windows([r.t for r in picked])
+    picked = arrow.sampled(own, "k", rows).select(around.alias("t")).collect()
+    x, y = training_windows(sorted(r.t for r in picked))
     if not len(x):
         return None
     tagger = Tagger.new(1 + 2 * len(KINDS))

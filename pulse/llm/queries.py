@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import discard_at_exit
 from . import decontaminate, linededup, minhash, packing, pii, quality, sharding, substrings, toxicity, warc
 from .arrow import table
 
@@ -118,7 +119,10 @@ def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written to packaged archives and read back from them."""
     pages = table(spark, sf, "pages")
-    archives = warc.write_archives(pages, warc.fresh_folder(pages))
+    folder = warc.fresh_folder(pages)
+    archives = warc.write_archives(pages, folder)
+    if not archives.isEmpty():
+        discard_at_exit(spark, folder)
     return warc.read_archives(archives).drop("url")
 
 

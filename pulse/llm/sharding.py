@@ -65,11 +65,11 @@ def _ranges(h: np.ndarray, i: np.ndarray, splitters: np.ndarray) -> np.ndarray:
     """For every key, how many splitters it has reached."""
     first, second = splitters[:, 0], splitters[:, 1]
     low, high = np.searchsorted(first, h, "left"), np.searchsorted(first, h, "right")
-    tied = np.flatnonzero(low < high)
+    found, tied = low.copy(), np.flatnonzero(low < high)
     for k in np.unique(low[tied]):
         own = tied[low[tied] == k]
-        low[own] = k + np.searchsorted(second[k:high[own[0]]], i[own], "right")
-    return low
+        found[own] = k + np.searchsorted(second[k:high[own[0]]], i[own], "right")
+    return found
 
 
 def _dealt(rows: DataFrame, splitters: list[tuple[int, int]]) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ..settle import settle
 from . import arrow, words
 
-#: Labelled rows that the fit looks at, at most (those with the smallest hash of their id).
+#: Labelled rows that the fit looks at, about, at most (by the hash of their id).
 SAMPLE_ROWS = 8000
 #: Features kept: at most so many, each in this many sampled documents or more, and with a chi-square
 #: statistic that chance does not reach among millions of features.
@@ -142,9 +142,9 @@ def fit_ordinal(row, feature, value, grades, n_features, steps=400, rate=0.1, ri
 
 
 def graded(labels: DataFrame, key: str = "doc_id", grade: str = "toxic", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """A bounded sample of labels: one row per document, smallest hash of the key first."""
+    """A bounded sample of labels, about ``rows``: one row per document, by the hash of its key."""
     one = labels.where(F.col(key).isNotNull() & F.col(grade).isNotNull()).groupBy(key).agg(F.max(grade).cast("int").alias("grade"))
-    return one.orderBy(F.xxhash64(key), key).limit(rows)
+    return arrow.sampled(one, key, rows)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "toxic",
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """
     spark = docs.sparkSession
     arrow.prepare(spark)
-    picked = F.broadcast(graded(labels, key, grade, rows))  # at most ``rows`` rows of two numbers
+    picked = F.broadcast(graded(labels, key, grade, rows))  # about ``rows`` rows of two numbers
     joined = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(picked.withColumnRenamed(key, "key"), "key").select("grade", "text")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -339,7 +339,7 @@ def test_lengths_that_no_plan_fits_are_cut(spark):
 def test_passages_and_their_places(spark, monkeypatch):
     item = "The quick brown-fox jumps over 12 lazy dogs and then sleeps"
     bench = spark.createDataFrame([(1, item), (2, "Short ÉTÉ item"), (3, None), (None, item), (4, "..."), (10, item)], "item_id long, text string")
-    text = "é! «THE quick, brown fox; jumps over 12 lazy dogs and THEN» sleeps. short ÉTÉ item? short étÉ item"
+    text = "é! 'THE quick, brown fox; jumps over 12 lazy dogs and THEN' sleeps. short ÉTÉ item? short étÉ item"
     df = frame(spark, [text, None, "quick brown fox jumps over 12 lazy dogs", "", text])
     for chars in (1 << 20, 20):
         monkeypatch.setattr(decontaminate, "BLOCK_CHARS", chars)
@@ -347,7 +347,7 @@ def test_passages_and_their_places(spark, monkeypatch):
         r = rows[0]
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (19, 12 + 3, 3, True)
         parts = [text[int(a):int(b)] for a, b in (x.split(":") for x in r.spans.split(","))]
-        assert " ".join(parts) == "THE quick, brown fox; jumps over 12 lazy dogs and THEN» sleeps. short ÉTÉ item"
+        assert " ".join(parts) == "THE quick, brown fox; jumps over 12 lazy dogs and THEN' sleeps. short ÉTÉ item"
         assert [rows[k].n_hit for k in (1, 2, 3, 4)] == [0, 0, 0, 15]
         assert sorted(x.doc_id for x in decontaminate.keep_unseen(df, bench).collect()) == [1, 2, 3]
     none = decontaminate.contamination(df, bench.where("false")).collect()
