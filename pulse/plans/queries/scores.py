@@ -242,9 +242,10 @@ _register("eval_metrics", "logit", "z")
 _register("eval_metrics_probability", "probability", "p")
 
 
-def _report_sql(y: str, p: str, names) -> str:
+def report_sql(head: str, names) -> str:
+    """The class report over the CTE ``rows(y, p)`` that ``head`` ends with."""
     listed = ", ".join(f"({i}, '{n}')" for i, n in enumerate(names))
-    return f"""WITH {LOGITS_SQL}, rows AS (SELECT {y} AS y, {p} AS p FROM logits),
+    return f"""WITH {head},
     names(i, label) AS (VALUES {listed}),
     per AS (SELECT i, label, count(*) FILTER (y = i AND p = i)::DOUBLE AS tp, count(*) FILTER (p = i)::DOUBLE AS called,
         count(*) FILTER (y = i)::DOUBLE AS support FROM names, rows GROUP BY i, label),
@@ -262,6 +263,10 @@ def _report_sql(y: str, p: str, names) -> str:
         round(support, 6) AS support FROM lines"""
 
 
+def _report_sql(y: str, p: str, names) -> str:
+    return report_sql(f"{LOGITS_SQL}, rows AS (SELECT {y} AS y, {p} AS p FROM logits)", names)
+
+
 def _rounded(out):
     return out.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "support")])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ...functions.text import clean, normalize, tokens
 from ...functions.binding import once
@@ -12,9 +13,13 @@ from ...operators.encoding import build_vocab, encode
 from ...operators.scoring import with_predictions
 from ...operators.train import baseline, fit
 from ...settle import settle
-from ..training import PROFILE, train_and_evaluate, training_rows
+from ...functions.labels import EMOTIONS
+from ...session import discard_at_exit, shared_dir
+from ...sources.files import read_jsonl
+from ..training import PROFILE, emotion_job, train_and_evaluate, training_rows
 from .base import documents, query, table, words_sql
 from .cleaning import clean_sql, tokens_sql
+from .scores import report_sql
 
 
 def _docs(spark, sf):
@@ -206,3 +211,32 @@ def train_nb_eval(spark, sf):
     held = with_predictions(model.predict(rows.where(F.col("split") != "train"), "doc_id"))
     right = (F.col("class_predictions") == F.col("label")).cast("double")
     return held.groupBy("split").agg(F.count("*").alias("n"), F.round(F.avg(right), 6).alias("accuracy"))
+
+
+_N = range(len(EMOTIONS))
+# Documents as JSON lines: some are broken, some lack the label.
+_EMOTION_SQL = f"""r AS (SELECT doc_id, {clean_sql('text', 'emotion')} AS clean_text, doc_id % 6 AS y, {_below('2018/test', 0.2)} AS held
+        FROM documents WHERE doc_id % 50 NOT IN (7, 8)),
+    p AS (SELECT {', '.join(f'ln((count(*) FILTER (y = {i}) + 1.0::DOUBLE) / (count(*) + 6.0::DOUBLE)) AS p{i}' for i in _N)} FROM r WHERE NOT held),
+    c AS (SELECT word, {', '.join(f'count(*) FILTER (y = {i}) AS n{i}' for i in _N)}
+        FROM (SELECT y, unnest({words_sql('clean_text')}) AS word FROM r WHERE NOT held) GROUP BY word),
+    w AS (SELECT word, {', '.join(f'ln((n{i} + 1.0::DOUBLE) / ((sum(n{i}) OVER ()) + count(*) OVER ())::DOUBLE) AS z{i}' for i in _N)} FROM c),
+    t AS (SELECT doc_id, unnest({words_sql('clean_text')}) AS word FROM r WHERE held),
+    s AS (SELECT doc_id, {', '.join(f'sum(z{i}) AS z{i}' for i in _N)} FROM t JOIN w USING (word) GROUP BY doc_id),
+    z AS (SELECT doc_id, y, [{', '.join(f'p{i} + coalesce(z{i}, 0)' for i in _N)}] AS z FROM r LEFT JOIN s USING (doc_id), p WHERE held),
+    rows AS (SELECT y, list_position(z, list_max(z)) - 1 AS p FROM z)"""
+
+
+@query("emotion_job_report", report_sql(_EMOTION_SQL, EMOTIONS))
+def emotion_report(spark, sf):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("label", T.IntegerType())])
+    label = (F.col("doc_id") % 6).cast("int").alias("label")
+    kind = F.col("doc_id") % 50
+    whole = F.to_json(F.struct(F.col("doc_id").alias("id"), "text", label))
+    line = F.when(kind == 7, F.concat(F.lit("{broken "), whole)).when(kind == 8, F.to_json(F.struct(F.col("doc_id").alias("id"), "text"))).otherwise(whole)
+    path = shared_dir(spark, "emotions")
+    documents(spark, sf).select(line.alias("value")).write.text(path)
+    discard_at_exit(spark, path)
+    good, _ = read_jsonl(spark, path, schema)
+    _, _, out = emotion_job(good, "id")
+    return out.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "support")])

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.binding import once
-from ..functions.labels import SENTIMENTS, encode_labels
-from ..functions.text import normalize
+from ..functions.labels import EMOTIONS, SENTIMENTS, encode_labels
+from ..functions.text import clean, normalize
+from ..functions.wordlists import STOPWORDS
+from ..operators.bayes import Bayes, fit_bayes
 from ..operators.datasets import length_filter, split
 from ..operators.evaluate import best_run, metrics, report
-from ..operators.scoring import with_predictions
+from ..operators.scoring import score_frame, with_predictions
 from ..operators.train import Fitted, fit
 from ..settle import settle
 
@@ -55,3 +57,19 @@ def train_and_evaluate(
         metrics(held, "label", "logits", len(names)),
         report(held, "label", "class_predictions", names),
     )
+
+
+def emotion_job(
+    rows: DataFrame, key: str, seed: str | int = 2018, names: Sequence[str] = EMOTIONS
+) -> tuple[Bayes, DataFrame, DataFrame]:
+    """``rows(key, text, label)``, as read from JSON lines, to a model, its score frame and its report.
+
+    A fifth of the rows is held out; both tables are about those.
+    """
+    whole = rows.where(F.col("text").isNotNull() & F.col("label").isNotNull())
+    cleaned = once(whole, clean_text=clean(F.col("text"), "emotion", STOPWORDS))
+    parts = settle(split(cleaned, key, seed, test=0.2, val=0.0), "emotions")
+    model = fit_bayes(parts.where(F.col("split") == "train"), "emotion", names=names)
+    held = settle(with_predictions(model.predict(parts.where(F.col("split") == "test"), key), names=names), "emotion-scores")
+    frame = score_frame(held.select(key, "text"), held.select(key, "logits"), key, names)
+    return model, frame, report(held, "label", "class_predictions", names)
