@@ -5,7 +5,7 @@ bidirectional LSTM with CRF transitions (``tagger``), is trained in numpy on a b
 spans and on rewritings of them that the patterns miss (a phone number without plus, an email with
 spaces around the sign, a card with dots). It reads overlapping windows. All windows of a text are
 reconciled at once: pieces of a span cut at a window's edge are joined, spans that touch one of the
-patterns' go, and of those that overlap the set of the greatest total weight stays.
+patterns' go, and of those that overlap, the set of greatest total weight stays.
 
 A span of any kind holds a digit or an ``@``; windows without either cannot yield one and are not
 read. Positions are code points, ends exclusive.
