@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.periods import epoch_to_string, period_start
+from ...functions.periods import epoch_to_string, parse_timestamp, period_start
 from ...operators.aggregates import label_counts, label_pivot, label_stats
 from ...operators.periods import with_period
 from .base import COMMENTS_SQL, comments, query, table
@@ -50,6 +50,19 @@ def epoch_format(spark, sf):
     return table(spark, sf, "events").select("event_id", epoch_to_string(seconds).alias("created"))
 
 
+@query(
+    "parse_timestamp",
+    """SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS created,
+        CAST(CASE WHEN event_type <> 'error' THEN date_trunc('week', ts) END AS DATE) AS period_date FROM events""",
+)
+def parsed(spark, sf):
+    # times arrive as text; those of errors do not parse
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    broken = F.when(F.col("event_type") == "error", F.concat(F.lit("at "), text)).otherwise(text)
+    rows = table(spark, sf, "events").select("event_id", parse_timestamp(broken).alias("created"))
+    return rows.withColumn("period_date", period_start(F.col("created"), "W"))
+
+
 _COUNTS_SQL = f"""{COMMENTS_SQL},
     counts AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS period_date, label, count(*) AS n
         FROM comments GROUP BY ALL),
