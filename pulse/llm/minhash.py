@@ -149,22 +149,22 @@ class _Forest:
         return i
 
 
-def link_members(key: int, ids, comps, side, sets, bands, sketches, percent: int) -> list[tuple[int, int]]:
+def link_members(key: int, ids, comps, side, sets, bands, sketches, percent: int, head: int | None = None) -> list[tuple[int, int]]:
     """Links that join the components of one bucket's members, or of two blocks of them.
 
-    ``side`` tells the blocks apart; all zero: compare everyone with everyone.
+    ``side`` tells the blocks apart; all zero: compare everyone with everyone. ``head`` is the smallest
+    member of the whole bucket, which need not be among these; it has been compared with all.
     """
     size = np.array([len(s) for s in sets])
     sketch = np.array(sketches)
     column = int(np.flatnonzero(bands[0] == key)[0]) if (bands[0] == key).any() else 0
     j = percent / 100
     need = (j - 6 * math.sqrt(j * (1 - j) / sketch.shape[1])) * sketch.shape[1]
-    least = min(ids)
     two = len(set(side)) > 1
     found = []  # compact: a bucket of similar texts has millions of pairs to look at
     for u in range(len(ids) - 1):
-        if ids[u] == least and not two:
-            continue  # the bucket's smallest member has been compared with all
+        if ids[u] == head:
+            continue
         v = np.arange(u + 1, len(ids))
         ok = (comps[v] != comps[u]) & (np.minimum(size[v], size[u]) * 100 >= np.maximum(size[v], size[u]) * percent)
         if two:
@@ -195,7 +195,7 @@ def link_members(key: int, ids, comps, side, sets, bands, sketches, percent: int
 def _links_between(shared: DataFrame, reps: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame | None:
     """Further links in buckets of three or more that hold several components."""
     labels = comps.select(F.col("node").alias("id"), "component")
-    wide = shared.where("m > 2").join(labels, "id", "left").select("key", "id", "n", "m", F.coalesce("component", "id").alias("comp"))
+    wide = shared.where("m > 2").join(labels, "id", "left").select("key", "id", "n", "m", "head", F.coalesce("component", "id").alias("comp"))
     wide = settle(wide, "near-wide")
     mixed = wide.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("shingles")).where("x <> y").select("key", "shingles")
     rows = settle(wide.join(mixed, "key"), "near-mixed")
@@ -204,7 +204,7 @@ def _links_between(shared: DataFrame, reps: DataFrame, sets: DataFrame, comps: D
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     mine = F.pmod(F.xxhash64("id", "key"), blocks).cast("int")
     rows = rows.withColumns({"side": mine, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    rows = rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp")
+    rows = rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp", "head")
     full = rows.join(reps.select("id", "bands", "sketch"), "id").join(sets, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,15 +213,16 @@ def _links_between(shared: DataFrame, reps: DataFrame, sets: DataFrame, comps: D
         def done() -> list[tuple[int, int]]:
             if len(group) < 2:
                 return []
-            ids, comps, side, members, bands, sketches = zip(*group)
-            return link_members(at[0], ids, np.array(comps), np.array(side) if at[1] != at[2] else np.zeros(len(ids)), members, np.array(bands), sketches, percent)
+            ids, comps, side, heads, members, bands, sketches = zip(*group)
+            side = np.array(side) if at[1] != at[2] else np.zeros(len(ids))
+            return link_members(at[0], ids, np.array(comps), side, members, np.array(bands), sketches, percent, heads[0])
 
         def out(links) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for b in batches:
             keys = list(zip(b["key"].to_pylist(), b["i"].to_pylist(), b["j"].to_pylist()))
-            cells = zip(keys, b["id"].to_pylist(), b["comp"].to_pylist(), b["side"].to_pylist(), b["set"], b["bands"], b["sketch"])
+            cells = zip(keys, b["id"].to_pylist(), b["comp"].to_pylist(), b["side"].to_pylist(), b["head"].to_pylist(), b["set"], b["bands"], b["sketch"])
             links = []
             for k, *cell, members, bands, sketch in cells:
                 if k != at:
@@ -232,7 +233,7 @@ def _links_between(shared: DataFrame, reps: DataFrame, sets: DataFrame, comps: D
         yield out(done())
 
     dealt = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return settle(dealt.select("key", "i", "j", "id", "comp", "side", "set", "bands", "sketch").mapInArrow(run, "a long, b long"), "near-links")
+    return settle(dealt.select("key", "i", "j", "id", "comp", "side", "head", "set", "bands", "sketch").mapInArrow(run, "a long, b long"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

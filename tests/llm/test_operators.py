@@ -227,6 +227,16 @@ def test_a_large_group_of_near_copies(spark, monkeypatch, block):
     assert got == dict(enumerate(want))
 
 
+def test_a_block_without_the_head_compares_its_smallest_member():
+    sets = [np.arange(100, dtype=np.uint64) + np.uint64(k) for k in (0, 1, 5000)]
+    sketches = [minhash.signature(np.sort(x << np.uint64(44)), 64).astype(np.uint8) for x in sets]
+    bands = np.array([[9, 1], [9, 2], [9, 3]])
+    found = lambda *head: minhash.link_members(9, (20, 30, 40), np.array([20, 30, 40]), np.zeros(3), sets, bands, sketches, 85, *head)
+    assert found() == [(20, 30)]
+    assert found(7) == [(20, 30)]
+    assert found(20) == []  # the head's pairs were all looked at before
+
+
 def test_bands_miss_next_to_nothing():
     for percent in (80, 85, 90):
         rows, bands = minhash.bands_for(percent)
