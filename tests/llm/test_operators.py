@@ -364,6 +364,25 @@ def test_passages_and_their_places(spark, monkeypatch):
     assert len(none) == 5 and not any(x.contaminated for x in none)
 
 
+def test_a_benchmark_of_many_blocks_is_one_step_and_not_collected(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 400)
+    monkeypatch.setattr(decontaminate, "CHUNK_BYTES", 1)
+    items = [prose(12, 900 + i) for i in range(40)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"{prose(8, i)} {items[i % 40]} {items[(i + 7) % 40]} end" for i in range(50)] + [prose(30, 5), None]
+    df, rows = frame(spark, texts), {}
+    assert len(decontaminate._blocks(bench, "item_id", "text")) > 5
+    for name, chunk in (("small", 1), ("large", 1 << 26)):
+        monkeypatch.setattr(decontaminate, "CHUNK_BYTES", chunk)
+        found = decontaminate.contamination(df, bench)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+        rows[name] = sorted(map(str, found.collect()))
+        got = {r.doc_id: (r.n_items, r.n_hit) for r in found.collect()}
+        assert got == {i: (2, 24) if i < 50 else (0, 0) for i in range(52)}
+        assert sorted(r.doc_id for r in decontaminate.keep_unseen(df, bench).collect()) == [50, 51]
+    assert rows["small"] == rows["large"]
+
+
 # --- personal data
 
 
