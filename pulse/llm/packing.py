@@ -8,7 +8,8 @@ the plan by their rank among pieces of equal rounded length. What the plan leave
 in groups: a piece that does not fit is cut at a multiple of 64 ids and goes on in the next sequence.
 
 Ranks come from counts per length and salt, so a length that a third of all pieces have is spread
-over many tasks. Checksums of cut pieces follow from checksums of prefixes that are kept for every
+over many tasks. Salts and greedy groups follow ids and checksums; those that repeated rows, or rows
+without an id, overfill are parted by the place of a row among the written pieces. Checksums of cut pieces follow from checksums of prefixes that are kept for every
 64 ids, so texts are tokenised once.
 
 Edge cases: a null or empty text is the end id alone. Repeated rows, and rows without an id, are
@@ -37,6 +38,8 @@ WINDOW, GRAIN, CUT = 4096, 16, 64
 DEPTH = 3
 #: Pieces that one task ranks, and tokens that one task packs greedily, about.
 RANKED, GREEDY = 50_000, 1 << 20
+#: A salt or a group is overfull, and parted, beyond so many times that.
+OVERFULL = 4
 #: Places for words that a worker remembers (a power of two), ids of all of them at most, and parts of words that
 #: it remembers besides; all bounded memory.
 KNOWN, KNOWN_IDS, KNOWN_PARTS = 1 << 21, 12 << 20, 100_000
@@ -266,10 +269,39 @@ def _greedy(rows: list[tuple], first: int, step: int) -> list[tuple]:
     return made
 
 
+def _salted(cut: DataFrame, pieces: int) -> DataFrame:
+    """``cut`` with ``bin``, ``salt`` and ``part``, which together have about RANKED rows or fewer."""
+    salts = max(1, -(-pieces // RANKED))
+    salt = F.pmod(F.xxhash64("doc_id", "start", "crc"), F.lit(salts)).cast("int")
+    salted = cut.withColumns({"bin": F.ceil(F.col("length") / GRAIN).cast("int"), "salt": salt})
+    full = salted.groupBy("bin", "salt").agg(F.count("*").alias("n")).where(F.col("n") > OVERFULL * RANKED)
+    full = settle(full.select("bin", "salt", F.ceil(F.col("n") / RANKED).alias("parts")), "overfull")  # at most a row per OVERFULL * RANKED pieces
+    part = F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0).cast("long"))
+    return salted.join(F.broadcast(full), ["bin", "salt"], "left").withColumn("part", part).drop("parts")
+
+
+def _grouped(left: DataFrame, tokens: int) -> tuple[DataFrame, int]:
+    """``left`` with ``group``, each of about GREEDY tokens or fewer, and how many groups there are."""
+    groups = max(1, -(-tokens // GREEDY))
+    dealt = left.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "crc", F.lit(3)), F.lit(groups)).cast("long"))
+    full = dealt.groupBy("group").agg(F.sum("length").alias("n")).where(F.col("n") > OVERFULL * GREEDY).orderBy("group").collect()  # at most a row per OVERFULL groups' tokens
+    rows, of = [], groups
+    for r in full:
+        parts = -(-r.n // GREEDY)
+        rows.append((r.group, parts, of))
+        of += parts - 1
+    if not rows:
+        return dealt, groups
+    table = F.broadcast(left.sparkSession.createDataFrame(rows, "group long, parts long, base long"))
+    part = F.pmod(F.xxhash64("row"), F.col("parts"))
+    group = F.when(F.coalesce(part, F.lit(0)) == 0, F.col("group")).otherwise(F.col("base") + part - 1)
+    return dealt.join(table, "group", "left").withColumn("group", group).drop("parts", "base"), of
+
+
 def pack(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``."""
     spark = docs.sparkSession
-    cut = settle(pieces(docs, tokenizer, end, key, text), "pieces")
+    cut = settle(pieces(docs, tokenizer, end, key, text).withColumn("row", F.monotonically_increasing_id()), "pieces")
     grains = F.ceil(F.col("length") / GRAIN).cast("int")
     counted = cut.groupBy(grains.alias("bin")).agg(F.count("*").alias("n"), F.sum("length").alias("tokens")).collect()  # WINDOW / GRAIN rows
     histogram = np.zeros(WINDOW // GRAIN + 1, np.int64)
@@ -277,25 +309,25 @@ def pack(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: s
         histogram[r.bin] = r.n
     places, taken, sequences = plan(histogram)
 
-    salts = max(1, -(-int(histogram.sum()) // RANKED))
-    salted = cut.withColumns({"bin": grains, "salt": F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int")})
-    per = salted.groupBy("bin", "salt").agg(F.count("*").alias("n"))
-    before = per.select("bin", "salt", (F.sum("n").over(W.partitionBy("bin").orderBy("salt")) - F.col("n")).alias("before"))
-    ranked = salted.withColumn("r", F.row_number().over(W.partitionBy("bin", "salt").orderBy("doc_id", "start")) - 1)
-    ranked = ranked.join(before, ["bin", "salt"]).withColumn("rank", F.col("before") + F.col("r")).drop("before", "r", "salt")
+    salted = _salted(cut, int(histogram.sum()))
+    own = ["bin", "salt", "part"]
+    per = salted.groupBy(own).agg(F.count("*").alias("n"))
+    before = per.select(*own, (F.sum("n").over(W.partitionBy("bin").orderBy("salt", "part")) - F.col("n")).alias("before"))
+    ranked = salted.withColumn("r", F.row_number().over(W.partitionBy(own).orderBy("doc_id", "start")) - 1)
+    ranked = ranked.join(before, own).withColumn("rank", F.col("before") + F.col("r")).drop("before", "r", "salt", "part")
     ends = F.create_map(*[F.lit(x) for i, n in enumerate(taken) for x in (i, int(n))])  # WINDOW / GRAIN entries
     ranked = settle(ranked.withColumn("planned", F.col("rank") < F.element_at(ends, F.col("bin"))), "ranked")
 
     # at most a row per used combination and place, and no more combinations than bins are used
     table = F.broadcast(spark.createDataFrame(places or [(0, 0, 0, 0, 0)], "of int, low long, high long, base long, slot int"))
-    own = ranked.where("planned").drop("prefix").join(table, (F.col("bin") == F.col("of")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
+    own = ranked.where("planned").drop("prefix", "row").join(table, (F.col("bin") == F.col("of")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     own = own.withColumn("sequence_id", F.col("base") + F.col("rank") - F.col("low"))
     along = W.partitionBy("sequence_id").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
     own = own.withColumn("offset", F.coalesce(F.sum("length").over(along), F.lit(0).cast("long")))
     names = ["doc_id", "start", "length", "crc", "doc_tokens", "sequence_id", "offset"]
 
     rest = sum(r.tokens * int(histogram[r.bin] - taken[r.bin]) // max(1, r.n) for r in counted)
-    groups = max(1, -(-int(rest) // GREEDY))
+    left, groups = _grouped(ranked.where("not planned"), int(rest))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, at = [], None
@@ -313,7 +345,6 @@ def pack(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: s
                 rows.append(row)
         yield done()
 
-    left = ranked.where("not planned").withColumn("group", F.pmod(F.xxhash64("doc_id", "start", F.lit(3)), F.lit(groups)))
     dealt = left.repartition("group").sortWithinPartitions("group", F.desc("length"), "doc_id", "start")
     greedy = dealt.select("group", *names[:5], "prefix").mapInArrow(run, ", ".join(f"`{c}` long" for c in names))
     return own.select(names).union(greedy).withColumnRenamed("crc", "ids_crc32")

@@ -343,6 +343,25 @@ def test_lengths_that_no_plan_fits_are_cut(spark):
     assert sum(r.length for r in rows) > 0.9 * 4096 * (n - 1)
 
 
+def test_rows_without_an_id_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED", 20)
+    monkeypatch.setattr(packing, "GREEDY", 20 * 1501)
+    df = frame(spark, [(None, prose(1000, 1))] * 300 + [(7, prose(1000, 2))] * 300 + [(i, prose(1000, i)) for i in range(100, 400)])
+    cut = packing.settle(packing.pieces(df, *vocabulary()).withColumn("row", F.monotonically_increasing_id()), "pieces").cache()
+    most = max(r["count"] for r in packing._salted(cut, 900).groupBy("bin", "salt", "part").count().collect())
+    assert most <= packing.OVERFULL * 20
+    left, groups = packing._grouped(cut, 900 * 1501)
+    got = left.groupBy("group").agg(F.count("*").alias("n"), F.sum("length").alias("t")).collect()
+    assert sum(r.n for r in got) == cut.count() and max(r.t for r in got) <= packing.OVERFULL * packing.GREEDY
+    assert all(0 <= r.group < groups for r in got)
+    rows = packing.pack(df, *vocabulary()).collect()
+    size = {}
+    for r in rows:
+        size.setdefault(r.sequence_id, []).append((r.offset, r.offset + r.length))
+    assert all(b <= c for x in size.values() for (_, b), (c, _) in zip(sorted(x), sorted(x)[1:]))
+    assert sum(r.length for r in rows) == cut.agg(F.sum("length")).first()[0]
+
+
 # --- benchmark passages
 
 
