@@ -35,6 +35,8 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 96, 48
 #: Documents that the fit reads, about, at most, and windows that it learns from at most.
 SAMPLE_ROWS, SAMPLE_WINDOWS = 3000, 4000
+#: Surroundings of digits and signs that a text gives the sample (its first), and training windows of each writing of a text.
+SURROUNDINGS, TEXT_WINDOWS = 8, 4
 #: Mean chance of its tags that a span needs; shortest and longest span.
 SURE, SHORTEST, LONGEST = 0.95, 7, 200
 #: Windows decoded at a time.
@@ -150,7 +152,7 @@ def training_windows(texts: list[str], seed: int = 0, most: int = SAMPLE_WINDOWS
             if len(starts):
                 starts = np.maximum(0, starts + rng.integers(-STRIDE // 2, STRIDE // 2 + 1, len(starts)))
                 starts = np.minimum(starts, max(0, len(codes) - 1))
-                rows = np.unique(rng.choice(starts, min(len(starts), 4), replace=False))
+                rows = np.unique(rng.choice(starts, min(len(starts), TEXT_WINDOWS), replace=False))
                 x.append(_cut_out(codes, rows))
                 y.append(_cut_out(tags, rows))
     if not x or not any(t.any() for t in y):
@@ -164,7 +166,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = SA
     """Train on documents with digits or signs, about ``rows`` of them by the hash of their id."""
     own = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).where(F.col("t").rlike("[0-9@]"))
     # only the surroundings of digits and signs are learned from: at most this much of a text travels to the driver
-    around = F.array_join(F.slice(F.regexp_extract_all("t", F.lit(f"(?s).{{0,{WINDOW}}}[0-9@].{{0,{WINDOW}}}"), F.lit(0)), 1, 8), "\n")
+    around = F.array_join(F.slice(F.regexp_extract_all("t", F.lit(f"(?s).{{0,{WINDOW}}}[0-9@].{{0,{WINDOW}}}"), F.lit(0)), 1, SURROUNDINGS), "\n")
     picked = arrow.sampled(own, "k", rows).select(around.alias("t")).collect()
     x, y = training_windows(sorted(r.t for r in picked))
     if not len(x):
