@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import discard_at_exit
-from . import decontaminate, linededup, minhash, packing, pii, quality, sharding, substrings, toxicity, warc
+from . import decontaminate, divergence, linededup, minhash, packing, pii, quality, sharding, substrings, topk, toxicity, warc, whitening
 from .arrow import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,48 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data in documents: the fixed patterns and what the tagger adds."""
     docs = table(spark, sf, "documents")
     return pii.find(docs, pii.fit(docs))
+
+
+@query("op11_topk", """
+    WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS x FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0),
+    o AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+    SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 20""")
+def op11_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The twenty best inner products of every twentieth vector with all others."""
+    return topk.search(table(spark, sf, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
+
+
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_SHARE = "1 + (CAST(1000000000 AS HUGEINT) * ({n} + 1)) // ({total} + {terms})"
+
+
+@query("op12_divergence", f"""
+    WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS w FROM documents),
+    e AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+    k AS (SELECT lang, term, count(*) AS n FROM e GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.LEAST_DOCUMENTS}),
+    v AS (SELECT lang, count(*) AS terms, sum(n) AS total FROM k GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT e.lang, e.source, e.term, count(*) AS n FROM e JOIN k ON e.lang = k.lang AND e.term = k.term GROUP BY e.lang, e.source, e.term),
+    t AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+    p AS (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n, {_SHARE.format(n="coalesce(c.n, 0)", total="t.total", terms="v.terms")} AS p,
+            {_SHARE.format(n="k.n", total="v.total", terms="v.terms")} AS q
+        FROM t JOIN k ON t.lang = k.lang JOIN v ON t.lang = v.lang LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+    f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+    u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+        UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+    o AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+    SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= {divergence.TERMS}""")
+def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    """How far every source is from the others of its language, and the terms that set it apart."""
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Embeddings along their sixteen widest directions, each of unit variance."""
+    return whitening.whiten(table(spark, sf, "embeddings"), "vec_id", "embedding")
