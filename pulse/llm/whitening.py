@@ -11,7 +11,7 @@ step, so that a common offset costs no digits.
 
 Defined results: rows whose vector is null, or holds a null or a component that is not finite, are left out. The fit
 counts each different vector once. Vectors of different lengths are fitted apart, each length with its own
-components. Directions without variance are no components, so a table of one
+components. Directions whose variance is no more than rounding of the widest one's are no components, so a table of one
 vector has no rows in the result. Components of equal variance may be any basis of their space. A deviation
 beyond 64 bits is null. Repeated rows, and rows without id, are returned like others; further columns are not read.
 """

@@ -41,7 +41,7 @@ def low(text):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_quality_counts(spark, docs):
@@ -157,3 +157,24 @@ def test_base_patterns_of_personal_data(spark, docs):
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [len(own[k]) for k in KINDS]
         assert set(filter(None, text.split(","))) <= set(r.spans.split(","))
+
+
+def test_whitening_by_brute_force(spark):
+    table = spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()
+    codes = {r.vec_id: [int(np.floor(64 * float(c))) + 1_000_000 for c in r.embedding] for r in table}
+    fit = np.array(sorted({tuple(x) for x in codes.values()}), dtype=object)
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = np.array([[float(n * v - s) / n for v, s in zip(x, sums)] for x in fit])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    rows = {(r.vec_id, r.component): r for r in QUERIES["op13_whitening"](spark, FOLDER).collect()}
+    assert set(rows) == {(i, k) for i in codes for k in range(1, 17)}
+    for k in range(16):
+        own = [float(n * v - s) / n for v, s in zip(codes[0], sums)] @ vectors[:, k]
+        sign = np.sign(own) * np.sign(rows[0, k + 1].whitened)
+        for i, x in codes.items():
+            r = rows[i, k + 1]
+            want = np.array([float(n * v - s) / n for v, s in zip(x, sums)]) @ vectors[:, k] / np.sqrt(values[k])
+            assert abs(sign * r.whitened - want) < 1e-9
+            assert r.deviation == sum((n * v - s) ** 2 for v, s in zip(x, sums)) and r.n == n
+            assert abs(r.explained - values[k] / values.sum()) < 1e-12 and r.identity_error < 1e-12
