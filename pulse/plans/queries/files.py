@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from ...session import shared_dir
 from ...sources.files import parse_lines, read_jsonl, read_labelled_csv, write_csv
+from ...sources.splitcsv import read_split_csv
 from .base import query, table
 
 _DOC = T.StructType([
@@ -22,6 +23,15 @@ def csv_round_trip(spark, sf):
     return read_labelled_csv(spark, path, _DOC)
 
 
+@query("csv_split_read", "SELECT doc_id, replace(text, ' the ', ' \"the\"' || chr(10)) AS text, lang FROM documents")
+def csv_split_read(spark, sf):
+    # one file, whose texts are full of quotes and line breaks
+    path = shared_dir(spark, "csv")
+    text = F.replace("text", F.lit(" the "), F.lit(' "the"\n'))
+    write_csv(table(spark, sf, "documents").select("doc_id", text.alias("text"), "lang").coalesce(1), path)
+    return read_split_csv(spark, path, _DOC)
+
+
 # Event properties are JSON; those of errors are cut short, those of views lack the field.
 _LINE_SQL = """CASE event_type WHEN 'error' THEN left(props, length(props) - 1)
     WHEN 'view' THEN replace(props, '"k"', '"other"') ELSE props END"""

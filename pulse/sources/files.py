@@ -24,6 +24,8 @@ SCORED_COMMENT = T.StructType([
 
 _CSV = {"header": "true", "quote": '"', "escape": '"'}
 _TIMES = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "dateFormat": "yyyy-MM-dd"}
+#: How a record is read by itself: it may hold line breaks.
+CSV_OPTIONS = {**_CSV, **_TIMES, "header": "false", "multiLine": "true"}
 
 
 def read_labelled_csv(
@@ -31,7 +33,7 @@ def read_labelled_csv(
 ) -> DataFrame:
     """Read CSV whose quoted texts may hold commas, doubled quotes and line breaks.
 
-    Line breaks inside texts make a file unsplittable: land large inputs as many files.
+    Line breaks inside texts make a file one task: read large files by :func:`.splitcsv.read_split_csv`.
     """
     return spark.read.schema(schema).options(**_CSV, **_TIMES, multiLine="true").csv(path)
 
