@@ -135,7 +135,9 @@ def split_records(spark: SparkSession, path: str) -> DataFrame:
     in_file = W.partitionBy("file").orderBy("start", F.desc("head"))
     number = F.sum((~F.col("head")).cast("long")).over(in_file)
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", ~F.col("head"), "text"))), lambda p: p["text"]), "\n")
-    across = parts.withColumn("record", number).groupBy("file", "record").agg(F.max("first").alias("first"), joined.alias("text"))
+    # only places are numbered file by file; the texts stay spread
+    numbered = parts.select("file", "start", "head", number.alias("record"))
+    across = parts.join(numbered, ["file", "start", "head"]).groupBy("file", "record").agg(F.max("first").alias("first"), joined.alias("text"))
     records = whole.unionByName(across.select("file", "first", "text"))
     ending = F.col("text").endswith("\r")
     text = F.when(ending, F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
