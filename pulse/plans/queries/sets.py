@@ -10,13 +10,14 @@ from ...functions.binding import once
 from ...operators.bayes import fit_bayes
 from ...operators.datasets import exact_sample, exact_split, hash_sample, split
 from ...operators.encoding import build_vocab, encode
+from ...operators.epochs import Settings, fit_epochs
 from ...operators.scoring import with_predictions
 from ...operators.train import baseline, fit
 from ...settle import settle
 from ...functions.labels import EMOTIONS
 from ...session import discard_at_exit, shared_dir
 from ...sources.files import read_jsonl
-from ..training import PROFILE, emotion_job, train_and_evaluate, training_rows
+from ..training import PROFILE, emotion_job, train_and_evaluate, train_by_epochs, training_rows
 from .base import documents, query, table, words_sql
 from .cleaning import clean_sql, tokens_sql
 from .scores import report_sql
@@ -177,6 +178,54 @@ _NB_SQL = f"""l AS (SELECT doc_id, {{clean}} AS clean_text, {_SENTIMENT_SQL} AS
     "{clean}", f"array_to_string({tokens_sql(clean_sql('text', 'training'))}, ' ')")
 
 
+_BITS, _EPOCHS = 10, 3
+_K = range(3)
+
+
+def _epochs_sql(end: str) -> str:
+    """Whole-batch descent over hashed words, epoch by epoch; weights, then what ``end`` selects of them."""
+    parts = [_NB_SQL.split("p AS (")[0].rstrip().rstrip(","), f"""x AS (SELECT doc_id, split, y, (('0x' || md5(word)[1:8])::BIGINT >> {32 - _BITS})::INTEGER AS f, 1 / sqrt(len(w)) AS v
+            FROM (SELECT doc_id, split, y, w, unnest(w) AS word FROM (SELECT doc_id, split, y, {words_sql('clean_text')} AS w FROM r WHERE split <> 'test'))
+        UNION ALL SELECT doc_id, split, y, {1 << _BITS}, 1.0 FROM r WHERE split <> 'test'),
+    b AS (SELECT doc_id, split, y, f, sum(v) AS v FROM x GROUP BY ALL), size AS (SELECT count(*) AS n FROM r WHERE split = 'train'), w0 AS (SELECT DISTINCT f, 0.0::DOUBLE AS a0, 0.0::DOUBLE AS a1, 0.0::DOUBLE AS a2 FROM b)"""]
+    for e in range(_EPOCHS + 1):
+        total = ' + '.join(f'exp(z{c} - greatest(z0, z1, z2))' for c in _K)
+        parts.append(f"""z{e} AS (SELECT doc_id, split, y, {', '.join(f'sum(v * a{c}) AS z{c}' for c in _K)} FROM b JOIN w{e} USING (f) GROUP BY ALL),
+    p{e} AS (SELECT *, {', '.join(f'exp(z{c} - greatest(z0, z1, z2)) / ({total}) AS p{c}' for c in _K)},
+        ln({total}) + greatest(z0, z1, z2) - CASE y WHEN 0 THEN z0 WHEN 1 THEN z1 ELSE z2 END AS loss, list_position([z0, z1, z2], greatest(z0, z1, z2)) - 1 = y AS hit FROM z{e}),
+    w{e + 1} AS (SELECT f, {', '.join(f'a{c} - {0.9 ** e}::DOUBLE * coalesce(g{c}, 0) AS a{c}' for c in _K)} FROM w{e} LEFT JOIN (
+        SELECT f, {', '.join(f'sum(v * (p{c} - CASE b.y WHEN {c} THEN 1 ELSE 0 END)) / (SELECT n FROM size) AS g{c}' for c in _K)}
+        FROM b JOIN p{e} USING (doc_id) WHERE b.split = 'train' GROUP BY f) USING (f))""")
+    return f"WITH {', '.join(parts)} {end}"
+
+
+_EPOCH_RUNS_SQL = _epochs_sql(" UNION ALL ".join(f"""SELECT 'plain' AS run, {e} AS epoch, {e}::BIGINT AS steps, round({0.9 ** (e - 1)}::DOUBLE, 6) AS rate,
+    (SELECT round(avg(loss), 5) FROM p{e - 1} WHERE split = 'train') AS loss, (SELECT round(avg(loss), 5) FROM p{e} WHERE split = 'val') AS val_loss,
+    (SELECT round(avg(CASE WHEN hit THEN 1.0::DOUBLE ELSE 0 END), 5) FROM p{e} WHERE split = 'val') AS val_accuracy""" for e in range(1, _EPOCHS + 1)))
+
+
+@query("epoch_runs", _EPOCH_RUNS_SQL)
+def epoch_runs(spark, sf):
+    """Three epochs of one batch each, with a falling rate."""
+    rows = training_rows(_labelled(spark, sf), "doc_id", "s").select("doc_id", "clean_text", "label", "split")
+    folder = shared_dir(spark, "epochs")
+    settings = Settings(epochs=_EPOCHS, batch_rows=1 << 40, rate=1.0, decay_steps=1, optimizer="sgd", bits=_BITS, patience=None)
+    trained = fit_epochs(rows, "doc_id", folder, PROFILE, settings, "plain")
+    discard_at_exit(spark, folder)
+    return trained.history.select("run", "epoch", "steps", F.round("rate", 6).alias("rate"), *[F.round(c, 5).alias(c) for c in ("loss", "val_loss", "val_accuracy")])
+
+
+@query("epoch_report")
+def epoch_report(spark, sf):
+    """Two runs by mini-batches, the better one's report: no SQL."""
+    folder = shared_dir(spark, "epochs")
+    runs = {"slow": Settings(epochs=3, batch_rows=2000, rate=0.002, bits=12), "fast": Settings(epochs=3, batch_rows=2000, rate=0.02, bits=12)}
+    _, _, overall, per_class = train_by_epochs(training_rows(_labelled(spark, sf), "doc_id", "s"), "doc_id", folder, runs)
+    discard_at_exit(spark, folder)
+    summary = overall.select(F.lit("overall").alias("label"), "precision", "recall", "f1", "loss", "accuracy")
+    return per_class.unionByName(summary, allowMissingColumns=True)
+
+
 def _bayes(spark, sf):
     rows = training_rows(_labelled(spark, sf), "doc_id", "s").select("doc_id", "clean_text", "label", "split")
     rows = settle(rows, "bayes-training")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
@@ -14,7 +15,8 @@ from ..functions.text import clean, normalize
 from ..functions.wordlists import STOPWORDS
 from ..operators.bayes import Bayes, fit_bayes
 from ..operators.datasets import length_filter, split
-from ..operators.evaluate import best_run, metrics, report
+from ..operators.epochs import Settings, Trained, fit_epochs
+from ..operators.evaluate import best_run, last_is_best, metrics, report
 from ..operators.scoring import score_frame, with_predictions
 from ..operators.train import Fitted, fit
 from ..settle import settle
@@ -59,6 +61,29 @@ def train_and_evaluate(
     )
 
 
+def train_by_epochs(
+    rows: DataFrame, key: str, folder: str, runs: Mapping[str, Settings], last_only: bool = False, profile: str = PROFILE,
+    names: Sequence[str] = SENTIMENTS, lemmas: Mapping[str, str] | None = None,
+) -> tuple[Trained | None, DataFrame, DataFrame | None, DataFrame | None]:
+    """Several runs by epochs: the model to keep, a row per run and epoch, overall metrics and class report on the test rows.
+
+    Kept is the epoch with the best accuracy on the validation rows over all runs. With ``last_only`` a run counts only if its last epoch was its
+    best, and there may be none to keep. A call that was cut off goes on where it was, in the same ``folder``.
+    """
+    rows = settle(rows.select(key, "clean_text", "label", "split"), "training")
+    trained = {name: fit_epochs(rows, key, folder, profile, s, name, names=names, lemmas=lemmas) for name, s in runs.items()}
+    history = reduce(DataFrame.unionByName, [t.history for t in trained.values()])
+    counted = history
+    if last_only:
+        counted = history.join(last_is_best(history).where("keep").select("run"), "run", "left_semi")
+    best = best_run(counted).first()
+    if not best or best.run is None:
+        return None, history, None, None
+    kept = trained[best.run]
+    held = settle(with_predictions(kept.predict(rows.where(F.col("split") == "test")), names=names), "epoch-scores")
+    return kept, history, metrics(held, "label", "logits", len(names)), report(held, "label", "class_predictions", names)
+
+
 def emotion_job(
     rows: DataFrame, key: str, seed: str | int = 2018, names: Sequence[str] = EMOTIONS
 ) -> tuple[Bayes, DataFrame, DataFrame]:

@@ -24,7 +24,7 @@ def test_same_rows_as_sql(spark, con, name):
 
 
 def test_every_query_without_sql_is_known():
-    assert set(QUERIES) - set(ORACLES) == {"score_ml", "train_eval"}
+    assert set(QUERIES) - set(ORACLES) == {"epoch_report", "score_ml", "train_eval"}
 
 
 def test_training_gives_a_full_report(spark):
