@@ -23,20 +23,24 @@ def lookup_tokens(
     """``key, values``: each row's tokens looked up in ``table(token, value)``, order kept.
 
     Tokens the table does not hold become ``default`` of the token. Only distinct tokens of a row
-    are looked up, and only those that the table holds go on: the join drops the others, and what is
-    shuffled by key is a small map per row. The row's own tokens stay in order where they are.
+    are looked up. The row's own tokens travel with the first of them, so texts are worked on once and
+    nothing is joined with itself; what the look-up does not find falls out before anything is gathered by key.
     A row without tokens gets an empty array. ``key`` must be unique.
     """
     rows = once(df, _words=words).select(key, "_words")
     entries = table.select(F.col("token").alias("_token"), F.col(value).alias("_value"))
-    found = rows.select(key, F.explode(F.array_distinct("_words")).alias("_token")).join(entries, "_token")
-    maps = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_token", "_value"))).alias("_known"))
-    joined = rows.join(maps, key, "left")
+    asked = F.transform(F.array_distinct("_words"), lambda w, i: F.struct(
+        w.alias("_token"), (i == 0).alias("_first"), F.when(i == 0, F.col("_words")).alias("_own")))
+    alone = F.array(F.struct(F.lit(None).cast("string").alias("_token"), F.lit(True).alias("_first"), F.col("_words").alias("_own")))
+    spread = rows.select(key, F.inline(F.when(F.size("_words") > 0, asked).otherwise(alone)))
+    found = spread.join(entries, "_token", "left").where(F.col("_first") | F.col("_value").isNotNull())
+    pair = F.when(F.col("_value").isNotNull(), F.struct("_token", "_value"))
+    whole = found.groupBy(key).agg(F.first("_own", ignorenulls=True).alias("_words"), F.map_from_entries(F.collect_list(pair)).alias("_known"))
     held = F.coalesce(F.size("_known"), F.lit(0)) > 0
     values = F.when(held, F.transform("_words", lambda w: F.coalesce(F.try_element_at("_known", w), default(w)))).otherwise(
         F.transform("_words", default))
     none = F.array().cast(f"array<{dict(table.dtypes)[value]}>")
-    return joined.select(key, F.coalesce(values, none).alias("values"))
+    return whole.select(key, F.coalesce(values, none).alias("values"))
 
 
 def apply_lexicon(df: DataFrame, key: str, tokens_col: str, lexicon: DataFrame) -> DataFrame:

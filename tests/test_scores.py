@@ -1,5 +1,7 @@
 """Labels, vectors, scorers, evaluation, encoding, entities."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -189,3 +191,43 @@ def test_entities_of_several_columns_keep_order(spark):
     df = spark.createDataFrame([(1, "A", None, "York A")], "id int, t string, b string, c string")
     table = spark.createDataFrame([("A", "PERSON"), ("A", "ORG"), ("York", "GPE")], "phrase string, type string")
     assert extract(df, "id", ["t", "b", "c"], table).first().named_entities == ["A", "A", "York", "A", "A"]
+
+
+def _executed(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"#\d+L?", "", plan.split("== Initial Plan ==")[0])
+
+
+def test_dictionaries_and_words_are_looked_up_in_one_flow(spark, tmp_path):
+    from pulse.functions.text import clean, split_words
+    from pulse.operators.bayes import fit_bayes
+    from pulse.operators.lexicon import apply_lexicon
+
+    rows = [(i, f"Some words, no {i % 7} words") for i in range(50)] + [(50, None), (51, "")]
+    spark.createDataFrame(rows, "id long, text string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).select("id", clean(F.col("text")).alias("clean_text"))
+    lexicon = spark.createDataFrame([("words", "word"), ("no", "not any")], "token string, replacement string")
+    rewritten = apply_lexicon(df.select("id", split_words(F.col("clean_text")).alias("w")), "id", "w", lexicon)
+    model = fit_bayes(df.withColumn("label", (F.col("id") % 3).cast("int")), "serving")
+    for out in (rewritten, model.predict(df, "id")):
+        plan = _executed(out)
+        assert plan.count("regexp_replace(regexp_replace(text") == 1 and plan.count("[id,text]") == 1
+        assert plan.count("Exchange hashpartitioning") == 1 and out.count() == 52
+    got = {r.id: r.w for r in rewritten.collect()}
+    assert got[0] == ["some", "word", "not", "any", "0", "word"] and got[50] == [] == got[51]
+
+
+def test_bayes_keeps_every_column_and_row(spark):
+    from pulse.operators.bayes import fit_bayes
+
+    df = spark.createDataFrame([(1, "a b a", 0, "x"), (2, "b", 1, None), (3, None, 2, "z"), (4, "", 0, "w"), (5, "new", 1, "v")],
+                               "id long, clean_text string, word int, z0 string")
+    model = fit_bayes(df, "serving", label_col="word")
+    out = model.predict(df, "id")
+    assert out.columns == [*df.columns, "logits"]
+    rows = {r.id: r for r in out.collect()}
+    assert {i: (r.clean_text, r.word, r.z0) for i, r in rows.items()} == {r.id: (r.clean_text, r.word, r.z0) for r in df.collect()}
+    assert rows[3].logits == rows[4].logits == list(model.priors)
+    weight = {r.word: r for r in model.words.collect()}
+    assert abs(rows[1].logits[0] - (model.priors[0] + 2 * weight["a"].z0 + weight["b"].z0)) < 1e-12
