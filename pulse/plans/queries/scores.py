@@ -5,11 +5,16 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from ...functions.binding import once
 from ...functions.labels import EMOTIONS, SENTIMENTS, decode, encode_labels
 from ...functions.text import clean, split_words
 from ...functions.vectors import argmax, confidence, linear, one_hot, softmax
 from ...operators.evaluate import best_run, last_is_best, metrics, report
 from ...operators.scoring import score, score_frame, with_predictions, word_logits
+from ...operators.epochs import hashed_words
+from ...operators.padded import LIMIT, score_padded
+from ...operators.positions import glue_by_position
+from ...session import shared_dir
 from .base import LOGITS_SQL, documents, logits, query, table, words_sql
 from .cleaning import clean_sql
 
@@ -312,3 +317,47 @@ def best(spark, sf):
 def last_best(spark, sf):
     out = last_is_best(_runs(spark, sf))
     return out.select("run", F.round("best", 6).alias("best"), F.round("last", 6).alias("last"), "keep")
+
+
+@query(
+    "glue_by_position",
+    f"""WITH {LOGITS_SQL}, t AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents),
+    s AS (SELECT vec_id, round(z[1], 6) AS z0, row_number() OVER (ORDER BY vec_id) - 1 AS position FROM logits)
+    SELECT position, doc_id, text, vec_id, z0 FROM t JOIN s USING (position) WHERE position < least((SELECT count(*) FROM t), (SELECT count(*) FROM s))""",
+)
+def glued(spark, sf):
+    """Texts and scores written apart, as CSV and parquet of other splits, and laid side by side."""
+    scores = logits(spark, sf).select("vec_id", F.round(F.col("z")[0], 6).alias("z0"))
+    texts = table(spark, sf, "documents").select("doc_id", "text")
+    # both tables as long as the shorter one
+    ids = [df.agg(F.count("*")).scalar() for df in (texts, scores)]
+    least = F.least(*ids)
+    paths = shared_dir(spark, "texts"), shared_dir(spark, "scores")
+    for df, key, path, parts in ((texts, "doc_id", paths[0], 5), (scores, "vec_id", paths[1], 3)):
+        df.where(F.col(key) < least).repartitionByRange(parts, key).sortWithinPartitions(key).write.parquet(path)
+    return glue_by_position(spark.read.parquet(paths[0]), spark.read.parquet(paths[1]))
+
+
+class ClassCounter:
+    """Counts the ids of each class modulo three; reads the mask."""
+
+    name = "class-counter"
+
+    def load(self):
+        return lambda ids, mask: np.stack([((ids % 3 == c) & (mask == 1)).sum(axis=1) for c in range(3)], axis=1)
+
+
+@query(
+    "score_padded",
+    f"""WITH w AS (SELECT doc_id, ({words_sql(clean_sql('text', 'serving'))})[1:{LIMIT}] AS w FROM documents),
+    ids AS (SELECT doc_id, list_transform(w, lambda t: (('0x' || md5(t)[1:8])::BIGINT >> 18) % 3) AS c FROM w),
+    s AS (SELECT doc_id, len(c) AS n, [CAST(len(list_filter(c, lambda x: x = 0)) AS DOUBLE), CAST(len(list_filter(c, lambda x: x = 1)) AS DOUBLE),
+        CAST(len(list_filter(c, lambda x: x = 2)) AS DOUBLE)] AS z FROM ids)
+    SELECT doc_id, CAST(n AS INTEGER) AS n, z[1] AS z0, z[2] AS z1, z[3] AS z2, {_NAME_SQL.format(y="list_position(z, list_max(z)) - 1")} AS sentiment_labels FROM s""",
+)
+def scored_in_padded_batches(spark, sf):
+    words = hashed_words(split_words(clean(F.col("text"), "serving")), 14)
+    rows = once(documents(spark, sf).select("doc_id", "text"), words=words).drop("text")
+    out = with_predictions(score_padded(rows, "words", ClassCounter()))
+    z = [F.col("logits")[c].alias(f"z{c}") for c in range(3)]
+    return out.select("doc_id", F.least(F.size("words"), F.lit(LIMIT)).alias("n"), *z, "sentiment_labels")

@@ -12,6 +12,7 @@ from ...operators.datasets import exact_sample, exact_split, hash_sample, split
 from ...operators.encoding import build_vocab, encode
 from ...operators.epochs import Settings, fit_epochs
 from ...operators.scoring import with_predictions
+from ...operators.subwords import encode_subwords, pieces, subword_vocab
 from ...operators.train import baseline, fit
 from ...settle import settle
 from ...functions.labels import EMOTIONS
@@ -123,6 +124,44 @@ def _register(name: str, length: int) -> None:
 _register("encode_sequences", 128)
 _register("encode_sequences_300", 300)
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789.,;:!?"
+_SUBWORDS_SQL = f"""{_VOCAB_SQL}, small AS (SELECT token, id FROM vocab WHERE id < 605), top AS (SELECT coalesce(max(id), 4) AS top FROM small),
+    letters AS (SELECT unnest(string_split('{_LETTERS}', '')) AS token, unnest(range({len(_LETTERS)})) AS place),
+    pieces AS (SELECT token, CAST(min(id) AS INTEGER) AS id FROM (
+        SELECT token, id FROM small UNION ALL SELECT '##' || token, id + top FROM small, top
+        UNION ALL SELECT token, 2 * top + 1 + 2 * place FROM letters, top UNION ALL SELECT '##' || token, 2 * top + 2 + 2 * place FROM letters, top) GROUP BY token),
+    own AS (SELECT token FROM counts WHERE length(token) <= 100),
+    tried AS (SELECT token AS word, p, unnest(range(1, length(token) - p + 2)) AS n FROM (SELECT token, unnest(range(1, length(token) + 1)) AS p FROM own)),
+    best AS (SELECT word, p, max(n) AS n, arg_max(id, n) AS id FROM tried JOIN pieces ON pieces.token = CASE WHEN p > 1 THEN '##' ELSE '' END || substring(word, p, n) GROUP BY word, p),
+    walk AS (SELECT token AS word, 1::BIGINT AS p, CAST([] AS INTEGER[]) AS ids FROM own
+        UNION ALL SELECT walk.word, walk.p + best.n, list_append(walk.ids, best.id) FROM walk JOIN best ON best.word = walk.word AND best.p = walk.p),
+    cut AS (SELECT counts.token, coalesce(ids, [1]) AS ids FROM counts LEFT JOIN (SELECT word, ids FROM walk WHERE p = length(word) + 1) ON word = token)"""
+
+
+def _subwords(spark, sf):
+    rows = _tokens(spark, sf)
+    return rows, subword_vocab(build_vocab(rows, "w", 605).select("token", "id"), _LETTERS)
+
+
+@query("subword_pieces", f"WITH RECURSIVE {_SUBWORDS_SQL} SELECT token, array_to_string(ids, ' ') AS ids FROM cut")
+def subword_pieces(spark, sf):
+    rows, own = _subwords(spark, sf)
+    return pieces(rows.select(F.explode_outer("w").alias("token")), own).select("token", F.array_join("ids", " ").alias("ids"))
+
+
+@query("encode_subwords", f"""WITH RECURSIVE {_SUBWORDS_SQL},
+    spread AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM words),
+    ids AS (SELECT doc_id, flatten(list(ids ORDER BY pos))[1:126] AS body FROM spread JOIN cut USING (token) GROUP BY doc_id),
+    full_ids AS (SELECT doc_id, coalesce(body, []) AS body FROM documents LEFT JOIN ids USING (doc_id))
+    SELECT doc_id, array_to_string(list_resize(list_concat(list_concat([2], body), [3]), 128, 0), ' ') AS input_ids,
+        repeat('1 ', len(body) + 2) || repeat('0 ', 126 - len(body)) AS attention_mask FROM full_ids""")
+def subword_sequences(spark, sf):
+    rows, own = _subwords(spark, sf)
+    out = encode_subwords(rows, "doc_id", "w", own, 128)
+    mask = F.concat(F.array_join("attention_mask", " "), F.lit(" "))
+    return out.select("doc_id", F.array_join("input_ids", " ").alias("input_ids"), mask.alias("attention_mask"))
+
+
 # Document labels stand in for stored sentiments.
 _SENTIMENT_SQL = "CASE WHEN toxic = 1 THEN -1 ELSE quality END"
 
