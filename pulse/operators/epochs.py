@@ -24,7 +24,7 @@ from ..functions.hashing import key_hash
 from ..functions.labels import SENTIMENTS
 from ..functions.text import profile as known_profile
 from ..functions.text import split_words
-from ..session import ship_package
+from ..session import ship_package, whole_tables
 from .scoring import Model
 
 #: Contributions to a gradient are whole numbers of this part of one.
@@ -156,13 +156,6 @@ class _State:
         self.weights = self.weights - far * self.mean / (np.sqrt(self.square) + least)
 
 
-def _done(spark: SparkSession, pattern: str) -> list[str]:
-    """Written tables that match, in order; a table that was being written when its driver was lost is not among them."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
-    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
-    return sorted(str(f.getPath().getParent()) for f in found or [])
-
-
 def _save(spark: SparkSession, folder: str, state: _State, facts: dict) -> None:
     cells = pa.table({
         "cell": pa.array(np.arange(state.weights.size)), "w": pa.array(state.weights.ravel()),
@@ -230,7 +223,7 @@ def fit_epochs(
     k, own = len(names), f"{folder}/{run}"
     label = F.col(label_col).cast("int")
     fine = rows.where(F.col(text_col).isNotNull() & label.between(0, k - 1) & F.col(split_col).isin("train", "val"))
-    if not _done(spark, f"{own}/rows"):
+    if not whole_tables(spark, f"{own}/rows"):
         n = fine.where(F.col(split_col) == "train").count()
         batches = max(1, -(-n // settings.batch_rows))
         place = F.floor(F.conv(F.substring(key_hash(F.col(key), settings.seed), 1, 8), 16, 10).cast("long") * batches / 2**32).cast("int")
@@ -246,7 +239,7 @@ def fit_epochs(
     facts = {"classes": k, "batches": batches, **{n: v for n, v in asdict(settings).items() if n not in ("epochs", "patience")}}
     shape = ((1 << settings.bits) + 1, k)
     state = _State(*(np.zeros(shape) for _ in range(3)))
-    if epochs := _done(spark, f"{own}/epoch=*"):
+    if epochs := whole_tables(spark, f"{own}/epoch=*"):
         state = _load(spark, epochs[-1], shape, facts)
     held = written.where("batch = -1")
     while len(state.history) < settings.epochs and not _stale(state.history, settings.patience):

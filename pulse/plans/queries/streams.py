@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.wordlists import SLANG
+from ...session import discard_at_exit, shared_dir
+from ...streaming.jobs import (
+    add_to_totals, first_arrivals, latest, newer_versions, period_view, run_batches, score_arrivals,
+)
 from ...streaming.live import drain, monthly_rollup, stream_label_counts, stream_score, table_stream
 from .base import COMMENTS_SQL, ORACLES, label_of, query, table, words_sql
 from .cleaning import clean_sql, expand_sql, tokens_sql
 from ...operators.scoring import python_model
+from .sets import _NB_SQL, _bayes
 from .scores import _NAME_SQL, WordScorer, WORD_BIAS, WORD_WEIGHTS, class_sql, word_logits_sql
 
 
@@ -57,3 +62,80 @@ def monthly(spark, sf):
     orders = _stream(spark, sf, "orders")
     daily = stream_label_counts(orders, "o_orderdate", "o_orderstatus", "D", labels=["F", "O", "P"])
     return monthly_rollup(drain(daily, "stream-days", "complete"))
+
+
+def _pulls(spark, rows, key, parts, again):
+    """Files in time order, as pulls leave them: each brings the newest rows of the one before once more."""
+    folder = shared_dir(spark, "pulls")
+    bounds = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    step = (bounds.hi - bounds.lo) // parts + 1
+    for i in range(parts):
+        begin = bounds.lo + i * step
+        pulled = rows.where((F.col(key) >= begin - (again if i else 0)) & (F.col(key) < begin + step))
+        pulled.coalesce(1).write.mode("append").parquet(folder)
+    discard_at_exit(spark, folder)
+    return table_stream(spark, folder, rows.schema, files_per_batch=1)
+
+
+def _in_time(spark, sf):
+    """Events numbered in the order of their time."""
+    return table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+
+
+@query("stream_arrivals", "SELECT event_id, event_type, value FROM events")
+def arrivals(spark, sf):
+    """Five overlapping pulls, each event once."""
+    pulls = _pulls(spark, _in_time(spark, sf), "event_id", 5, 50)
+    return drain(first_arrivals(pulls, "event_id", "ts", "40 days").select("event_id", "event_type", "value"), "arrivals")
+
+
+@query("stream_versions", "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END::BIGINT AS version, CASE WHEN event_id % 7 = 0 THEN -value ELSE value END AS value FROM events")
+def versions(spark, sf):
+    """Every seventh event is edited in a later pull, and comes again unchanged after that."""
+    rows = _in_time(spark, sf).select("event_id", "ts", "value", F.lit(1).cast("long").alias("version"))
+    edited = rows.where(F.col("event_id") % 7 == 0).select("event_id", "ts", (-F.col("value")).alias("value"), F.lit(2).cast("long").alias("version"))
+    folder, sink, state = (shared_dir(spark, n) for n in ("pulls", "versions", "versions-state"))
+    for pull in (rows, edited, rows.where(F.col("event_id") % 2 == 0)):
+        pull.coalesce(1).write.mode("append").parquet(folder)
+    stream = newer_versions(table_stream(spark, folder, rows.schema, files_per_batch=1), "event_id", "version", "ts", "40 days")
+    run_batches(stream, state, lambda batch, n: batch.write.mode("overwrite").parquet(f"{sink}/batch={n:010d}"), "update")
+    for path in (folder, sink, state):
+        discard_at_exit(spark, path)
+    written = spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(sink)
+    return latest(written, "event_id", "version").select("event_id", "version", "value")
+
+
+@query("stream_period_view", ORACLES["sentiment_pivot"])
+def stream_periods(spark, sf):
+    """Totals kept up by five files, of which the last brings the rows of every ninth event late, and one batch that comes twice."""
+    rows = _in_time(spark, sf).withColumn("label", label_of(F.col("event_type")))
+    late = F.col("event_id") % 9 == 0
+    folder, sink, state = (shared_dir(spark, n) for n in ("files", "totals", "totals-state"))
+    for i in range(4):
+        rows.where(~late & (F.pmod(F.col("user_id"), F.lit(4)) == i)).coalesce(1).write.mode("append").parquet(folder)
+    rows.where(late).coalesce(1).write.mode("append").parquet(folder)
+
+    def each(batch, number):
+        for _ in range(2 if number == 2 else 1):
+            add_to_totals(batch, number, sink, "ts", "label", "W")
+
+    run_batches(table_stream(spark, folder, rows.schema, files_per_batch=1), state, each)
+    for path in (folder, sink, state):
+        discard_at_exit(spark, path)
+    return period_view(spark, sink)
+
+
+@query("stream_score_nb", f"""WITH {_NB_SQL}, turns AS (SELECT conv_id, turn, array_to_string({tokens_sql(clean_sql('text', 'training'))}, ' ') AS clean_text FROM conversations),
+    spread AS (SELECT conv_id, turn, unnest({words_sql('clean_text')}) AS word FROM turns),
+    sums AS (SELECT conv_id, turn, sum(z0) AS z0, sum(z1) AS z1, sum(z2) AS z2 FROM spread JOIN w USING (word) GROUP BY conv_id, turn)
+    SELECT turns.conv_id, turns.turn, round(p0 + coalesce(z0, 0), 3) AS z0, round(p1 + coalesce(z1, 0), 3) AS z1, round(p2 + coalesce(z2, 0), 3) AS z2
+    FROM turns LEFT JOIN sums ON turns.conv_id = sums.conv_id AND turns.turn = sums.turn, p""")
+def scored_by_bayes(spark, sf):
+    """A stream scored by a model that gathers words over rows."""
+    _, model = _bayes(spark, sf)
+    folder, state = shared_dir(spark, "scored"), shared_dir(spark, "scored-state")
+    turns = _stream(spark, sf, "conversations").withColumn("row", F.concat_ws("/", "conv_id", "turn"))
+    out = score_arrivals(turns, model.as_model("row"), folder, state, "text")
+    for path in (folder, state):
+        discard_at_exit(spark, path)
+    return out.select("conv_id", "turn", *[F.round(F.col("logits")[i], 3).alias(f"z{i}") for i in range(3)])

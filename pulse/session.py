@@ -51,6 +51,19 @@ def discard_at_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+def whole_tables(spark: SparkSession, pattern: str) -> list[str]:
+    """Written folders that match, in order; one whose writer was lost before its end is not among them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return sorted(str(f.getPath().getParent()) for f in found or [])
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _shipped: set[str] = set()
 
 

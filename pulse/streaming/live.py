@@ -39,8 +39,9 @@ def stream_score(
 ) -> DataFrame:
     """Clean and score each comment; no state.
 
-    Scored by ``model``, which may be any that the batch jobs take and brings its own cleaning, else
-    by the column function ``logits``, else by word weights.
+    Scored by ``model``, which brings its own cleaning, else by the column function ``logits``, else by word weights.
+    A model must score a row by itself here, as column, Python and epoch-trained ones do. One that
+    gathers rows, such as naive Bayes, is taken by :func:`.jobs.score_arrivals`, which scores batch by batch.
     """
     if model is None:
         made = logits or (lambda text: word_logits(split_words(text), weights, bias))
@@ -49,6 +50,14 @@ def stream_score(
     return with_predictions(model.apply(cleaned), names=model.names)
 
 
+def event_time(df: DataFrame, ts_col: str) -> Column:
+    """A time that a watermark takes: it must carry a zone, so a zoneless wall clock is read as UTC."""
+    ts = F.col(ts_col)
+    if isinstance(df.schema[ts_col].dataType, T.TimestampNTZType):
+        ts = F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
+    return ts
+
+
 def stream_label_counts(
     comments: DataFrame, ts_col: str = "comment_created", label_col: str = "sentiment_labels",
     period: str = "D", watermark: str = "1 hour", labels: Sequence[str] | None = None,
@@ -64,11 +73,7 @@ def stream_label_counts(
     if period not in WINDOWS:
         raise ValueError("stream by 'D' or 'W'; roll months up from days")
     length, offset = WINDOWS[period]
-    # event time must carry a zone; a zoneless wall clock is read as UTC
-    zoneless = isinstance(comments.schema[ts_col].dataType, T.TimestampNTZType)
-    ts = F.col(ts_col)
-    if zoneless:
-        ts = F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
+    ts = event_time(comments, ts_col)
     label = F.col(label_col)
     if labels is not None:
         label = F.when(label.isNull() | label.isin(list(labels)), label).otherwise(other)

@@ -11,7 +11,7 @@ from pulse.operators import epochs
 from pulse.operators.epochs import Settings, fit_epochs, gradient_sums, hashed_words, rate_at
 from pulse.operators.evaluate import best_run, last_is_best
 from pulse.plans.training import train_by_epochs
-from pulse.session import shared_dir
+from pulse.session import shared_dir, whole_tables
 
 BITS = 6
 
@@ -120,7 +120,7 @@ def test_a_lost_driver_gives_the_same_weights(spark, monkeypatch):
     with pytest.raises(KeyboardInterrupt):
         trained(spark, folder)
     monkeypatch.setattr(epochs, "gradient_sums", real)
-    kept = len(epochs._done(spark, f"{folder}/run/epoch=*"))
+    kept = len(whole_tables(spark, f"{folder}/run/epoch=*"))
     assert 0 < kept < 4
     # a table that was being written does not count
     spark.range(1).write.parquet(f"{folder}/run/epoch=00004")
