@@ -22,6 +22,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +41,36 @@ DEPTH = 3
 RANKED, GREEDY = 50_000, 1 << 20
 #: A salt or a group is overfull, and parted, beyond so many times that.
 OVERFULL = 4
-#: Places for words that a worker remembers (a power of two), ids of all of them at most, and parts of words that
-#: it remembers besides; all bounded memory.
-KNOWN, KNOWN_IDS, KNOWN_PARTS = 1 << 21, 12 << 20, 100_000
+#: Places for words that a worker remembers (a power of two), and ids of all of them at most; both bounded memory.
+KNOWN, KNOWN_IDS = 1 << 21, 12 << 20
+
+_MARKS = b".,;:!?"
+_ASCII_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[list(_MARKS)] = True
+#: Characters that a byte-level vocabulary writes bytes as: printable ones of Latin-1 as they are, the others from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_WRITTEN = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
+
+
+def _letters(body: np.ndarray) -> np.ndarray:
+    """Which bytes belong to Latin letters up to U+017F, each of which is one letter in lower case as well."""
+    out = _ASCII_LETTER[body]
+    lead = np.flatnonzero((body[:-1] >= 0xC3) & (body[:-1] <= 0xC5))
+    pair = body[lead].astype(np.int32) << 8 | body[lead + 1]
+    # the signs of multiplication and division are no letters, and the dotted capital I becomes two characters
+    lead = lead[~np.isin(pair, [0xC397, 0xC3B7, 0xC4B0])]
+    out[lead] = out[lead + 1] = True
+    return out
 
 
 class Words:
     """Ids of words (runs between ASCII white space), for a batch at a time.
 
-    The vocabulary's model drops white space and never joins across it, so a text's ids are those of
-    its words. Words are looked up by their hashes in one table for all; only those not met before, or
-    displaced since, go through the tokenizer, once per batch.
+    The vocabulary's model must drop white space and never join across it, so that a text's ids are those of
+    its words; a vocabulary for which a trial shows otherwise has whole texts encoded instead. Words are looked up by their hashes in one
+    table for all. A word of Latin letters, with one sign after it or none, is looked up without the sign, whose id follows, and with its ASCII letters in
+    lower case. Only words not met before, or displaced since, go through the tokenizer, once per batch.
     """
 
     def __init__(self, path: str) -> None:
@@ -58,64 +78,104 @@ class Words:
 
         self.whole = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32
-        self.parts: dict[str, list[int]] = {}
-        # whether ASCII letters and the sign after them are parts of their own, in lower case
-        self.simple = all(self._split(a + b) == [a.lower(), b] for a in ("Abc", "x") for b in ".,;:!?")
+        tried = ["A", "word", "Two-part", "it's", "12,5", "é.", "\u65e5\u672c", "x!?"]
+        self.apart = all(
+            self._whole(f"{one}{gap}{other}") == self._whole(one) + self._whole(other) for one in tried for other in tried for gap in (" ", "\n", " \t "))
+        # whether letters and the sign after them are parts of their own, in lower case, and each sign is one id
+        self.mark = np.zeros(256, self.kind)
+        found = [self._whole(chr(m)) for m in _MARKS]
+        self.simple = self.apart and all(len(x) == 1 for x in found) and all(
+            self._whole(a + chr(m)) == self._model(a.lower()) + x for a in ("Abc", "x", "Thequick", "\u00c9t\u00e9", "\u00fc\u00df\u0141\u0173") for m, x in zip(_MARKS, found))
+        if self.simple:
+            self.mark[list(_MARKS)] = [x[0] for x in found]
         self._forget()
 
+    def _whole(self, text: str) -> list[int]:
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+    def _model(self, part: str) -> list[int]:
+        if not part.isascii():
+            part = part.lower().encode().decode("latin-1").translate(_WRITTEN)
+        return [t.id for t in self.whole.model.tokenize(part)]
+
     def _forget(self) -> None:
         self.keys, self.at, self.size = np.zeros(KNOWN, np.uint64), np.zeros(KNOWN, np.int32), np.zeros(KNOWN, np.int32)
         self.pool, self.used = np.zeros(1 << 16, self.kind), 0
 
-    def ids_of(self, word: str) -> list[int]:
-        if "<|" in word:  # may hold a special token
-            return self.whole.encode(word, add_special_tokens=False).ids
-        if self.simple and word.isascii():
-            if word.isalpha():
-                return self._ids_of_part(word.lower())
-            if word[-1] in ".,;:!?" and word[:-1].isalpha():
-                return self._ids_of_part(word[:-1].lower()) + self._ids_of_part(word[-1])
-        return [i for part in self._split(word) for i in self._ids_of_part(part)]
-
-    def _split(self, word: str) -> list[str]:
-        return [part for part, _ in self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(word))]
-
-    def _ids_of_part(self, part: str) -> list[int]:
-        ids = self.parts.get(part)
-        if ids is None:
-            if len(self.parts) >= KNOWN_PARTS:
-                self.parts.clear()
-            ids = self.parts[part] = [t.id for t in self.whole.model.tokenize(part)]
-        return ids
+    def _ids_of(self, found: list[str]) -> list[list[int]]:
+        """Ids of words of any kind, from one text that holds them all."""
+        if not found:
+            return []
+        special = [i for i, w in enumerate(found) if "<|" in w]  # may hold a special token
+        plain = ["x" if "<|" in w else w for w in found]
+        done = self.whole.encode(" ".join(plain), add_special_tokens=False)
+        begins = np.cumsum([0, *(len(w) + 1 for w in plain)])
+        place = np.searchsorted(begins, [a for a, _ in done.offsets], "right") - 1
+        ids, cut = done.ids, np.searchsorted(place, np.arange(len(plain) + 1))
+        out = [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        for i in special:
+            out[i] = self._whole(found[i])
+        return out
 
     def _learn(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        size = np.array([len(x) for x in found], np.int64)
+        size = np.fromiter(map(len, found), np.int64, len(found))
         at = self.used + np.cumsum(size) - size
         self.used += int(size.sum())
         if self.used > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), self.used), self.kind)])
         if len(found):
-            self.pool[at[0]:self.used] = np.concatenate([np.array(x, self.kind) for x in found])
+            self.pool[at[0]:self.used] = np.fromiter(chain.from_iterable(found), self.kind, int(size.sum()))
         return at, size
 
+    def _texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(self._whole(t or ""), self.kind) for t in column.to_pylist()]
+        return np.concatenate([np.zeros(0, self.kind), *found]), np.cumsum([0, *map(len, found)])
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows in one array, and where each row's begin in it."""
+        if not self.apart:
+            return self._texts(column)
         if self.used > KNOWN_IDS:
             self._forget()
         body, rows = words.texts(column)
         starts, ends, first = words.bounds(body, rows)
-        h = words.hashes(body, starts, ends)
+        if not len(starts):
+            return np.zeros(0, self.kind), first
+        letters = np.zeros(len(body) + 1, np.int32)
+        np.cumsum(_letters(body), out=letters[1:])
+        other = ends - starts - (letters[ends] - letters[starts])
+        marked = self.simple & (other == 1) & (ends - starts > 1) & _MARK[body[ends - 1]]
+        stem = marked | (self.simple & (other == 0))
+        ends = ends - marked
+        h = np.empty(len(starts), np.uint64)
+        low = words.LOWER[body]
+        h[stem] = words.hashes(low, starts[stem], ends[stem])
+        h[~stem] = words.hashes(body, starts[~stem], ends[~stem])
         slot = (h >> np.uint64(64 - KNOWN.bit_length() + 1)).astype(np.int64)
         at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
         new = np.flatnonzero(self.keys[slot] != h)
         if len(new):
             own, which, back = np.unique(h[new], return_index=True, return_inverse=True)
             which = new[which]
-            own_at, own_size = self._learn([self.ids_of(body[a:b].tobytes().decode()) for a, b in zip(starts[which], ends[which])])
+            is_stem = stem[which]
+            found: list = [None] * len(which)
+            for k in np.flatnonzero(is_stem):
+                w = which[k]
+                found[k] = self._model(low[starts[w]:ends[w]].tobytes().decode())
+            rest = np.flatnonzero(~is_stem)
+            texts = [body[starts[w]:ends[w]].tobytes().decode() for w in which[rest]]
+            for k, ids in zip(rest.tolist(), self._ids_of(texts)):
+                found[k] = ids
+            own_at, own_size = self._learn(found)
             at[new], size[new] = own_at[back], own_size[back]
             self.keys[slot[which]], self.at[slot[which]], self.size[slot[which]] = own, own_at, own_size
+        size += marked
         offsets = np.cumsum(np.r_[0, size])
-        return self.pool[np.repeat(at - offsets[:-1], size) + np.arange(offsets[-1])], offsets[first]
+        place = np.repeat(at - offsets[:-1], size) + np.arange(offsets[-1])
+        out = self.pool[np.minimum(place, len(self.pool) - 1)]
+        # the place after a stem is its sign's
+        out[offsets[1:][marked] - 1] = self.mark[body[ends[marked]]]
+        return out, offsets[first]
 
 
 _words: dict[str, Words] = {}
