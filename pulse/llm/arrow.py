@@ -13,7 +13,10 @@ BATCH_BYTES = 2 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound Arrow batches and make this package importable on the executors."""
+    """Bound Arrow batches and make this package importable on the executors.
+
+    The bounds stay in the session, since plans read them when they run: later Python steps of the session get batches of this size too.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_package(spark)
@@ -28,5 +31,13 @@ def sampled(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df if n <= rows else df.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(rows / n * (1 << 40)))
 
 
+def fresh(name: str, *taken: list[str]) -> str:
+    """A column name that none of the lists holds, whatever its case."""
+    used = {c.lower() for columns in taken for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")

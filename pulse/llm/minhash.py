@@ -265,5 +265,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that are near copies of one with a smaller id; rows without an id stay."""
-    gone = near_duplicates(docs, key, text, length, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col(key) == F.col("_gone"), "left_anti")
+    other = arrow.fresh("_gone", docs.columns)
+    gone = near_duplicates(docs, key, text, length, percent).where(~F.col("kept")).select(F.col("doc_id").alias(other))
+    return docs.join(gone.distinct(), F.col(key) == F.col(other), "left_anti")

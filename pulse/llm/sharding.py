@@ -141,11 +141,13 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
 def write_shards(docs: DataFrame, folder: str, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Write ``docs`` (one row per id) as Parquet in a subfolder per shard, in order of slots; returns the assignment.
 
-    Rows are dealt by ranges of (shard, slot), so a shard is written by many tasks in order.
+    Rows are dealt by ranges of (shard, slot), so a shard is written by many tasks in order. Folders are named ``shard=``, with
+    an underscore more for each column of ``docs`` that has the name already; all its own columns are written.
     """
     put = settle(shard(docs, shards, key, text), "shards")
-    at = put.select(F.col("doc_id").alias("_id"), "shard", "slot")
+    ident, number, place = (arrow.fresh(c, docs.columns) for c in ("_id", "shard", "slot"))
+    at = put.select(F.col("doc_id").alias(ident), F.col("shard").alias(number), F.col("slot").alias(place))
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    rows = docs.drop("shard", "slot").join(at, F.col(key).eqNullSafe(F.col("_id"))).drop("_id")
-    rows.repartitionByRange(int(parts), "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
+    rows = docs.join(at, F.col(key).eqNullSafe(F.col(ident))).drop(ident)
+    rows.repartitionByRange(int(parts), number, place).sortWithinPartitions(number, place).write.partitionBy(number).parquet(folder)
     return put

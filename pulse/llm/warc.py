@@ -264,9 +264,11 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
                     rows = [parse(x) for x in records_in(f.read(high - low))]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in fields.items()], list(fields))
 
-    runs = archives.select("archive").repartition("archive").mapInArrow(locate, "archive string, low long, high long")
+    # a number of partitions that is given is not merged for the few bytes that name a run of megabytes
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = archives.select("archive").repartition(tasks, "archive").mapInArrow(locate, "archive string, low long, high long")
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string" + ", payload binary" * payload
-    return runs.repartition("archive", "low").mapInArrow(read, schema)
+    return runs.repartition(tasks, "archive", "low").mapInArrow(read, schema)
 
 
 def fresh_folder(pages: DataFrame) -> str:

@@ -450,3 +450,24 @@ def test_windows_of_one_span_are_reconciled():
     found = [(41, 48, 3, 0.99, True), (41, 53, 3, 0.97, False), (45, 53, 3, 0.99, True), (41, 53, 1, 0.96, False)]
     assert pii.reconcile(found, [], text) == [(41, 53, 3)]
     assert pii.reconcile(found, [(50, 60)], text) == []
+
+
+# --- names and tasks
+
+
+def test_columns_that_clash_with_inner_names(spark, tmp_path):
+    df = frame(spark, ["a b c d e f", "a b c d e f", "other words here"]).withColumns({c: F.lit(9) for c in ("_gone", "_id", "shard", "slot", "Shard_")})
+    assert sorted(r.doc_id for r in minhash.keep_one(df).collect()) == [0, 2]
+    assert minhash.keep_one(df).columns == df.columns
+    put = sharding.write_shards(df, str(tmp_path / "s"), 2)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert set(df.columns) <= set(back.columns) and {(r.shard, r.slot, r._id) for r in back.collect()} == {(9, 9, 9)}
+    assert {(r.doc_id, r.shard) for r in put.collect()} == {(r.doc_id, r["shard__"]) for r in back.collect()}
+
+
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    df = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("html "), "id").alias("html")).repartition(40)
+    out = warc.read_archives(warc.write_archives(df, warc.fresh_folder(df)))
+    busy = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and out.rdd.getNumPartitions() == 4
+    assert len(busy) >= 3 and sum(r["count"] for r in busy) == 400
