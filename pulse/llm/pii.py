@@ -3,12 +3,13 @@
 The patterns find emails, IPs, payment cards and phone numbers. The tagger, a character-level
 bidirectional LSTM with CRF transitions (``tagger``), is trained in numpy on a bounded sample of labelled
 spans and on rewritings of them that the patterns miss (a phone number without plus, an email with
-spaces around the sign, a card with dots). It reads overlapping windows. All windows of a text are
+spaces around the sign, a card with dots). It learns how spans are written; the checks of their numbers (a card's checksum,
+parts of an IP) follow on what it finds. It reads overlapping windows. All windows of a text are
 reconciled at once: pieces of a span cut at a window's edge are joined, spans that touch one of the
 patterns' go, and of those that overlap, the set of greatest total weight stays.
 
-A span of any kind holds a digit or an ``@``; windows without either cannot yield one and are not
-read. Positions are code points, ends exclusive.
+What is accepted as a span holds a digit or an ``@``; windows without either cannot yield one and are not
+read. A window that has one reaches at least ``STRIDE`` characters to either side of it. Positions are code points, ends exclusive.
 
 Edge cases: a null text is empty and has no spans. Rows are read one by one, so repeated rows have the
 same spans. Without labelled spans in the sample nothing is trained and only the patterns count.
@@ -35,10 +36,10 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 96, 48
 #: Documents that the fit reads, about, at most, and windows that it learns from at most.
 SAMPLE_ROWS, SAMPLE_WINDOWS = 3000, 4000
-#: Surroundings of digits and signs that a text gives the sample (its first), and training windows of each writing of a text.
-SURROUNDINGS, TEXT_WINDOWS = 8, 4
+#: Surroundings of digits and signs that a text gives the sample (its first), and how often a text with spans is written anew.
+SURROUNDINGS, WRITINGS = 8, 8
 #: Mean chance of its tags that a span needs; shortest and longest span.
-SURE, SHORTEST, LONGEST = 0.95, 7, 200
+SURE, SHORTEST, LONGEST = 0.5, 7, 200
 #: Windows decoded at a time.
 AT_ONCE = 512
 
@@ -87,6 +88,18 @@ def base_spans(text: str) -> dict[str, list[Span]]:
     }
 
 
+def written_spans(text: str) -> list[tuple[int, int, int]]:
+    """Start, end and kind of everything written like a span, whether or not its numbers pass the checks.
+
+    The tagger learns from these: what tells a card from any sixteen digits is arithmetic, which is checked after it.
+    """
+    count = lambda s: sum("0" <= c <= "9" for c in s)
+    found = [(a, b, 0) for a, b in _emails(text)] + [(*m.span(), 1) for m in _IP.finditer(text)]
+    found += [(*m.span(), 2) for m in _CARD.finditer(text) if 13 <= count(m[0]) <= 19]
+    found += [(*m.span(), 3) for m in _PHONE.finditer(text) if 8 <= count(m[0]) <= 15]
+    return found
+
+
 def characters(text: str) -> np.ndarray:
     """Code points of a text, all beyond ASCII as one; 0 is for padding."""
     return np.clip(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), 1, CHARACTERS - 1).astype(np.int64)
@@ -127,32 +140,43 @@ def _rewritten(value: str, kind: int, rng: np.random.Generator) -> str:
     return pick(value, value.lstrip("+"), re.sub(r"[() ]+", "-", value).strip("+-"), re.sub(r"[^0-9]+", ".", value).strip("."), "00" + value.lstrip("+"))
 
 
+def _other_digits(value: str, kind: int, rng: np.random.Generator) -> str:
+    """The same writing with other numbers: what is learned is the shape, not the sample's values."""
+    if kind == 1:
+        return re.sub(r"[0-9]+", lambda m: str(rng.integers(1, 256)), value)
+    return re.sub(r"[0-9]", lambda m: str(rng.integers(10)), value)
+
+
 def training_windows(texts: list[str], seed: int = 0, most: int = SAMPLE_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
-    """Windows around labelled spans as they are and rewritten, and windows without any."""
+    """Windows around labelled spans as they are, with other digits, and rewritten, and windows without any.
+
+    Every text is written anew ``WRITINGS`` times; each time every span of it gives a window that holds it at
+    a random place, and the text one more window around a digit or sign, if it has one.
+    """
     rng, x, y = np.random.default_rng(seed), [], []
     for text in texts:
-        found = sorted((a, b, k) for k, kind in enumerate(KINDS) for a, b in base_spans(text)[kind])
         spans, end = [], 0
-        for a, b, k in found:  # overlapping kinds: the first
+        for a, b, k in sorted(written_spans(text)):  # overlapping kinds: the first
             if a >= end:
                 spans.append((a, b, k))
                 end = b
-        for rewrite in (False, True) if spans else (False,):
-            out, marks, at = [], [], 0
+        for _ in range(WRITINGS if spans else 1):
+            out, marks, at, size = [], [], 0, 0
             for a, b, k in spans:
-                value = _rewritten(text[a:b], k, rng) if rewrite else text[a:b]
-                out.append(text[at:a])
-                size = sum(map(len, out))
+                value = text[a:b] if rng.random() < 0.2 else _other_digits(text[a:b], k, rng)
+                value = value if rng.random() < 0.3 else _rewritten(value, k, rng)
+                size += a - at
+                out += [text[at:a], value]
                 marks.append((size, size + len(value), k))
-                out.append(value)
-                at = b
+                size, at = size + len(value), b
             whole = "".join([*out, text[at:]])
             codes, tags = characters(whole), _tags(len(whole), marks)
-            starts = _starts(codes)
-            if len(starts):
-                starts = np.maximum(0, starts + rng.integers(-STRIDE // 2, STRIDE // 2 + 1, len(starts)))
-                starts = np.minimum(starts, max(0, len(codes) - 1))
-                rows = np.unique(rng.choice(starts, min(len(starts), TEXT_WINDOWS), replace=False))
+            starts = [int(rng.integers(min(max(0, b - WINDOW), a), a + 1)) for a, b, _ in marks]
+            anchors = _starts(codes)
+            if len(anchors):
+                starts.append(int(rng.choice(anchors)))
+            if starts:
+                rows = np.minimum(np.array(starts), max(0, len(codes) - 1))
                 x.append(_cut_out(codes, rows))
                 y.append(_cut_out(tags, rows))
     if not x or not any(t.any() for t in y):
@@ -190,6 +214,38 @@ def _read(tags: np.ndarray, chance: np.ndarray, start: int, size: int) -> Iterat
         yield start + first, start + t, int(kind), float(chance[first:t].mean()), (first == 0 and start > 0) or (t == WINDOW and start + t < size)
 
 
+def _whole(text: str, a: int, b: int, kind: int) -> Span:
+    """A span without loose signs at its ends, and with the rest of the words or numbers that they cut."""
+    while a < b and not (text[a].isalnum() or text[a] in "+(["):
+        a += 1
+    while a < b and not text[b - 1].isalnum():
+        b -= 1
+    if a == b:
+        return a, b
+    if kind == 0:
+        while a and text[a - 1] in _LOCAL:
+            a -= 1
+        while b < len(text) and (text[b].isascii() and text[b].isalnum() or text[b] in "-." and text[b + 1:b + 2].isalnum()):
+            b += 1
+        return a, b
+    while a and text[a - 1].isdecimal() and text[a].isdecimal():
+        a -= 1
+    while b < len(text) and text[b].isdecimal() and text[b - 1].isdecimal():
+        b += 1
+    return a, b
+
+
+def _checked(value: str, kind: int) -> bool:
+    """Whether a span's numbers are of its kind: the checks of the patterns, for any writing."""
+    digits = "".join(c for c in value if "0" <= c <= "9")
+    if kind == 0:
+        return "@" in value and "." in value[value.rindex("@"):]
+    if kind == 1:
+        parts = re.findall("[0-9]+", value)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return 13 <= len(digits) <= 19 and _luhn(digits) if kind == 2 else 8 <= len(digits) <= 15
+
+
 def reconcile(found: list[tuple[int, int, int, float, bool]], fixed: list[Span], text: str) -> list[tuple[int, int, int]]:
     """From the spans of all windows of a text those that stay."""
     joined: list[list] = []
@@ -204,15 +260,8 @@ def reconcile(found: list[tuple[int, int, int, float, bool]], fixed: list[Span],
                 joined.append(last)
     good = set()
     for a, b, kind, sure, _ in joined:
-        while a < b and not (text[a].isalnum() or text[a] in "+(["):
-            a += 1
-        while a < b and not text[b - 1].isalnum():
-            b -= 1
-        value = text[a:b]
-        n = sum("0" <= c <= "9" for c in value)
-        parts = re.findall("[0-9]+", value)
-        shape = "@" in value if kind == 0 else len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts) if kind == 1 else 13 <= n <= 19 if kind == 2 else 8 <= n <= 15
-        if sure >= SURE and SHORTEST <= b - a <= LONGEST and shape and not any(a < y and x < b for x, y in fixed):
+        a, b = _whole(text, a, b, kind)
+        if sure >= SURE and SHORTEST <= b - a <= LONGEST and _checked(text[a:b], kind) and not any(a < y and x < b for x, y in fixed):
             good.add((b, a, kind, sure * (b - a)))
     order = sorted(good)
     ends, best = [x[0] for x in order], [(0.0, None)]
@@ -231,6 +280,24 @@ def reconcile(found: list[tuple[int, int, int, float, bool]], fixed: list[Span],
     return sorted(chosen)
 
 
+def _windows_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    codes = characters(text)
+    starts = _starts(codes)
+    return starts, _cut_out(codes, starts)
+
+
+def spans_of(text: str, tagger: Tagger, fixed=base_spans) -> list[tuple[str, int, int]]:
+    """Kind, start and end of all spans of one text: those of ``fixed`` and what the tagger adds."""
+    own, found = fixed(text), []
+    starts, cut = _windows_of(text)
+    for k in range(0, len(starts), AT_ONCE):
+        tags, chance = tagger.decode(cut[k:k + AT_ONCE])
+        for s, t, c in zip(starts[k:k + AT_ONCE].tolist(), tags, chance):
+            found += _read(t, c, s, len(text))
+    added = reconcile(found, [x for k in KINDS for x in own[k]], text)
+    return [(k, a, b) for k in KINDS for a, b in own[k]] + [(KINDS[k], a, b) for a, b, k in added]
+
+
 def find(docs: DataFrame, tagger: Tagger | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``doc_id``, counts of the patterns' spans by kind, ``base_sha256``, ``spans``, ``n_added``; no shuffle."""
     arrow.prepare(docs.sparkSession)
@@ -247,9 +314,7 @@ def find(docs: DataFrame, tagger: Tagger | None, key: str = "doc_id", text: str
             for i in some:
                 texts[i] = b["text"][i].as_py()
                 base[i] = base_spans(texts[i])
-                codes = characters(texts[i])
-                starts = _starts(codes)
-                windows += [(i, int(s), x) for s, x in zip(starts, _cut_out(codes, starts))]
+                windows += [(i, int(s), x) for s, x in zip(*_windows_of(texts[i]))]
             found: dict[int, list] = {i: [] for i in some}
             for k in range(0, len(windows) if tagger else 0, AT_ONCE):
                 part = windows[k:k + AT_ONCE]

@@ -125,7 +125,7 @@ class Tagger:
             g[f"in_{way}"] = table
         return float((total - path).mean()), g
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 10, batch: int = 64, rate: float = 0.01, seed: int = 0) -> list[float]:
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 0) -> list[float]:
         """Adam over shuffled batches; the mean loss of each epoch."""
         rng, losses, step = np.random.default_rng(seed), [], 0
         m, v = ({k: np.zeros_like(a) for k, a in self.weights.items()} for _ in range(2))

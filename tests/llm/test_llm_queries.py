@@ -148,15 +148,76 @@ def test_packing_covers_every_id_once(spark, docs):
     assert sum(r.length for r in rows) > 0.95 * 4096 * (len(by_sequence) - 1)
 
 
-def test_base_patterns_of_personal_data(spark, docs):
-    from pulse.llm.pii import KINDS, base_spans
+def luhn(digits):
+    doubled = [int(c) * (2 if i % 2 else 1) for i, c in enumerate(digits[::-1])]
+    return sum(x // 10 + x % 10 for x in doubled) % 10 == 0
+
+
+def plain_spans(text):
+    """The patterns as they are stated."""
+    count = lambda s: len(re.sub("[^0-9]", "", s))
+    rules = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda s: 16 <= count(s) <= 19 and luhn(re.sub("[^0-9]", "", s))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= count(s) <= 15),
+    }
+    return {k: [m.span() for m in re.finditer(p, text or "") if good(m[0])] for k, (p, good) in rules.items()}
 
+
+def test_base_patterns_of_personal_data(spark, docs):
+    some = collections.Counter()
     for r in QUERIES["op10_pii"](spark, FOLDER).collect():
-        own = base_spans(docs[r.doc_id])
-        text = ",".join(f"{k}:{a}:{b}" for k in KINDS for a, b in own[k])
+        own = plain_spans(docs[r.doc_id])
+        text = ",".join(f"{k}:{a}:{b}" for k in own for a, b in own[k])
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
-        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [len(own[k]) for k in KINDS]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [len(own[k]) for k in own]
         assert set(filter(None, text.split(","))) <= set(r.spans.split(","))
+        some.update({k: len(v) for k, v in own.items()})
+    assert all(some[k] > 0 for k in ("email", "ip", "card", "phone"))
+
+
+def test_the_tagger_on_documents_it_has_not_seen(spark):
+    """Alone against the patterns' spans, and against rewritten spans that the patterns miss; clean documents stay without spans."""
+    from pyspark.sql import functions as F
+    from pulse.llm import pii
+
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    tagger = pii.fit(table.where(~held))
+    unseen = [r.text for r in table.where(held & F.col("text").rlike("[0-9@]")).collect()]
+    rng = np.random.default_rng(5)
+    rewritten, marks = [], []
+    for text in unseen:
+        out, at, own, size = [], 0, [], 0
+        for a, b, k in sorted((a, b, k) for k, kind in enumerate(pii.KINDS) for a, b in plain_spans(text)[kind]):
+            if a >= at:
+                value = pii._rewritten(text[a:b], k, rng)
+                out += [text[at:a], value]
+                size += a - at
+                own.append((pii.KINDS[k], size, size + len(value)))
+                size, at = size + len(value), b
+        rewritten.append("".join([*out, text[at:]]))
+        marks.append(own)
+    alone = found = planted = caught = clean = wrong = 0
+    no_patterns = lambda text: {k: [] for k in pii.KINDS}
+    for text, changed, own in zip(unseen, rewritten, marks):
+        base = {(k, a, b) for k, spans in plain_spans(text).items() for a, b in spans}
+        got = set(pii.spans_of(text, tagger, no_patterns))
+        alone, found = alone + len(base), found + len(base & got)
+        clean += not base
+        wrong += bool({x for x in got - base if not any(x[1] < e and s < x[2] for _, s, e in base)})
+        seen = {(k, a, b) for k, spans in plain_spans(changed).items() for a, b in spans}
+        hidden = {m for m in own if not any(m[1] < e and s < m[2] for _, s, e in seen)}
+        planted, caught = planted + len(hidden), caught + len(hidden & set(pii.spans_of(changed, tagger)))
+    assert alone > 100 and found / alone > 0.9
+    assert planted > 50 and caught / planted > 0.85
+    assert wrong <= 0.02 * len(unseen)
+    # over a whole table that holds them, through the query's operator
+    some = spark.createDataFrame([(i, t) for i, t in enumerate(rewritten)], "doc_id long, text string")
+    rows = pii.find(some, tagger).collect()
+    assert sum(r.n_added for r in rows) >= caught and len(rows) == len(rewritten)
+    assert all(r.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(pii.spans_of(rewritten[r.doc_id], tagger), key=lambda x: (pii.KINDS.index(x[0]), x[1]))) for r in rows)
 
 
 def test_whitening_by_brute_force(spark):
