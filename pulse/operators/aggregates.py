@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.periods import period_start
+from ..functions.periods import UNITS, period_start
 from ..functions.text import split_words, token_count
 from .periods import period_number
 
@@ -69,6 +69,27 @@ def label_counts(
     return long.unionByName(zeros).groupBy("period_int", "period_date", "label").agg(F.sum("n").alias("n"))
 
 
+def label_calendar(
+    df: DataFrame, ts_col: str = "comment_created", label_col: str = "sentiment_labels", period: str = "W",
+    labels: Sequence[str] = TABLE_LABELS,
+) -> DataFrame:
+    """``period_int, period_date, label, n`` for every period from the first to the last dated row, absent ones included.
+
+    Each of ``labels`` has a row in each period, 0 where it does not occur; other labels have rows where they
+    occur. ``period_int`` counts the calendar's periods, so gaps count too. The calendar comes from the bounds, two scalars of
+    the counts; no rows are joined with it. An empty table has no calendar.
+    """
+    dated = df.where(F.col(ts_col).isNotNull()).select(
+        period_start(F.col(ts_col), period).alias("period_date"), F.col(label_col).alias("label"))
+    counts = dated.groupBy("period_date", "label").agg(F.count(F.lit(1)).alias("n"))
+    bounds = counts.agg(F.min("period_date").alias("lo"), F.max("period_date").alias("hi")).where(F.col("lo").isNotNull())
+    every = F.sequence("lo", "hi", F.expr(f"INTERVAL 1 {UNITS[period]}"))
+    names = F.explode(F.array(*[F.lit(x) for x in labels])).alias("label")
+    zeros = bounds.select(F.explode(every).alias("period_date")).select("period_date", names, F.lit(0).cast("long").alias("n"))
+    filled = counts.where(F.col("label").isNotNull()).unionByName(zeros).groupBy("period_date", "label").agg(F.sum("n").alias("n"))
+    return filled.select(period_number().alias("period_int"), "period_date", "label", "n")
+
+
 def word_counts(df: DataFrame, text_col: str = "clean_text") -> DataFrame:
     """``word, n`` over the white-space words of a column."""
     words = df.select(F.explode(split_words(F.col(text_col))).alias("word"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.binding import once
@@ -67,19 +66,20 @@ def _places(words: Column, field: int, longest: int) -> Column:
     ))
 
 
-def mentions(
-    df: DataFrame, key: str, text_cols: Sequence[str], gazetteer: DataFrame,
-    types: Iterable[str] = TYPES,
+#: Which of overlapping matches stay: all that no longer one covers, or a chain from the left without overlap.
+OVERLAPS = ("covered", "greedy")
+
+
+def _found(
+    df: DataFrame, key: str, text_cols: Sequence[str], gazetteer: DataFrame, types: Iterable[str], overlap: str
 ) -> DataFrame:
-    """``key, field, start, size, phrase, type`` for every mention in the texts of ``text_cols``.
+    """``key`` and ``found``, the matches that stay, in order; every row of ``df`` is there.
 
-    One way for gazetteers of any size. Places whose word begins no phrase fall out in a join
-    with the distinct first words; the others are asked for each length that phrases with that first
-    word have, and the phrases made join the gazetteer ``(phrase, type)``. Both tables are
-    written first, so that the joins are planned by their true sizes: a small gazetteer is broadcast and
-    no word of a text is shuffled. A match inside a longer one of the same text is dropped, by a
-    running maximum over that text's matches. ``key`` must be unique.
+    A row without matches is carried by an entry of its own, so that nothing is joined back. Matches meet
+    their text in the only exchange by key, and what overlaps is settled within the row.
     """
+    if overlap not in OVERLAPS:
+        raise ValueError(f"overlap must be one of {', '.join(OVERLAPS)}, not {overlap!r}")
     listed = gazetteer.where(F.col("type").isin(list(types))).select("phrase", "type").distinct()
     listed = settle(listed, "gazetteer")
     size = F.size(F.split("phrase", " "))
@@ -88,40 +88,58 @@ def mentions(
     longest = listed.agg(F.max(size)).first()[0] or 1
     empty = F.array().cast("array<string>")
     places = [_places(F.coalesce(F.col(f"_w{i}"), empty), i, longest) for i in range(len(text_cols))]
+    own = F.array(F.struct(F.lit(-1).alias("field"), F.lit(0).alias("start"), F.lit(None).cast("string").alias("word"), empty.alias("run")))
     worded = once(df.select(key, *text_cols), **{f"_w{i}": raw_words(F.col(c)) for i, c in enumerate(text_cols)})
-    starts = worded.select(key, F.inline(F.concat(*places))).join(first, "word")
-    grams = starts.select(key, "field", "start", "run", F.explode("sizes").alias("size"))
-    grams = grams.where(F.get("run", F.col("size") - 1).isNotNull()).select(
-        key, "field", "start", "size", F.array_join(F.slice("run", F.lit(1), F.col("size")), " ").alias("phrase"))
-    hits = grams.join(listed, "phrase")
-    by_start = W.partitionBy(key, "field", "start")
-    earlier = W.partitionBy(key, "field").orderBy("start").rangeBetween(W.unboundedPreceding, -1)
-    end = F.col("start") + F.col("size")
-    marked = hits.select(
-        key, "field", "start", "size", "phrase", "type",
-        F.max("size").over(by_start).alias("_longest"),
-        F.max(end).over(earlier).alias("_reach"),
-    )
-    whole = (F.col("size") == F.col("_longest")) & (F.coalesce(F.col("_reach"), F.lit(0)) < end)
-    return marked.where(whole).drop("_longest", "_reach")
+    marker = F.col("field") < 0
+    starts = worded.select(key, F.inline(F.concat(own, *places))).join(first, "word", "left").where(marker | F.col("sizes").isNotNull())
+    grams = starts.select(key, "field", "start", "run", F.explode_outer("sizes").alias("size"))
+    grams = grams.where(marker | F.get("run", F.col("size") - 1).isNotNull()).select(
+        key, "field", "start", "size", F.when(~marker, F.array_join(F.slice("run", F.lit(1), F.greatest(F.col("size"), F.lit(1))), " ")).alias("phrase"))
+    hits = grams.join(listed, "phrase", "left").where(marker | F.col("type").isNotNull())
+    # from the left, the longest first
+    cell = F.when(~marker, F.struct("field", "start", (-F.col("size")).alias("minus"), "type", "phrase"))
+    gathered = hits.groupBy(key).agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+
+    def step(state: Column, c: Column) -> Column:
+        end = c["start"] - c["minus"]
+        same = (c["field"] == state["field"]) & (c["start"] == state["start"]) & (end == state["end"])  # of another type
+        free = end > state["end"] if overlap == "covered" else c["start"] >= state["end"]
+        return F.when(same | (c["field"] != state["field"]) | free, F.struct(
+            c["field"].alias("field"), c["start"].alias("start"), end.alias("end"), F.concat(state["kept"], F.array(c)).alias("kept"))).otherwise(state)
+
+    cells = F.array().cast("array<struct<field:int,start:int,minus:int,type:string,phrase:string>>")
+    begin = F.struct(F.lit(-1).alias("field"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), cells.alias("kept"))
+    return gathered.select(key, F.aggregate("cells", begin, step, lambda state: state["kept"]).alias("found"))
+
+
+def mentions(
+    df: DataFrame, key: str, text_cols: Sequence[str], gazetteer: DataFrame,
+    types: Iterable[str] = TYPES, overlap: str = "covered",
+) -> DataFrame:
+    """``key, field, start, size, phrase, type`` for every mention in the texts of ``text_cols``.
+
+    One way for gazetteers of any size. Places whose word begins no phrase fall out in a join
+    with the distinct first words; the others are asked for each length that phrases with that first
+    word have, and the phrases made join the gazetteer ``(phrase, type)``. Both tables are
+    written first, so that the joins are planned by their true sizes: a small gazetteer is broadcast and
+    no word of a text is shuffled. With ``overlap="covered"`` a match inside a longer one of the same text is dropped;
+    with ``"greedy"`` the leftmost match, and the longest there, is taken, and the next one begins after it. A text's matches
+    must fit in memory. ``key`` must be unique.
+    """
+    found = _found(df, key, text_cols, gazetteer, types, overlap)
+    return found.select(key, F.inline("found")).select(key, "field", "start", (-F.col("minus")).alias("size"), "phrase", "type")
 
 
 def extract(
     df: DataFrame, key: str, text_cols: Sequence[str], gazetteer: DataFrame,
-    types: Iterable[str] = TYPES,
+    types: Iterable[str] = TYPES, overlap: str = "covered",
 ) -> DataFrame:
     """``key, named_entities``: mentions of all ``text_cols``, column by column, in text order.
 
-    Repeats stay; a row without mentions gets an empty array.
+    Repeats stay; a row without mentions gets an empty array. ``overlap`` as in :func:`mentions`.
     """
-    found = mentions(df, key, text_cols, gazetteer, types)
-    cells = F.sort_array(F.collect_list(F.struct("field", "start", "type", "phrase")))
-    lists = found.groupBy(key).agg(cells.alias("cells"))
-    lists = lists.select(key, F.col("cells.phrase").alias("named_entities"))
-    none = F.array().cast("array<string>")
-    return df.select(key).join(lists, key, "left").select(
-        key, F.coalesce("named_entities", none).alias("named_entities")
-    )
+    found = _found(df, key, text_cols, gazetteer, types, overlap)
+    return found.select(key, F.col("found.phrase").alias("named_entities"))
 
 
 def entity_counts(found: DataFrame) -> DataFrame:

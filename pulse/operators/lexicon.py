@@ -6,7 +6,7 @@ do the same without a join.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,29 +18,30 @@ from ..settle import settle
 
 def lookup_tokens(
     df: DataFrame, key: str, words: Column, table: DataFrame, value: str,
-    default: Callable[[Column], Column],
+    default: Callable[[Column], Column], keep: Sequence[str] = (), into: str = "values",
 ) -> DataFrame:
-    """``key, values``: each row's tokens looked up in ``table(token, value)``, order kept.
+    """``key``, the columns of ``keep``, and the array ``into``: each row's tokens looked up in ``table(token, value)``, order kept.
 
     Tokens the table does not hold become ``default`` of the token. Only distinct tokens of a row
     are looked up. The row's own tokens travel with the first of them, so texts are worked on once and
     nothing is joined with itself; what the look-up does not find falls out before anything is gathered by key.
     A row without tokens gets an empty array. ``key`` must be unique.
     """
-    rows = once(df, _words=words).select(key, "_words")
+    rows = once(df, _words=words).select(key, F.struct("_words", *keep).alias("_all"), "_words")
     entries = table.select(F.col("token").alias("_token"), F.col(value).alias("_value"))
     asked = F.transform(F.array_distinct("_words"), lambda w, i: F.struct(
-        w.alias("_token"), (i == 0).alias("_first"), F.when(i == 0, F.col("_words")).alias("_own")))
-    alone = F.array(F.struct(F.lit(None).cast("string").alias("_token"), F.lit(True).alias("_first"), F.col("_words").alias("_own")))
+        w.alias("_token"), (i == 0).alias("_first"), F.when(i == 0, F.col("_all")).alias("_own")))
+    alone = F.array(F.struct(F.lit(None).cast("string").alias("_token"), F.lit(True).alias("_first"), F.col("_all").alias("_own")))
     spread = rows.select(key, F.inline(F.when(F.size("_words") > 0, asked).otherwise(alone)))
     found = spread.join(entries, "_token", "left").where(F.col("_first") | F.col("_value").isNotNull())
     pair = F.when(F.col("_value").isNotNull(), F.struct("_token", "_value"))
-    whole = found.groupBy(key).agg(F.first("_own", ignorenulls=True).alias("_words"), F.map_from_entries(F.collect_list(pair)).alias("_known"))
+    whole = found.groupBy(key).agg(F.first("_own", ignorenulls=True).alias("_own"), F.map_from_entries(F.collect_list(pair)).alias("_known"))
     held = F.coalesce(F.size("_known"), F.lit(0)) > 0
-    values = F.when(held, F.transform("_words", lambda w: F.coalesce(F.try_element_at("_known", w), default(w)))).otherwise(
-        F.transform("_words", default))
+    own = F.col("_own._words")
+    values = F.when(held, F.transform(own, lambda w: F.coalesce(F.try_element_at("_known", w), default(w)))).otherwise(
+        F.transform(own, default))
     none = F.array().cast(f"array<{dict(table.dtypes)[value]}>")
-    return whole.select(key, F.coalesce(values, none).alias("values"))
+    return whole.select(key, *[F.col("_own").getField(c).alias(c) for c in keep], F.coalesce(values, none).alias(into))
 
 
 def apply_lexicon(df: DataFrame, key: str, tokens_col: str, lexicon: DataFrame) -> DataFrame:
@@ -95,6 +96,26 @@ def noun_lemmas(words: DataFrame, known: DataFrame, irregular: Mapping[str, str]
     return lexicon
 
 
+def own_lemmas(
+    key: str, irregular: Mapping[str, str] | None = None, known: DataFrame | None = None, text_col: str = "clean_text",
+) -> Callable[[DataFrame], DataFrame]:
+    """A last cleaning step: nouns to forms that the corpus itself has, or the table ``known(word)``.
+
+    The frame is written, its distinct words are rewritten once (:func:`noun_lemmas`), and the texts look theirs up. ``key``
+    must be unique. A null text becomes an empty one.
+    """
+
+    def rewrite(df: DataFrame) -> DataFrame:
+        rows = settle(df, "cleaned")
+        words = settle(rows.select(F.explode_outer(split_words(F.col(text_col))).alias("word")).where(F.col("word").isNotNull()).distinct(), "own-words")
+        lexicon = settle(noun_lemmas(words, words if known is None else known, irregular), "own-lemmas")
+        others = [c for c in df.columns if c not in (key, text_col)]
+        out = lookup_tokens(rows, key, split_words(F.col(text_col)), lexicon, "replacement", lambda w: w, others, "_rewritten")
+        return out.select(*[F.array_join("_rewritten", " ").alias(c) if c == text_col else c for c in df.columns])
+
+    return rewrite
+
+
 def unlisted_words(counts: DataFrame, listed: DataFrame) -> DataFrame:
     """Word counts without the words of ``listed(word)``.
 

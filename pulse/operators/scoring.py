@@ -13,8 +13,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.binding import let
+from ..functions.binding import let, once
 from ..functions.labels import SENTIMENTS, decode
+from ..functions.text import normalize
 from ..functions.vectors import argmax, confidence, softmax
 from ..session import ship_package
 
@@ -62,21 +63,29 @@ class Model:
     """A classifier as every job takes it.
 
     ``apply`` adds ``logits`` to a frame with ``clean_text``. The model knows how texts must be
-    cleaned for it, so jobs cannot clean them in another way than it was trained on.
+    cleaned for it, so jobs cannot clean them in another way than it was trained on. ``rewrite`` is a last step of
+    that over whole frames, for lexicons that are tables (see :func:`.lexicon.own_lemmas`).
     """
 
     apply: Callable[[DataFrame], DataFrame]
     profile: str = "serving"
     lemmas: Mapping[str, str] | None = None
     names: tuple[str, ...] = SENTIMENTS
+    rewrite: Callable[[DataFrame], DataFrame] | None = None
+
+    def cleaned(self, df: DataFrame, text_col: str) -> DataFrame:
+        """``df`` with ``clean_text`` as the model wants it."""
+        out = once(df, clean_text=normalize(F.col(text_col), self.profile, self.lemmas))
+        return self.rewrite(out) if self.rewrite else out
 
 
 def column_model(
     logits: Callable[[Column], Column], profile: str = "serving",
     lemmas: Mapping[str, str] | None = None, names: Sequence[str] = SENTIMENTS,
+    rewrite: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Model:
     """A model that is a column expression over the clean text."""
-    return Model(lambda df: df.withColumn("logits", logits(F.col("clean_text"))), profile, lemmas, tuple(names))
+    return Model(lambda df: df.withColumn("logits", logits(F.col("clean_text"))), profile, lemmas, tuple(names), rewrite)
 
 
 def python_model(

@@ -23,17 +23,21 @@ def top_posts(
     ts_col: str = "created",
     score_col: str = "score",
     id_col: str = "post_id",
+    day_col: str | None = None,
 ) -> DataFrame:
     """The ``n`` best-scored posts of a community in the look-back before ``as_of``.
 
     ``as_of`` is an argument, never the clock, so a rerun gives the same rows. Ties go to the
-    smaller id. Both filters reach the scan.
+    smaller id. Both filters reach the scan. ``day_col`` names the day that a table is partitioned by: of
+    a table that :func:`.layout.land_posts` wrote, only the folders of the community and its days are read.
     """
     if lookback not in LOOKBACKS:
         raise ValueError(f"lookback must be one of {', '.join(LOOKBACKS)}, not {lookback!r}")
     end = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(df.schema[ts_col].dataType)
     recent = (F.col(ts_col) > end - F.expr(LOOKBACKS[lookback])) & (F.col(ts_col) <= end)
     posts = df.where((F.col(community_col) == community) & recent)
+    if day_col:
+        posts = posts.where(F.col(day_col).between((end - F.expr(LOOKBACKS[lookback])).cast("date"), end.cast("date")))
     return posts.orderBy(F.desc(score_col), F.asc(id_col)).limit(n)
 
 

@@ -9,9 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.binding import once
-from ..functions.text import normalize
-from ..functions.wordlists import SEED_LEMMAS, STOPWORDS
+from ..functions.wordlists import STOPWORDS
 from ..operators.aggregates import label_counts, label_pivot, length_density, length_hist, top_words
 from ..operators.entities import mentions_in
 from ..operators.periods import with_period
@@ -47,15 +45,14 @@ def tag_posts(posts: DataFrame, gazetteer: Mapping[str, str]) -> DataFrame:
 
 def enrich(
     comments: DataFrame, model: Model | Callable[[Column], Column], profile: str = "serving",
-    lemmas: Mapping[str, str] = SEED_LEMMAS,
+    lemmas: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add clean text, logits, class and label to comments.
 
     ``model`` brings its own cleaning; ``profile`` and ``lemmas`` are for a plain column function.
     """
     model = as_model(model, profile, lemmas)
-    cleaned = once(comments, clean_text=normalize(F.col("comment_text"), model.profile, model.lemmas))
-    return with_predictions(model.apply(cleaned), names=model.names)
+    return with_predictions(model.apply(model.cleaned(comments, "comment_text")), names=model.names)
 
 
 def with_entities(
@@ -72,7 +69,7 @@ def with_entities(
 
 def comment_report(
     posts: DataFrame, comments: DataFrame, model: Model | Callable[[Column], Column],
-    gazetteer: Mapping[str, str], period: str = "D", lemmas: Mapping[str, str] = SEED_LEMMAS,
+    gazetteer: Mapping[str, str], period: str = "D", lemmas: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Every comment with label, period number, post title and entities.
 

@@ -120,9 +120,12 @@ def lemma_sql(token: str, slang: bool) -> str:
     return f"coalesce(MAP {{{pairs}}}[{token}], {token})"
 
 
-def normalize_sql(text: str, name: str) -> str:
+def normalize_sql(text: str, name: str, lemmas: bool = True) -> str:
     serving = name in ("serving", "batch")
     cleaned = clean_sql(expand_sql(text) if serving else text, name)
+    if not lemmas:
+        slang = "CASE t " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SLANG.items()) + " ELSE t END" if serving else "t"
+        return f"array_to_string(list_transform({tokens_sql(cleaned)}, lambda t: {slang}), ' ')"
     return f"array_to_string(list_transform({tokens_sql(cleaned)}, lambda t: {lemma_sql('t', serving)}), ' ')"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.periods import epoch_to_string, parse_timestamp, period_start
-from ...operators.aggregates import label_counts, label_pivot, label_stats
+from ...operators.aggregates import label_calendar, label_counts, label_pivot, label_stats
 from ...operators.periods import with_period
 from .base import COMMENTS_SQL, comments, query, table
 
@@ -142,3 +142,24 @@ def sentiment_pivot_month(spark, sf):
 )
 def stats(spark, sf):
     return label_stats(table(spark, sf, "events"), "event_type")
+
+
+def _calendar_sql(unit: str) -> str:
+    return f"""WITH c AS (SELECT CAST(date_trunc('{unit}', l_shipdate) AS DATE) AS period_date, l_returnflag AS label FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1),
+    n AS (SELECT period_date, label, count(*) AS n FROM c GROUP BY ALL),
+    days AS (SELECT CAST(unnest(generate_series((SELECT min(period_date) FROM n)::TIMESTAMP, (SELECT max(period_date) FROM n)::TIMESTAMP, INTERVAL 1 {unit})) AS DATE) AS period_date),
+    labels AS (SELECT unnest(['A', 'N', 'R']) AS label)
+    SELECT CAST(dense_rank() OVER (ORDER BY period_date) AS INTEGER) AS period_int, period_date, label, coalesce(n, 0) AS n
+    FROM days CROSS JOIN labels LEFT JOIN n USING (period_date, label)"""
+
+
+def _register_calendar(name: str, period: str, unit: str) -> None:
+    @query(name, _calendar_sql(unit))
+    def run(spark, sf):
+        # large orders at the highest discount: there are days and weeks without any
+        rows = table(spark, sf, "lineitem").where((F.col("l_quantity") == 50) & (F.col("l_discount") == 0.1))
+        return label_calendar(rows, "l_shipdate", "l_returnflag", period, ["A", "N", "R"])
+
+
+_register_calendar("sentiment_calendar", "D", "day")
+_register_calendar("sentiment_calendar_week", "W", "week")

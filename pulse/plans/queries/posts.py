@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from ...operators.entities import TYPES, entity_counts, extract, mentions, mentions_in, raw_words
 from ...operators.topn import drop_stickied, top_n_per_post, top_posts
 from ...functions.wordlists import SEED_LEMMAS
-from ...operators.scoring import python_model
+from ...operators.lexicon import NOUN_ENDINGS, own_lemmas
+from ...operators.scoring import column_model, python_model
 from ..batch_job import CLEANED, cleaned_comments
 from ..dashboard import comment_report, dashboard_for
 from ...sources.feed import flatten_posts, join_posts
+from ...sources.layout import land_comments, land_posts
 from .base import dealt, documents, query, quoted, table, words_sql, ORACLES
 from .cleaning import normalize_sql
+from .words import IRREGULAR, STEMS_SQL
 from .scores import _NAME_SQL, WordScorer, class_sql, text_logits, word_logits_sql
 
 
@@ -119,6 +122,32 @@ def joined(spark, sf):
     return join_posts(posts, rows).select("post_id", "turn", "post_title", "comment_text")
 
 
+def _landed(spark, sf):
+    """Posts and comments as tables laid out for the join and the look-back."""
+    posts = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("post_id"), F.col("lang").alias("community"), F.col("source").alias("post_title"),
+        (F.lit("2024-01-20").cast("timestamp_ntz") - F.make_dt_interval(mins=(F.col("doc_id") * 7).cast("int"))).alias("created"), F.col("n_chars").alias("score"))
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("post_id"), "turn", F.col("text").alias("comment_text"))
+    return land_posts(posts, 8), land_comments(turns, 8)
+
+
+@query("join_posts_bucketed", ORACLES["join_posts"])
+def joined_by_buckets(spark, sf):
+    posts, turns = _landed(spark, sf)
+    return join_posts(posts, turns).select("post_id", "turn", "post_title", "comment_text")
+
+
+@query(
+    "top_posts_landed",
+    """SELECT doc_id AS post_id, n_chars AS score FROM documents
+    WHERE lang = 'en' AND TIMESTAMP '2024-01-20' - to_minutes(doc_id * 7) > TIMESTAMP '2024-01-20' - INTERVAL 1 DAY
+    ORDER BY n_chars DESC, doc_id LIMIT 10""",
+)
+def top_landed(spark, sf):
+    posts, _ = _landed(spark, sf)
+    return top_posts(posts, "en", datetime(2024, 1, 20), "day", 10, day_col="day").select("post_id", "score")
+
+
 _WORD = r"regexp_extract_all({text}, '[\p{{L}}\p{{N}}]+')"
 
 # Openings of the benchmark texts stand in for a gazetteer table; some types are not wanted.
@@ -166,6 +195,21 @@ def counts(spark, sf):
     return entity_counts(mentions(documents(spark, sf), "doc_id", ["text"], gazetteer(spark, sf)))
 
 
+@query(
+    "entity_greedy",
+    f"""WITH RECURSIVE {_GAZETTEER_SQL},
+    best AS (SELECT doc_id, pos, max(n) AS n FROM hits GROUP BY doc_id, pos),
+    after AS (SELECT b.doc_id, b.pos, min(f.pos) AS follows FROM best b LEFT JOIN best f ON b.doc_id = f.doc_id AND f.pos >= b.pos + b.n GROUP BY b.doc_id, b.pos),
+    chain AS (SELECT doc_id, min(pos) AS pos FROM best GROUP BY doc_id
+        UNION ALL SELECT chain.doc_id, follows FROM chain JOIN after ON after.doc_id = chain.doc_id AND after.pos = chain.pos WHERE follows IS NOT NULL)
+    SELECT doc_id, CAST(pos - 1 AS INTEGER) AS start, phrase, type FROM chain JOIN best USING (doc_id, pos) JOIN hits USING (doc_id, pos, n)""",
+)
+def entity_greedy(spark, sf):
+    """Mentions that do not overlap, from the left."""
+    found = mentions(documents(spark, sf), "doc_id", ["text"], gazetteer(spark, sf), overlap="greedy")
+    return found.select("doc_id", "start", "phrase", "type")
+
+
 # A small phrase list; DATE is not a reported type.
 PHRASES = {
     "The": "ORG", "of the": "GPE", "and of the": "WORK_OF_ART", "the": "PRODUCT", "de la": "PERSON",
@@ -239,7 +283,7 @@ def _comments(spark, sf):
         LEFT JOIN p2_found p2f ON p2f.k = post_id LEFT JOIN c_found cf ON cf.k = comment_id""",
 )
 def report(spark, sf):
-    return _shown(comment_report(_posts(spark, sf), _comments(spark, sf), text_logits, PHRASES, "D"))
+    return _shown(comment_report(_posts(spark, sf), _comments(spark, sf), text_logits, PHRASES, "D", SEED_LEMMAS))
 
 
 def _shown(out):
@@ -250,6 +294,29 @@ def _shown(out):
     )
 
 
+# The lexicon: regular plurals whose stem is a word of the comments, and some irregular forms.
+_OWN_SQL = f"""words AS (SELECT DISTINCT unnest({words_sql('plain')}) AS word FROM cleaned),
+    stems AS (SELECT word, rank, stem FROM words, LATERAL (VALUES {STEMS_SQL}) AS v(rank, stem) WHERE stem IN (SELECT word FROM words)
+        AND word NOT IN ({quoted(IRREGULAR)})),
+    lexicon AS (SELECT word AS token, arg_min(stem, rank) AS replacement FROM stems GROUP BY word
+        UNION ALL SELECT word, CASE word {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in IRREGULAR.items())} END FROM words WHERE word IN ({quoted(IRREGULAR)})),
+    spread AS (SELECT comment_id, unnest({words_sql('plain')}) AS token, generate_subscripts({words_sql('plain')}, 1) AS pos FROM cleaned),
+    rewritten AS (SELECT comment_id, string_agg(coalesce(replacement, token), ' ' ORDER BY pos) AS clean_text FROM spread LEFT JOIN lexicon USING (token) GROUP BY comment_id)"""
+
+
+@query(
+    "comment_report_lemmas",
+    f"""WITH {_REPORT_SQL}, cleaned AS (SELECT comment_id, {normalize_sql('comment_text', 'serving', lemmas=False)} AS plain FROM c), {_OWN_SQL},
+    whole AS (SELECT comment_id, coalesce(clean_text, '') AS clean_text FROM cleaned LEFT JOIN rewritten USING (comment_id)),
+    scored AS (SELECT *, {word_logits_sql(words_sql('clean_text'))} AS z FROM whole)
+    SELECT comment_id, clean_text, {_NAME_SQL.format(y=class_sql('z'))} AS sentiment_labels FROM scored""",
+)
+def report_lemmas(spark, sf):
+    """Comments scored on texts whose nouns were brought to forms that the comments themselves have."""
+    model = column_model(text_logits, rewrite=own_lemmas("comment_id", IRREGULAR))
+    return comment_report(_posts(spark, sf), _comments(spark, sf), model, {}, "D").select("comment_id", "clean_text", "sentiment_labels")
+
+
 @query("comment_report_python", ORACLES["comment_report"])
 def report_python(spark, sf):
     out = comment_report(_posts(spark, sf), _comments(spark, sf), python_model(WordScorer(), lemmas=SEED_LEMMAS), PHRASES, "D")
@@ -266,7 +333,7 @@ def report_python(spark, sf):
         CAST(dense_rank() OVER (ORDER BY date_trunc('week', ts)) AS INTEGER) AS period_int FROM scored""",
 )
 def cleaned(spark, sf):
-    out = cleaned_comments(_comments(spark, sf), text_logits, "W").select(*CLEANED)
+    out = cleaned_comments(_comments(spark, sf), text_logits, "W", SEED_LEMMAS).select(*CLEANED)
     return out.withColumn("comment_created", F.date_format("comment_created", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -290,7 +357,7 @@ def _request(spark, sf):
     )
     turns = table(spark, sf, "conversations").select("conv_id", "turn", (F.col("role") == "system").alias("stickied"))
     ranked = _comments(spark, sf).join(turns.withColumn("comment_id", F.col("conv_id") * 8 + F.col("turn")), "comment_id")
-    return dashboard_for(posts, ranked.withColumn("rank", F.col("turn")), text_logits, "en", datetime(2024, 1, 20), "month", 150, 2,
+    return dashboard_for(posts, ranked.withColumn("rank", F.col("turn")), column_model(text_logits, lemmas=SEED_LEMMAS), "en", datetime(2024, 1, 20), "month", 150, 2,
                          period="W", show_text_analysis=True, stopwords=())
 
 

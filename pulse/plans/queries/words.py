@@ -113,7 +113,7 @@ def density(spark, sf):
 # Forms that no ending explains.
 IRREGULAR = {"children": "child", "people": "person", "feet": "foot", "mice": "mouse"}
 
-_STEMS = ", ".join(
+STEMS_SQL = ", ".join(
     f"({i}, CASE WHEN ends_with(word, '{end}') AND length(word) > {len(end)} THEN left(word, length(word) - {len(end)}) || '{stem}' END)"
     for i, (end, stem) in enumerate(NOUN_ENDINGS))
 
@@ -121,7 +121,7 @@ _STEMS = ", ".join(
 @query(
     "lemma_rules",
     f"""WITH w AS (SELECT DISTINCT unnest({words_sql(clean_sql('text', 'training'))}) AS word FROM documents),
-    s AS (SELECT word, rank, stem FROM w, LATERAL (VALUES {_STEMS}) AS v(rank, stem) WHERE stem IN (SELECT word FROM w)
+    s AS (SELECT word, rank, stem FROM w, LATERAL (VALUES {STEMS_SQL}) AS v(rank, stem) WHERE stem IN (SELECT word FROM w)
         AND word NOT IN ({quoted(IRREGULAR)}))
     SELECT word AS token, arg_min(stem, rank) AS replacement FROM s GROUP BY word
     UNION ALL SELECT word, CASE word {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in IRREGULAR.items())} END FROM w

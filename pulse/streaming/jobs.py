@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions.binding import once
 from ..functions.periods import period_start
-from ..functions.text import normalize
 from ..operators.aggregates import TABLE_LABELS
 from ..operators.periods import period_number
 from ..operators.scoring import Model, with_predictions
@@ -116,8 +114,7 @@ def score_arrivals(comments: DataFrame, model: Model, folder: str, state: str, t
     spark, schema = comments.sparkSession, []
 
     def each(batch: DataFrame, number: int) -> None:
-        cleaned = once(batch, clean_text=normalize(F.col(text_col), model.profile, model.lemmas))
-        scored = with_predictions(model.apply(cleaned), names=model.names)
+        scored = with_predictions(model.apply(model.cleaned(batch, text_col)), names=model.names)
         schema.append(scored.schema)
         scored.write.mode("overwrite").parquet(_folder(folder, number))
 
@@ -187,9 +184,8 @@ def live_job(
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        cleaned = once(batch, clean_text=normalize(F.col(text_col), model.profile, model.lemmas))
         path = _folder(f"{folder}/scored", number)
-        scored = with_predictions(model.apply(cleaned), names=model.names)
+        scored = with_predictions(model.apply(model.cleaned(batch, text_col)), names=model.names)
         scored.write.mode("overwrite").parquet(path)
         add_to_totals(batch.sparkSession.read.schema(scored.schema).parquet(path), number, f"{folder}/totals", ts_col, "sentiment_labels", period)
 

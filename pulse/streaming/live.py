@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.binding import once
-from ..functions.text import normalize, split_words
+from ..functions.text import split_words
 from ..operators.scoring import Model, column_model, with_predictions, word_logits
 from ..session import discard_at_exit, shared_dir
 
@@ -46,8 +45,7 @@ def stream_score(
     if model is None:
         made = logits or (lambda text: word_logits(split_words(text), weights, bias))
         model = column_model(made, profile)
-    cleaned = once(comments, clean_text=normalize(F.col(text_col), model.profile, model.lemmas))
-    return with_predictions(model.apply(cleaned), names=model.names)
+    return with_predictions(model.apply(model.cleaned(comments, text_col)), names=model.names)
 
 
 def event_time(df: DataFrame, ts_col: str) -> Column:

@@ -231,3 +231,52 @@ def test_bayes_keeps_every_column_and_row(spark):
     assert rows[3].logits == rows[4].logits == list(model.priors)
     weight = {r.word: r for r in model.words.collect()}
     assert abs(rows[1].logits[0] - (model.priors[0] + 2 * weight["a"].z0 + weight["b"].z0)) < 1e-12
+
+
+def test_greedy_mentions_do_not_overlap(spark):
+    texts = ["New York Times Square York", "York New York Times in Times Square", "", None, "A A A B A", "New York Times Square Garden"]
+    phrases = {"New York": "GPE", "New York Times": "ORG", "Times Square": "GPE", "Square Garden": "ORG", "A A": "ORG", "A": "PERSON", "York": "GPE"}
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    table = spark.createDataFrame([*phrases.items(), ("A A", "GPE")], "phrase string, type string")
+
+    def greedy(text):
+        words, at, out = (text or "").split(), 0, []
+        while at < len(words):
+            size = next((n for n in (3, 2, 1) if at + n <= len(words) and " ".join(words[at:at + n]) in phrases), 0)
+            if size:
+                found = " ".join(words[at:at + size])
+                out += [(at, size, found)] * (2 if found == "A A" else 1)
+            at += size or 1
+        return out
+
+    got = {}
+    for r in mentions(df, "id", ["t"], table, overlap="greedy").collect():
+        got.setdefault(r.id, []).append((r.start, r.size, r.phrase))
+    assert {i: sorted(v) for i, v in got.items()} == {i: greedy(t) for i, t in enumerate(texts) if greedy(t)}
+    lists = {r.id: r.named_entities for r in extract(df, "id", ["t"], table, overlap="greedy").collect()}
+    assert lists == {i: [p for _, _, p in greedy(t)] for i, t in enumerate(texts)}
+    covered = {r.id: r.named_entities for r in extract(df, "id", ["t"], table).collect()}
+    assert covered[0] == ["New York Times", "Times Square", "York"] and lists[0] == ["New York Times", "York"]
+    with pytest.raises(ValueError):
+        extract(df, "id", ["t"], table, overlap="none")
+
+
+def test_mentions_meet_their_text_in_one_exchange(spark, tmp_path):
+    spark.createDataFrame([(i, "York and New York") for i in range(40)], "id long, t string").write.parquet(str(tmp_path / "t"))
+    table = spark.createDataFrame([("New York", "GPE"), ("York", "GPE")], "phrase string, type string")
+    plan = _executed(extract(spark.read.parquet(str(tmp_path / "t")), "id", ["t"], table))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("[id,t]") == 1 + plan.count("Project [id,t]")
+
+
+def test_lemmas_of_the_corpus_itself(spark):
+    from pulse.operators.lexicon import own_lemmas
+
+    rows = [(1, "Cats and a cat", 7), (2, "Dogs only dogs, children", 8), (3, None, 9), (4, "", 1), (5, "bus buses", 2)]
+    df = spark.createDataFrame(rows, "id long, comment_text string, values int")
+    model = column_model(lambda t: F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0)), rewrite=own_lemmas("id", {"children": "child"}))
+    got = {r.id: (r.clean_text, r["values"]) for r in enrich(df, model).collect()}
+    # the stem of dogs is no word here; a lexicon from elsewhere knows it
+    assert got == {1: ("cat and a cat", 7), 2: ("dogs only dogs child", 8), 3: ("", 9), 4: ("", 1), 5: ("bus bus", 2)}
+    known = spark.createDataFrame([("dog",)], "word string")
+    other = column_model(lambda t: F.array(F.lit(0.0)), names=("only",), rewrite=own_lemmas("id", known=known))
+    assert {r.id: r.clean_text for r in enrich(df, other).collect()}[2] == "dog only dog children"

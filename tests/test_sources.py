@@ -1,11 +1,16 @@
 """Files read by ranges."""
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulse.operators.topn import top_posts
+from pulse.sources.feed import join_posts
 from pulse.sources.files import read_labelled_csv, write_csv
+from pulse.sources.layout import land_comments, land_posts
 from pulse.sources.splitcsv import read_split_csv, split_records
 
 ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("day", T.DateType())])
@@ -107,3 +112,34 @@ def test_only_parts_at_borders_are_moved(spark, ranges, tmp_path):
     # what is sorted file by file has no text
     window = plan[plan.index("Window"):]
     assert "text" not in window[:window.index("FileScan parquet")]
+
+
+# --- layout
+
+
+def test_bucketed_posts_join_without_an_exchange_and_prune_their_days(spark):
+    start = datetime(2024, 1, 1)
+    rows = [(i, ["a", "b"][i % 2], start + timedelta(hours=5 * i), i % 17, f"t{i}") for i in range(300)] + [(900, None, None, 1, "t")]
+    posts = spark.createDataFrame(rows, "post_id long, community string, created timestamp_ntz, score int, post_title string")
+    comments = spark.createDataFrame([(i % 310, i) for i in range(2000)], "post_id long, comment long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        landed, turns = land_posts(posts, 4), land_comments(comments, 4)
+        out = join_posts(landed, turns).select("post_id", "comment", "post_title")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and plan.count("Bucketed: true") == 2
+        want = join_posts(posts, comments).select("post_id", "comment", "post_title")
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert landed.count() == 301
+    as_of = datetime(2024, 2, 1)
+    top = top_posts(landed, "a", as_of, "week", 5, day_col="day")
+    plain = top_posts(posts, "a", as_of, "week", 5)
+    assert [r.post_id for r in top.collect()] == [r.post_id for r in plain.collect()]
+    scan = top._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "day" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    read = landed.where((F.col("community") == "a") & (F.col("day") >= as_of.date() - timedelta(days=7)) & (F.col("day") <= as_of.date()))
+    folders = {r[0].rsplit("/", 2)[1] for r in read.select("_metadata.file_path").distinct().collect()}
+    assert folders == {f"day={(as_of - timedelta(days=d)).date()}" for d in range(8)}

@@ -204,3 +204,18 @@ def test_large_n_of_a_hot_group_is_cut_in_many_tasks(spark):
     got = {(r.g, r.id): r.rn for r in out.collect()}
     want = [(g, [i for i in range(6000) if (i % 10 == 0) == bool(g)][:1500]) for g in (0, 1)]
     assert got == {(g, i): k + 1 for g, ids in want for k, i in enumerate(ids)}
+
+
+def test_calendar_has_every_period_between_the_bounds(spark):
+    from datetime import datetime
+
+    from pulse.operators.aggregates import label_calendar
+
+    rows = [(datetime(2024, 1, 31), "neutral"), (datetime(2024, 4, 2), "negative"), (datetime(2024, 4, 30), "odd"), (datetime(2024, 4, 1), None), (None, "neutral")]
+    df = spark.createDataFrame(rows, "comment_created timestamp_ntz, sentiment_labels string")
+    got = sorted((r.period_int, str(r.period_date), r.label, r.n) for r in label_calendar(df, period="M").collect())
+    want = [(i, f"2024-0{i}-01", label, 0) for i in range(1, 5) for label in ("negative", "neutral", "positive")]
+    want = [w for w in want if w[:1] + w[2:3] not in ((1, "neutral"), (4, "negative"))] + [(1, "2024-01-01", "neutral", 1), (4, "2024-04-01", "negative", 1), (4, "2024-04-01", "odd", 1)]
+    assert got == sorted(want)
+    assert label_calendar(df, period="D").count() == 3 * 91 + 1 and label_calendar(df, period="W").count() == 3 * 14 + 1
+    assert label_calendar(df.where("false")).collect() == []
