@@ -4,8 +4,8 @@ A window is ``length`` consecutive words of one document. Counting all windows e
 more than the texts themselves, so a count-min sketch of two rows goes first. Every task sketches
 its own windows; what it sends is the list of cells it hit, a byte or so each. Segments of the sketch
 are merged in parallel and only the bit "twice or more" of a cell is written. The estimate never falls short,
-so the second pass loses nothing: it groups the windows estimated repeated by their 64-bit hashes
-and removes those whose hash occurs in a document with a smaller id, or earlier in the same one.
+so the second pass loses nothing: it groups the windows estimated repeated by two independent 64-bit hashes
+and removes those that occur in a document with a smaller id, or earlier in the same one (told by one hash among its own windows).
 
 Documents with the text of one with a smaller id are removed whole (if they have a window) and do not
 take part in the second pass; a large group of copies so costs a row per copy.
@@ -55,6 +55,14 @@ def _windows(column: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.
     return h[whole], np.flatnonzero(whole), first
 
 
+def _second(column: pa.Array, length: int, at: np.ndarray) -> np.ndarray:
+    """Another hash of the windows that start at the words ``at``, independent of the first."""
+    body, rows = words.texts(column)
+    starts, ends, _ = words.bounds(body, rows)
+    codes = words.mix(words.hashes(body, starts, ends) ^ np.uint64(0xA0761D6478BD642F))
+    return words.windows(codes, length)[at] if len(at) else np.zeros(0, np.uint64)
+
+
 def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (words.mix(h ^ np.uint64(row + 1)) >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -148,7 +156,7 @@ def _repeated(files: tuple[str, ...], bits: int) -> list[np.ndarray]:
 
 
 def _candidates(docs: DataFrame, files: tuple[str, ...], bits: int, length: int) -> DataFrame:
-    """``h``, ``id``: the distinct windows of every document that the sketch counts twice or more."""
+    """``h``, ``g``, ``id``: two hashes of the distinct windows of every document that the sketch counts twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _repeated(files, bits)
@@ -160,11 +168,11 @@ def _candidates(docs: DataFrame, files: tuple[str, ...], bits: int, length: int)
                 h, at = h[maybe], at[maybe]
             of = np.searchsorted(first, at, "right") - 1
             order = np.lexsort((h, of))
-            h, of = h[order], of[order]
+            h, of, g = h[order], of[order], _second(b["text"], length, at)[order]
             new = np.r_[True, (h[1:] != h[:-1]) | (of[1:] != of[:-1])] if len(h) else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), b["id"].take(pa.array(of[new]))], ["h", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(g[new].view(np.int64)), b["id"].take(pa.array(of[new]))], ["h", "g", "id"])
 
-    return docs.mapInArrow(run, "h long, id long")
+    return docs.mapInArrow(run, "h long, g long, id long")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -184,8 +192,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     copy = F.coalesce(F.array_contains("texts", F.xxhash64("text")), F.lit(False))
     marked = own.join(copies, "id", "left").select("id", "text", copy.alias("copy"))
     found = _candidates(marked.where("NOT copy AND id IS NOT NULL").select("id", "text"), files, bits, length)
-    heads = found.groupBy("h").agg(F.min("id").alias("head"))
-    later = found.join(heads, "h").where("id > head").groupBy("id").agg(F.collect_list("h").alias("later"))
+    heads = found.groupBy("h", "g").agg(F.min("id").alias("head"))
+    later = found.join(heads, ["h", "g"]).where("id > head").groupBy("id").agg(F.collect_list("h").alias("later"))
     rows = marked.join(later, "id", "left")
     return rows.mapInArrow(_remove(length), "doc_id long, n_words long, n_removed long, kept_text string")
 

@@ -471,3 +471,18 @@ def test_archives_are_read_by_many_tasks(spark, tmp_path):
     busy = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and out.rdd.getNumPartitions() == 4
     assert len(busy) >= 3 and sum(r["count"] for r in busy) == 400
+
+
+def test_windows_of_one_first_hash_are_told_apart(spark, monkeypatch):
+    texts = [" ".join(f"d{d}w{i}" for i in range(20)) for d in range(4)] + [" ".join(f"d1w{i}" for i in range(20)) + " more"]
+    df = frame(spark, texts)
+    h, at, _ = substrings._windows(pa.array(texts), 20)
+    g = substrings._second(pa.array(texts), 20, at)
+    assert len(set(g.tolist())) == len(set(h.tolist())) == 5 and not set(g.tolist()) & set(h.tolist())
+    found = spark.createDataFrame([(1, 10, 0), (1, 11, 1), (1, 10, 2), (2, 10, 3)], "h long, g long, id long")
+    monkeypatch.setattr(substrings, "_candidates", lambda *a: found)
+    monkeypatch.setattr(substrings, "_remove", lambda length: lambda batches: (pa.RecordBatch.from_pydict({
+        "doc_id": b["id"], "n_words": pa.array([len(x or []) for x in b["later"].to_pylist()], pa.int64()),
+        "n_removed": pa.array([0] * b.num_rows, pa.int64()), "kept_text": pa.array([""] * b.num_rows)}) for b in batches))
+    marked = {r.doc_id: r.n_words for r in substrings.remove_repeats(df).collect()}
+    assert marked == {0: 0, 1: 0, 2: 1, 3: 0, 4: 0}
