@@ -7,8 +7,8 @@ and subdivided. A text heavier than a range is cut between ids. With exact sums
 record's place in the whole order follows from running sums within its range, and shard s takes
 the places whose bytes lie in the s-th of equal shares. Only slim rows (id, size, hashes) are moved.
 
-A group of equal texts stays in one shard if it has at most ``GROUP_SHARE`` of a shard's bytes; larger
-ones are cut like other records. Shards so differ by a record, or that share, at most.
+A group of equal texts stays in one shard if it has at most ``GROUP_SHARE`` of a shard's bytes: no range begins within it,
+however thin ranges are. Larger ones are cut like other records. Shards so differ by a record, or that share, at most.
 
 Edge cases: a null or empty text has 16 bytes. Repeated rows are separate records. Rows without an
 id come before others of the same text. With fewer records than shards some shards are empty; no
@@ -84,6 +84,16 @@ def _dealt(rows: DataFrame, splitters: list[tuple[int, int]]) -> DataFrame:
     return rows.mapInArrow(run, "id long, size long, crc long, h long, range long")
 
 
+def _uncut(splitters: list[tuple[int, int]], slim: DataFrame, least: int) -> list[tuple[int, int]]:
+    """The splitters, those within a text lighter than ``least`` moved to its beginning, by exact weights of the texts they cut."""
+    cut = sorted({h for h, i in splitters if i != _LOWEST})
+    if not cut:
+        return splitters
+    asked = F.broadcast(slim.sparkSession.createDataFrame([(h,) for h in cut], "h long"))  # a row per splitter at most
+    light = {r.h for r in slim.join(asked, "h").groupBy("h").agg(F.sum("size").alias("weight")).collect() if r.weight <= least}
+    return sorted({(h, _LOWEST if h in light else i) for h, i in splitters})
+
+
 def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``size``, ``text_crc32``, ``law`` (``bytes``), ``shard``, ``slot``, ``grown_shard`` (null)."""
     spark = docs.sparkSession
@@ -95,7 +105,8 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
     n, total = slim.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     ranges = min(MOST_RANGES, max(RANGES_PER_SHARD * shards, -(-n // RANGE_ROWS)))
 
-    splitters = _splitters(*_sample(slim, ranges * SAMPLES / max(1, total), 1), ranges)
+    whole_text = int(GROUP_SHARE * total / shards)
+    splitters = _uncut(_splitters(*_sample(slim, ranges * SAMPLES / max(1, total), 1), ranges), slim, whole_text)
     for step in range(ROUNDS):
         dealt = _dealt(slim, splitters)
         counted = dealt.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.max("size").alias("most")).collect()  # a row per range
@@ -103,10 +114,12 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
         if not full or step == ROUNDS - 1:
             break
         inside = dealt.where(F.col("range").isin(list(full))).drop("range")
-        h, i, w = _sample(inside, 4 ** (step + 1) * ranges * SAMPLES / max(1, total), 2 + step)
+        # denser in every round, within what the driver takes
+        dense = min(4 ** (step + 1) * ranges * SAMPLES / max(1, total), 4 * MOST_RANGES * SAMPLES / sum(full.values()))
+        h, i, w = _sample(inside, dense, 2 + step)
         of = _ranges(h, i, np.array(splitters, np.int64).reshape(-1, 2))
         more = [x for k, b in full.items() for x in _splitters(h[of == k], i[of == k], w[of == k], int(-(-b * ranges // total)))]
-        grown = sorted({*splitters, *more})
+        grown = sorted({*splitters, *_uncut(more, slim, whole_text)})
         if len(grown) == len(splitters):
             break
         splitters = grown
@@ -128,7 +141,7 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
         "start": F.col("bytes_before") + F.coalesce(F.sum("size").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long")),
         "row": F.col("rows_before") + F.row_number().over(along) - 1})
     run = run.withColumns({"from": F.min("start").over(group), "weight": F.sum("size").over(group)})
-    whole = F.col("weight") <= F.lit(int(GROUP_SHARE * total / shards))
+    whole = F.col("weight") <= F.lit(whole_text)
     middle = F.when(whole, F.col("from") * 2 + F.col("weight")).otherwise(F.col("start") * 2 + F.col("size"))
     share = F.least(F.lit(shards - 1), F.expr("middle * {0} div {1}".format(shards, max(1, 2 * total)))).cast("int")
     run = settle(run.withColumn("middle", middle).withColumn("shard", share).select("id", "size", "crc", "row", "shard"), "shards")

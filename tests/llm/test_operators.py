@@ -1,6 +1,7 @@
 """The operators on small and awkward input: nulls, empty and long texts, ties, repeats, no rows, clashing columns."""
 
 import io
+import math
 import random
 import re
 import zipfile
@@ -486,3 +487,21 @@ def test_windows_of_one_first_hash_are_told_apart(spark, monkeypatch):
         "n_removed": pa.array([0] * b.num_rows, pa.int64()), "kept_text": pa.array([""] * b.num_rows)}) for b in batches))
     marked = {r.doc_id: r.n_words for r in substrings.remove_repeats(df).collect()}
     assert marked == {0: 0, 1: 0, 2: 1, 3: 0, 4: 0}
+
+
+def test_light_texts_are_whole_where_ranges_are_thin(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGES_PER_SHARD", 300)
+    monkeypatch.setattr(sharding, "GROUP_SHARE", 0.4)
+    texts = [f"group {g} " + "x" * (g % 7) for g in range(25)] * 40 + [f"own {i}" for i in range(200)]
+    for shards in (2, 5):
+        rows = sharding.shard(frame(spark, texts), shards).collect()
+        of = {}
+        for r in rows:
+            of.setdefault(texts[r.doc_id], set()).add(r.shard)
+        assert all(len(x) == 1 for x in of.values()) and {r.shard for r in rows} == set(range(shards))
+    calls = []
+    real = sharding._sample
+    monkeypatch.setattr(sharding, "_sample", lambda rows, rate, salt: calls.append(rate) or real(rows, rate, salt))
+    monkeypatch.setattr(sharding, "MOST_RANGES", 4)
+    sharding.shard(frame(spark, texts), 2).collect()
+    assert calls and all(math.isfinite(c) for c in calls)
