@@ -13,7 +13,8 @@ from ...operators.lexicon import NOUN_ENDINGS, own_lemmas
 from ...operators.scoring import column_model, python_model
 from ..batch_job import CLEANED, cleaned_comments
 from ..dashboard import comment_report, dashboard_for
-from ...sources.feed import flatten_posts, join_posts
+from ...session import discard_at_exit, shared_dir
+from ...sources.feed import flatten_posts, join_posts, read_posts
 from ...sources.layout import land_comments, land_posts
 from .base import dealt, documents, query, quoted, table, words_sql, ORACLES
 from .cleaning import normalize_sql
@@ -96,6 +97,27 @@ def _nested(spark, sf):
     )
 
 
+@query(
+    "read_feed",
+    f"""WITH {_LINES_SQL}, good AS (SELECT * FROM lines WHERE lang IN ('en', 'fr'))
+    SELECT CAST(doc_id AS VARCHAR) AS post_id, body AS comment_text, CAST(NULL AS VARCHAR) AS reason FROM good WHERE i > 0
+    UNION ALL SELECT CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CASE lang WHEN 'de' THEN 'malformed' ELSE 'missing community' END FROM documents WHERE lang NOT IN ('en', 'fr')
+    """.replace("source, unnest", "source, lang, unnest"),
+)
+def read_feed(spark, sf):
+    """Nested posts from JSON lines, some of them broken or without their community."""
+    posts = _nested(spark, sf).join(table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("post_id"), "lang"), "post_id")
+    fields = ["post_id", "title", "selftext", "created_utc", F.lit(1).alias("score"), "comments"]
+    whole = F.to_json(F.struct(*fields, F.col("lang").alias("community")))
+    line = F.when(F.col("lang") == "de", F.concat(F.lit("{"), whole)).when(F.col("lang") == "es", F.to_json(F.struct(*fields))).otherwise(whole)
+    path = shared_dir(spark, "feed")
+    posts.select(line.alias("value")).write.text(path)
+    discard_at_exit(spark, path)
+    good, bad = read_posts(spark, path)
+    shown = flatten_posts(good).select("post_id", "comment_text", F.lit(None).cast("string").alias("reason"))
+    return shown.unionByName(bad.select("reason"), allowMissingColumns=True)
+
+
 @query(
     "flatten_posts_all",
     f"""WITH {_LINES_SQL}

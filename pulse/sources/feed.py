@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.periods import epoch_to_string
+from .files import read_jsonl
 
 COMMENT = T.StructType([
     T.StructField("rank", T.IntegerType()),
@@ -25,6 +26,14 @@ POSTS = T.StructType([
 ])
 
 
+def read_posts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Landed posts, a JSON object per line with its comments nested, as ``(posts, bad)``.
+
+    ``bad`` has the lines that are broken or lack a field of :data:`POSTS`, each with its ``reason``; a comment may lack fields.
+    """
+    return read_jsonl(spark, path, POSTS)
+
+
 def flatten_posts(posts: DataFrame, n: int | None = None, zone: str = "UTC") -> DataFrame:
     """Nested posts to one row per comment, post columns repeated.
 
