@@ -169,9 +169,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 pa.ListArray.from_arrays(cuts, pa.array(count.astype(np.int32))), *_likeness(found[0], row, len(each))],
                 ["grade", "feature", "count", "like_a", "like_b"])
 
-    # copies would make every word of one text look typical: near copies mostly agree in one of two least hashes
+    # copies would make every word of one text look typical: near copies mostly agree in one of two least hashes.
+    # Which one stays follows from the rows alone, so a fit gives the same weights again
     spread_rows = joined.mapInArrow(spread, "grade int, feature array<long>, count array<int>, like_a long, like_b long")
-    sample = settle(spread_rows.dropDuplicates(["like_a"]).dropDuplicates(["like_b"]), "toxicity-sample")
+    columns, place = ("grade", "feature", "count", "like_a", "like_b"), F.xxhash64("grade", "feature", "count", "like_a", "like_b")
+    for like in ("like_a", "like_b"):
+        spread_rows = spread_rows.groupBy(F.col(like).alias("like")).agg(F.min_by(F.struct(*columns), place).alias("row")).select("row.*")
+    sample = settle(spread_rows.select("grade", "feature", "count"), "toxicity-sample")
     total, high = sample.agg(F.count("*"), F.sum((F.col("grade") > 0).cast("long"))).first()
     if not total or not high or high == total:
         return Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))

@@ -505,3 +505,15 @@ def test_light_texts_are_whole_where_ranges_are_thin(spark, monkeypatch):
     monkeypatch.setattr(sharding, "MOST_RANGES", 4)
     sharding.shard(frame(spark, texts), 2).collect()
     assert calls and all(math.isfinite(c) for c in calls)
+
+
+def test_severity_is_fitted_alike_however_rows_lie(spark):
+    rng = random.Random(3)
+    texts = [prose(30, i) + (" vile awful" if i % 3 == 0 else "") for i in range(90)]
+    texts += [t.replace("w1 ", "w2 ") for t in texts[:40]] + texts[:20]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int("vile" in t and rng.random() < 0.9)) for i, t in enumerate(texts)], "doc_id long, toxic int")
+    fits = [toxicity.fit(docs.repartition(n, "doc_id"), labels.repartition(m)) for n, m in ((1, 1), (7, 3), (4, 8))]
+    for other in fits[1:]:
+        assert all((np.asarray(getattr(fits[0], f)) == np.asarray(getattr(other, f))).all() for f in fits[0].__dataclass_fields__)
+    assert len(fits[0].features) and len(fits[0].thresholds)
