@@ -98,7 +98,7 @@ def versions(spark, sf):
     for pull in (rows, edited, rows.where(F.col("event_id") % 2 == 0)):
         pull.coalesce(1).write.mode("append").parquet(folder)
     stream = newer_versions(table_stream(spark, folder, rows.schema, files_per_batch=1), "event_id", "version", "ts", "40 days")
-    run_batches(stream, state, lambda batch, n: batch.write.mode("overwrite").parquet(f"{sink}/batch={n:010d}"), "update")
+    run_batches(stream, state, lambda batch, n: batch.write.mode("overwrite").parquet(f"{sink}/batch={n:010d}"))
     for path in (folder, sink, state):
         discard_at_exit(spark, path)
     written = spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(sink)

@@ -7,19 +7,17 @@ periods there are and are therefore a view over the written totals.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.periods import period_start
 from ..operators.aggregates import TABLE_LABELS
 from ..operators.periods import period_number
 from ..operators.scoring import Model, with_predictions
-from ..session import delete_folder, ship_package, whole_tables
+from ..session import delete_folder, whole_tables
 from ..settle import settle
 from .live import event_time
 
@@ -42,37 +40,15 @@ def first_arrivals(comments: DataFrame, key: str, ts_col: str = "comment_created
 
 
 def newer_versions(comments: DataFrame, key: str, version_col: str, ts_col: str = "edited", delay: str = "7 days") -> DataFrame:
-    """Rows whose ``version_col`` (a whole number) is above all that their ``key`` had: new comments and edits, without repeats.
+    """Each version of each ``key`` once: new comments and edits, without repeats. :func:`latest` makes them a table.
 
-    ``ts_col`` is when a version was made. A key without a new row for ``delay`` is forgotten. The stream runs in
-    update mode; :func:`latest` makes its rows a table. Of several versions in a batch only the newest comes out. Rows without a time, key or version are dropped.
+    ``ts_col`` is when a version was made; one is remembered for ``delay`` after that. An old version that arrives after
+    a newer one comes out too, and loses in the table. Rows without a time, key or version are dropped. State is one entry per version
+    of the delay, and no row leaves the JVM.
     """
-    spark = comments.sparkSession
-    ship_package(spark)
-    span = spark.range(1).select(F.expr(f"(timestamp '1970-01-01 00:00:00 UTC' + interval '{delay}')").cast("long").alias("s")).first().s * 1000
-    columns, schema = comments.columns, comments.schema
-    timed = comments.withColumn("_event_time", event_time(comments, ts_col))
-    timed = timed.where(F.col("_event_time").isNotNull() & F.col(key).isNotNull() & F.col(version_col).isNotNull())
-    timed = timed.withWatermark("_event_time", delay).withColumns({"_ms": F.unix_millis("_event_time"), "_key": F.col(key)})
-
-    def newest(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        best, latest_ms = None, state.getCurrentWatermarkMs()
-        for frame in frames:
-            latest_ms = max(latest_ms, int(frame["_ms"].max()))
-            top = frame.loc[[frame[version_col].idxmax()]]
-            if best is None or top[version_col].iloc[0] > best[version_col].iloc[0]:
-                best = top
-        seen = state.get[0] if state.exists else None
-        if best is not None and (seen is None or best[version_col].iloc[0] > seen):
-            state.update((int(best[version_col].iloc[0]),))
-            yield best[columns]
-        state.setTimeoutTimestamp(latest_ms + span)
-
-    return timed.groupBy("_key").applyInPandasWithState(
-        newest, schema, "version long", "update", GroupStateTimeout.EventTimeTimeout)
+    known = comments.where(F.col(key).isNotNull() & F.col(version_col).isNotNull())
+    timed = known.withColumn("_event_time", event_time(comments, ts_col)).where(F.col("_event_time").isNotNull())
+    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key, version_col]).drop("_event_time")
 
 
 def latest(rows: DataFrame, key: str, version_col: str) -> DataFrame:

