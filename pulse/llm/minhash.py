@@ -7,7 +7,7 @@ scattered cells are shifted by k around the circle. Bands of coordinates are the
 Documents with equal shingle sets form a class and only its smallest id goes on. In every bucket
 all members are compared with its smallest member on full sets, and links are joined to
 components. Buckets that still hold several components are then worked through pair by pair, in
-blocks: pairs in one component are skipped, pairs whose signatures differ by six standard errors
+blocks: the members outside a bucket's largest component meet all, pairs in one component are skipped, pairs whose signatures differ by six standard errors
 more than a link may are skipped, pairs that share an earlier band are left to that bucket, and all
 others are verified on full sets. So every pair of texts that shares a bucket is linked or proven
 not to be, or lies in one component already, but no bucket emits its pairs.
@@ -192,19 +192,37 @@ def link_members(key: int, ids, comps, side, sets, bands, sketches, percent: int
     return links
 
 
+def dealt(wide: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, each once per cell of blocks in which it is compared.
+
+    Members of a bucket's largest component need not be compared with each other. So only the others are
+    compared with all: a bucket of m members of which r lie outside its largest component gives
+    about m * r / BLOCK + m rows. A bucket that fits in one block is one cell.
+    """
+    parts = wide.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    bulk = parts.groupBy("key").agg(
+        F.max(F.struct("rows", "shingles", "comp")).alias("most"), F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"), F.count("*").alias("comps"))
+    blocks = lambda rows, shingles: F.greatest(F.ceil(rows / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    fits = blocks(F.col("rows"), F.col("shingles")) <= 1
+    rest = F.when(fits, 1).otherwise(blocks(F.col("rows") - F.col("most.rows"), F.col("shingles") - F.col("most.shingles")))
+    most = F.when(fits, 0).otherwise(blocks(F.col("most.rows"), F.col("most.shingles")))
+    bulk = bulk.where("comps > 1").select("key", "most.comp", rest.alias("rest"), most.alias("most"))
+    rows = wide.join(bulk.withColumnRenamed("comp", "bulk"), "key")
+    apart = (F.col("most") > 0) & (F.col("comp") == F.col("bulk"))
+    some = F.xxhash64("id", "key")
+    mine = F.when(apart, F.col("rest") + F.pmod(some, "most")).otherwise(F.pmod(some, "rest")).cast("int")
+    others = F.sequence(F.lit(0), F.col("rest") - 1 + F.when(apart, 0).otherwise(F.col("most")))
+    rows = rows.select("key", "id", "comp", "head", mine.alias("side"), F.explode(others).alias("other"))
+    return rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp", "head")
+
+
 def _links_between(shared: DataFrame, reps: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame | None:
     """Further links in buckets of three or more that hold several components."""
     labels = comps.select(F.col("node").alias("id"), "component")
-    wide = shared.where("m > 2").join(labels, "id", "left").select("key", "id", "n", "m", "head", F.coalesce("component", "id").alias("comp"))
-    wide = settle(wide, "near-wide")
-    mixed = wide.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("shingles")).where("x <> y").select("key", "shingles")
-    rows = settle(wide.join(mixed, "key"), "near-mixed")
+    wide = shared.where("m > 2").join(labels, "id", "left").select("key", "id", "n", "head", F.coalesce("component", "id").alias("comp"))
+    rows = settle(dealt(settle(wide, "near-wide")), "near-mixed")
     if rows.isEmpty():
         return None
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    mine = F.pmod(F.xxhash64("id", "key"), blocks).cast("int")
-    rows = rows.withColumns({"side": mine, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    rows = rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp", "head")
     full = rows.join(reps.select("id", "bands", "sketch"), "id").join(sets, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,8 +250,8 @@ def _links_between(shared: DataFrame, reps: DataFrame, sets: DataFrame, comps: D
             yield out(links)
         yield out(done())
 
-    dealt = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return settle(dealt.select("key", "i", "j", "id", "comp", "side", "head", "set", "bands", "sketch").mapInArrow(run, "a long, b long"), "near-links")
+    cells = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return settle(cells.select("key", "i", "j", "id", "comp", "side", "head", "set", "bands", "sketch").mapInArrow(run, "a long, b long"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

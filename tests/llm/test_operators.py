@@ -228,6 +228,22 @@ def test_a_large_group_of_near_copies(spark, monkeypatch, block):
     assert got == dict(enumerate(want))
 
 
+def test_rows_of_a_split_bucket_grow_with_its_members(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 500)
+    few = lambda m: spark.range(m).select(
+        F.lit(1).alias("key"), "id", F.lit(100).cast("long").alias("n"), F.lit(0).cast("long").alias("head"), F.when(F.col("id") % 1000 == 7, F.col("id")).otherwise(0).alias("comp"))
+    for m in (10_000, 20_000):
+        assert minhash.dealt(few(m)).count() <= m + (m // 1000) * (m // 500 + 2)
+    got = minhash.dealt(few(5000)).select("id", "comp", "side", F.struct("i", "j").alias("cell")).collect()
+    cells = {}
+    for r in got:
+        cells.setdefault(r.cell, []).append(r)
+    met = {(a.id, b.id) for c, x in cells.items() for a in x if a.comp for b in x if a.id != b.id and (c.i == c.j or a.side != b.side)}
+    assert met == {(a, b) for a in range(7, 5000, 1000) for b in range(5000) if a != b}  # each outsider with all
+    assert minhash.dealt(few(400)).groupBy("i", "j").count().collect() == [(0, 0, 400)]
+    assert minhash.dealt(few(5)).count() == 0  # one component
+
+
 def test_a_block_without_the_head_compares_its_smallest_member():
     sets = [np.arange(100, dtype=np.uint64) + np.uint64(k) for k in (0, 1, 5000)]
     sketches = [minhash.signature(np.sort(x << np.uint64(44)), 64).astype(np.uint8) for x in sets]
