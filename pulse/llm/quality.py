@@ -3,13 +3,19 @@
 Every rule votes good, bad or abstains. Expectation maximisation over the observed patterns of votes
 estimates, without labels, the share of good documents and how often each rule votes each way on good
 and on bad ones. A document is kept by its posterior probability of being good, not by passing every
-rule. Documents that fail the base limits are judged by those alone and left out of the estimate. There are at most 3^8 patterns, counted before anything is moved; each step of the estimation is
-an aggregate over that small written table. DataFrame functions only.
+rule. Documents that fail the base limits are judged by those alone and left out of the estimate.
+Patterns of votes are counted in one job; there are at most 3^8, whatever the number of documents, and
+the steps of the estimation run over these counts. The posterior is a column expression. DataFrame functions only.
+
+Three kinds of evidence have two rules each (word length, symbols, repeats), although the estimate takes rules to
+be independent given quality. They are kept apart on purpose: faults hardly ever meet in one document, so where each kind has
+one rule no two votes agree on anything, one group of documents explains the counts as well as two, and the estimate keeps all.
 
 Edge cases: a null text has no words; documents without words get no vote from the rules that
 divide by words or characters. All rules abstaining leaves the share of good documents as the
-posterior. Repeated rows count as often as they occur. An empty table gives no rows. Columns besides
-id and text are never read.
+posterior, weighed by how often each rule abstains on either kind. A posterior of exactly ``LIMIT`` keeps
+the document. Repeated rows count as often as they occur. Texts are never cut, however long. An empty
+table gives no rows. Columns besides id and text are never read.
 """
 
 from __future__ import annotations
@@ -88,7 +94,7 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     of = lambda a, b: F.try_divide(F.col(a), F.col(b))
     return made.withColumns({
         "word_length": of("word_chars", "n_words"), "symbol_share": of("n_symbols", "word_chars"), "capital_share": of("n_capitals", "word_chars"),
-        "repeated_line_share": of("n_dup_lines", "n_lines"), "repeated_word_share": of("n_repeat_words", "n_words"), 
+        "repeated_line_share": of("n_dup_lines", "n_lines"), "repeated_word_share": of("n_repeat_words", "n_words"),
         "symbol_runs": of("n_runs", "n_words"), "exclamations": of("n_exclamations", "n_words")})
 
 
@@ -107,33 +113,40 @@ def _posterior(names: list[str], odds: float, ratios: list[dict[int, float]]) ->
     return 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), total))))
 
 
-def estimate(patterns: DataFrame, names: list[str]) -> Column | None:
-    """The posterior as a column expression over the votes; None for no patterns. ``patterns``: votes and ``n``."""
-    seen = patterns.agg(F.sum("n"), *[F.sum(F.col("n") * (F.col(c) == v).cast("long")) for c in names for v in (-1, 0, 1)]).first()
-    total = seen[0]
-    if not total:
-        return None
-    each = [{v: seen[1 + 3 * j + k] for k, v in enumerate((-1, 0, 1))} for j in range(len(names))]
+def fit(counts: dict[tuple[int, ...], int], clamp: bool = True) -> tuple[float, list[dict[int, float]]]:
+    """Log odds of good and, for each rule, the log ratio of each vote, from the number of documents per pattern of votes.
+
+    ``clamp`` keeps a vote from speaking against itself: a good vote that is commoner on bad documents, or a bad one on
+    good documents, weighs nothing.
+    """
+    total, rules = sum(counts.values()), range(len(next(iter(counts))))
+    each = [{v: sum(n for p, n in counts.items() if p[j] == v) for v in (-1, 0, 1)} for j in rules]
     # it starts from the belief that a bad vote is mostly right
-    good = F.when(F.least(*names) < 0, 0.1).otherwise(0.9)
-    share = None
+    good, share = {p: 0.1 if min(p) < 0 else 0.9 for p in counts}, None
     for _ in range(STEPS):
-        sums = patterns.agg(F.sum(F.col("n") * good), *[F.sum(F.col("n") * good * (F.col(c) == v).cast("int")) for c in names for v in (-1, 0, 1)]).first()
-        before, share = share, (sums[0] + PRIOR_COUNT) / (total + 2 * PRIOR_COUNT)
+        weight = {p: n * good[p] for p, n in counts.items()}
+        on_good = math.fsum(weight.values())
+        before, share = share, (on_good + PRIOR_COUNT) / (total + 2 * PRIOR_COUNT)
         ratios = []
-        for j in range(len(names)):
-            ratio = {}
-            for k, v in enumerate((-1, 0, 1)):
-                on_good = sums[1 + 3 * j + k]
-                p = (on_good + PRIOR_COUNT) / (sums[0] + 3 * PRIOR_COUNT)
-                q = (each[j][v] - on_good + PRIOR_COUNT) / (total - sums[0] + 3 * PRIOR_COUNT)
-                ratio[v] = math.log(p / q)
-            ratio[1], ratio[-1] = max(ratio[1], 0.0), min(ratio[-1], 0.0)  # a vote never speaks against itself
+        for j in rules:
+            seen = {v: math.fsum(w for p, w in weight.items() if p[j] == v) for v in (-1, 0, 1)}
+            ratio = {v: math.log((seen[v] + PRIOR_COUNT) / (on_good + 3 * PRIOR_COUNT)
+                                 / ((each[j][v] - seen[v] + PRIOR_COUNT) / (total - on_good + 3 * PRIOR_COUNT))) for v in (-1, 0, 1)}
+            if clamp:
+                ratio[1], ratio[-1] = max(ratio[1], 0.0), min(ratio[-1], 0.0)
             ratios.append(ratio)
-        good = _posterior(names, math.log(share / (1 - share)), ratios)
+        odds = math.log(share / (1 - share))
+        at = {p: odds + sum(r[v] for r, v in zip(ratios, p)) for p in counts}
+        good = {p: 1 / (1 + math.exp(-max(-700.0, min(700.0, x)))) for p, x in at.items()}
         if before is not None and abs(share - before) < CLOSE:
             break
-    return good
+    return odds, ratios
+
+
+def estimate(patterns: DataFrame, names: list[str]) -> Column | None:
+    """The posterior as a column expression over the votes; None for no patterns. ``patterns``: votes and ``n``, a row per pattern."""
+    counts = {tuple(r[c] for c in names): r["n"] for r in patterns.collect()}  # at most 3 to the power of the rules
+    return _posterior(names, *fit(counts)) if counts else None
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -142,8 +155,7 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     rows = measured(docs, key, text)
     rows = settle(rows.withColumns({n: vote(r) for n, r in zip(names, RULES)}), "quality-votes")
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
-    patterns = settle(rows.where(~failed).groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "quality-patterns")  # at most 3^8 rows
-    good = estimate(patterns, names)
+    good = estimate(rows.where(~failed).groupBy(*names).agg(F.count("*").alias("n")), names)
     good = F.lit(None).cast("double") if good is None else good
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
                        (~failed & F.coalesce(good >= LIMIT, F.lit(False))).alias("kept"), good.alias("quality"), *names)

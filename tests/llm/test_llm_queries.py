@@ -58,6 +58,41 @@ def test_quality_counts(spark, docs):
         assert not (r.base_failed and r.kept)
 
 
+def test_quality_is_what_plain_estimation_gives(spark):
+    """Document by document, in matrices, from the query's own votes; the clamp decides no document."""
+    from pulse.llm import quality
+
+    rows = [r for r in QUERIES["op2_quality_rules"](spark, FOLDER).collect() if not r.base_failed]
+    names = [f"vote_{i}" for i in range(len(quality.RULES))]
+    votes = np.array([[r[n] for n in names] for r in rows])
+    for clamp in (True, False):
+        good, share = np.where((votes < 0).any(axis=1), 0.1, 0.9), None
+        for _ in range(quality.STEPS):
+            before, share = share, (good.sum() + 1) / (len(good) + 2)
+            total = np.full(len(good), np.log(share) - np.log1p(-share))
+            for j in range(votes.shape[1]):
+                for v in (-1, 0, 1):
+                    cast = votes[:, j] == v
+                    ratio = np.log((good[cast].sum() + 1) / (good.sum() + 3)) - np.log(((1 - good)[cast].sum() + 1) / ((1 - good).sum() + 3))
+                    total[cast] += max(ratio, 0) if clamp and v == 1 else min(ratio, 0) if clamp and v == -1 else ratio
+            good = 1 / (1 + np.exp(-total))
+            if before is not None and abs(share - before) < quality.CLOSE:
+                break
+        if clamp:
+            assert np.allclose(good, [r.quality for r in rows], atol=1e-9)
+        assert [bool(x >= quality.LIMIT) for x in good] == [r.kept for r in rows]
+
+
+def test_a_tie_is_kept(spark):
+    from pulse.llm import quality
+
+    df = spark.createDataFrame([(1, -1, 5)], "a int, b int, n long")
+    odds, ratios = quality.fit({(1, -1): 5})
+    assert len(ratios) == 2 and np.isfinite(odds)
+    even = df.select(quality._posterior(["a"], 0.0, [{-1: -1.0, 0: 0.0, 1: 0.0}]).alias("p")).first().p
+    assert even == quality.LIMIT and even >= quality.LIMIT
+
+
 def test_quality_agrees_with_labels(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     rows = [r for r in QUERIES["op2_quality_rules"](spark, "/root/testdata/sf0.01").collect() if r.doc_id in labels and not r.base_failed]
