@@ -25,10 +25,10 @@ def csv_round_trip(spark, sf):
 
 @query("csv_split_read", "SELECT doc_id, replace(text, ' the ', ' \"the\"' || chr(10)) AS text, lang FROM documents")
 def csv_split_read(spark, sf):
-    # one file, whose texts are full of quotes and line breaks
+    # texts are full of quotes and line breaks; every task of the scan writes one file, whose ranges are read by themselves
     path = shared_dir(spark, "csv")
     text = F.replace("text", F.lit(" the "), F.lit(' "the"\n'))
-    write_csv(table(spark, sf, "documents").select("doc_id", text.alias("text"), "lang").coalesce(1), path)
+    write_csv(table(spark, sf, "documents").select("doc_id", text.alias("text"), "lang"), path)
     return read_split_csv(spark, path, _DOC)
 
 

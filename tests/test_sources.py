@@ -114,6 +114,20 @@ def test_only_parts_at_borders_are_moved(spark, ranges, tmp_path):
     assert "text" not in window[:window.index("FileScan parquet")]
 
 
+def test_the_split_csv_query_gathers_no_table_in_one_task(spark, ranges, tmp_path, monkeypatch):
+    from pulse.plans.queries import files
+
+    rows = [(i, f"of the {i} the end" if i % 7 else None, "en") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
+    ranges(4000)
+    paths, real = [], files.read_split_csv
+    monkeypatch.setattr(files, "read_split_csv", lambda spark, path, schema: paths.append(path) or real(spark, path, schema))
+    got = {tuple(r) for r in files.csv_split_read(spark, str(tmp_path)).collect()}
+    assert got == {(i, t and t.replace(" the ", ' "the"\n'), lang) for i, t, lang in rows}
+    written = spark.read.text(paths[0]).select("_metadata.file_path").distinct().count()
+    assert written > 1
+
+
 # --- layout
 
 
