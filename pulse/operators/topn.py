@@ -29,7 +29,8 @@ def top_posts(
 
     ``as_of`` is an argument, never the clock, so a rerun gives the same rows. Ties go to the
     smaller id. Both filters reach the scan. ``day_col`` names the day that a table is partitioned by: of
-    a table that :func:`.layout.land_posts` wrote, only the folders of the community and its days are read.
+    a table that :func:`.layout.land_posts` wrote, only the folders of the community and its days are read,
+    of months, quarters or years if it has those.
     """
     if lookback not in LOOKBACKS:
         raise ValueError(f"lookback must be one of {', '.join(LOOKBACKS)}, not {lookback!r}")
@@ -37,7 +38,10 @@ def top_posts(
     recent = (F.col(ts_col) > end - F.expr(LOOKBACKS[lookback])) & (F.col(ts_col) <= end)
     posts = df.where((F.col(community_col) == community) & recent)
     if day_col:
-        posts = posts.where(F.col(day_col).between((end - F.expr(LOOKBACKS[lookback])).cast("date"), end.cast("date")))
+        first, last = (end - F.expr(LOOKBACKS[lookback])).cast("date"), end.cast("date")
+        posts = posts.where(F.col(day_col).between(first, last))
+        if unit := df.schema[day_col].metadata.get("folder"):
+            posts = posts.where(F.col("day_folder").between(F.trunc(first, unit), F.trunc(last, unit)))
     return posts.orderBy(F.desc(score_col), F.asc(id_col)).limit(n)
 
 

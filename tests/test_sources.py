@@ -157,3 +157,25 @@ def test_bucketed_posts_join_without_an_exchange_and_prune_their_days(spark):
     read = landed.where((F.col("community") == "a") & (F.col("day") >= as_of.date() - timedelta(days=7)) & (F.col("day") <= as_of.date()))
     folders = {r[0].rsplit("/", 2)[1] for r in read.select("_metadata.file_path").distinct().collect()}
     assert folders == {f"day={(as_of - timedelta(days=d)).date()}" for d in range(8)}
+
+
+@pytest.mark.parametrize(("most", "unit"), [(40, "month"), (20, "quarter"), (7, "year"), (3, "year")])
+def test_posts_of_many_days_are_landed_in_few_folders(spark, most, unit):
+    start = datetime(2024, 1, 1)
+    rows = [(i, ["a", "b"][i % 2], start + timedelta(hours=31 * i), i % 17, f"t{i}") for i in range(300)] + [(900, None, None, 1, "t")]
+    posts = spark.createDataFrame(rows, "post_id long, community string, created timestamp_ntz, score int, post_title string")
+    comments = spark.createDataFrame([(i % 310, i) for i in range(2000)], "post_id long, comment long")
+    landed, turns = land_posts(posts, 2, most_folders=most), land_comments(comments, 2)
+    files = [r[0] for r in landed.select("_metadata.file_path").distinct().collect()]
+    assert len({f.rsplit("/", 1)[0] for f in files}) <= most and len(files) <= 2 * most
+    assert landed.schema["day"].metadata["folder"] == unit
+    assert sorted(map(tuple, landed.select(*posts.columns).collect()), key=str) == sorted(rows, key=str)
+    assert landed.where("day <> cast(created as date)").count() == 0
+    out = join_posts(landed, turns).select("post_id", "comment", "post_title")
+    want = join_posts(posts, comments).select("post_id", "comment", "post_title")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    for as_of, back in ((datetime(2024, 7, 2, 5), "week"), (datetime(2025, 1, 1, 12), "day"), (datetime(2024, 3, 31), "month")):
+        top, plain = top_posts(landed, "a", as_of, back, 5, day_col="day"), top_posts(posts, "a", as_of, back, 5)
+        assert [r.post_id for r in top.collect()] == [r.post_id for r in plain.collect()]
+        scan = top._jdf.queryExecution().executedPlan().toString()
+        assert "folder" in scan.split("PartitionFilters: [")[1].split("]")[0]
