@@ -29,6 +29,8 @@ from .scoring import Model
 
 #: Contributions to a gradient are whole numbers of this part of one.
 PART = 2.0**32
+#: Batches of at most so many rows, which lie in one file each, are one task: its step is a job of one stage, without a shuffle.
+SMALL_BATCH = 8192
 #: Cells of a sum that are not weights.
 _LOSS, _ROWS, _RIGHT = -1, -2, -3
 _RUN = "run string, epoch int, steps long, rate double, loss double, val_loss double, val_accuracy double"
@@ -242,11 +244,13 @@ def fit_epochs(
     if epochs := whole_tables(spark, f"{own}/epoch=*"):
         state = _load(spark, epochs[-1], shape, facts)
     held = written.where("batch = -1")
+    alone = settings.batch_rows <= SMALL_BATCH and int(spark.conf.get("spark.sql.shuffle.partitions")) // batches <= 1
     while len(state.history) < settings.epochs and not _stale(state.history, settings.patience):
         epoch = len(state.history) + 1
         loss = n = 0
         for b in np.random.default_rng([settings.seed, epoch]).permutation(batches):
-            gradient, seen = gradient_sums(written.where(F.col("batch") == int(b)), state.weights)
+            rows_of = written.where(F.col("batch") == int(b))
+            gradient, seen = gradient_sums(rows_of.coalesce(1) if alone else rows_of, state.weights)
             if not seen["rows"]:
                 continue
             rate = rate_at(settings, state.step)

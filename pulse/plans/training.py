@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Estimator
@@ -19,9 +20,11 @@ from ..operators.epochs import Settings, Trained, fit_epochs
 from ..operators.evaluate import best_run, last_is_best, metrics, report
 from ..operators.scoring import score_frame, with_predictions
 from ..operators.train import Fitted, fit
+from ..session import ship_package
 from ..settle import settle
 
 PROFILE = "training"
+RUNS_AT_ONCE = 4
 
 
 def training_rows(
@@ -69,9 +72,13 @@ def train_by_epochs(
 
     Kept is the epoch with the best accuracy on the validation rows over all runs. With ``last_only`` a run counts only if its last epoch was its
     best, and there may be none to keep. A call that was cut off goes on where it was, in the same ``folder``.
+    The steps of a run follow each other, each a small job; so up to ``RUNS_AT_ONCE`` runs go on side by side.
     """
     rows = settle(rows.select(key, "clean_text", "label", "split"), "training")
-    trained = {name: fit_epochs(rows, key, folder, profile, s, name, names=names, lemmas=lemmas) for name, s in runs.items()}
+    ship_package(rows.sparkSession)  # once, before several ask for it
+    with ThreadPoolExecutor(min(RUNS_AT_ONCE, max(1, len(runs)))) as pool:
+        begun = {name: pool.submit(fit_epochs, rows, key, folder, profile, s, name, names=names, lemmas=lemmas) for name, s in runs.items()}
+    trained = {name: run.result() for name, run in begun.items()}
     history = reduce(DataFrame.unionByName, [t.history for t in trained.values()])
     counted = history
     if last_only:

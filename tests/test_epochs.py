@@ -179,3 +179,35 @@ def test_a_batch_reads_its_own_files(spark):
 def test_hashed_words():
     z, row, ids, scale = epochs.logits(pa.array([[1, 1, 0], [], None], pa.list_(pa.int32())), np.arange(6.0).reshape(3, 2))
     assert z.shape == (3, 2) and np.allclose(z[1], [4, 5]) and np.allclose(z[0, 0], 4 + 4 / np.sqrt(3)) and len(ids) == 3
+
+
+def test_small_batches_are_steps_of_one_stage(spark, monkeypatch):
+    plans, real = [], epochs.gradient_sums
+
+    def seen(rows, weights, gradient=True):
+        plans.append((gradient, rows.rdd.getNumPartitions()))
+        return real(rows, weights, gradient)
+
+    monkeypatch.setattr(epochs, "gradient_sums", seen)
+    old = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        trained(spark, shared_dir(spark, "t"), epochs=1)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old[0])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[1])
+    steps = [n for gradient, n in plans if gradient]
+    assert len(steps) > 4 and set(steps) == {1}
+
+
+def test_runs_of_a_job_go_on_side_by_side(spark, monkeypatch):
+    import threading
+
+    from pulse.plans import training
+
+    meet, real = threading.Barrier(2, timeout=60), training.fit_epochs
+    monkeypatch.setattr(training, "fit_epochs", lambda *a, **kw: meet.wait() >= 0 and real(*a, **kw))
+    runs = {n: Settings(epochs=1, batch_rows=10**6, rate=r, bits=BITS) for n, r in (("slow", 1e-4), ("fast", 0.1))}
+    _, history, _, _ = train_by_epochs(labelled(spark), "id", shared_dir(spark, "t"), runs)
+    assert sorted(r.run for r in history.collect()) == ["fast", "slow"]
