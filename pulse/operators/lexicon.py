@@ -13,9 +13,15 @@ from pyspark.sql import functions as F
 
 from ..functions.binding import once
 from ..functions.text import split_words
+from ..functions.wordarrays import looked_up
+from ..session import ship_package
 from ..settle import settle
 
 
+#: A list of at most so many words is compared with every word in place.
+SHORT_LIST = 10_000
+
+
 def lookup_tokens(
     df: DataFrame, key: str, words: Column, table: DataFrame, value: str,
     default: Callable[[Column], Column], keep: Sequence[str] = (), into: str = "values",
@@ -35,12 +41,13 @@ def lookup_tokens(
     spread = rows.select(key, F.inline(F.when(F.size("_words") > 0, asked).otherwise(alone)))
     found = spread.join(entries, "_token", "left").where(F.col("_first") | F.col("_value").isNotNull())
     pair = F.when(F.col("_value").isNotNull(), F.struct("_token", "_value"))
-    whole = found.groupBy(key).agg(F.first("_own", ignorenulls=True).alias("_own"), F.map_from_entries(F.collect_list(pair)).alias("_known"))
-    held = F.coalesce(F.size("_known"), F.lit(0)) > 0
-    own = F.col("_own._words")
-    values = F.when(held, F.transform(own, lambda w: F.coalesce(F.try_element_at("_known", w), default(w)))).otherwise(
-        F.transform(own, default))
-    none = F.array().cast(f"array<{dict(table.dtypes)[value]}>")
+    whole = found.groupBy(key).agg(F.first("_own", ignorenulls=True).alias("_own"), F.collect_list(pair).alias("_known"))
+    own, kind = F.col("_own._words"), dict(table.dtypes)[value]
+    # a row's words are matched with what was found for it by numbers: a map would be searched from its beginning for each of them
+    ship_package(df.sparkSession)
+    whole = whole.withColumn("_values", looked_up(own, F.col("_known._token"), F.col("_known._value"), kind))
+    values = F.zip_with(own, "_values", lambda w, v: F.coalesce(v, default(w)))
+    none = F.array().cast(f"array<{kind}>")
     return whole.select(key, *[F.col("_own").getField(c).alias(c) for c in keep], F.coalesce(values, none).alias(into))
 
 
@@ -58,9 +65,16 @@ def apply_lexicon(df: DataFrame, key: str, tokens_col: str, lexicon: DataFrame)
 
 
 def drop_listed(df: DataFrame, key: str, text_col: str, listed: DataFrame) -> DataFrame:
-    """``key`` and ``text_col`` without the words of the table ``listed(word)``."""
+    """``key`` and ``text_col`` without the words of the table ``listed(word)``.
+
+    Up to ``SHORT_LIST`` words are compared where the texts are, and no text moves. A longer list is looked up by a join.
+    """
     marked = listed.select(F.col("word").alias("token"), F.lit("").alias("gone")).distinct()
     marked = settle(marked, "listed")
+    short = [r.token for r in marked.where(F.col("token").isNotNull()).select("token").limit(SHORT_LIST + 1).collect()]
+    if len(short) <= SHORT_LIST:
+        kept = F.filter(split_words(F.col(text_col)), lambda w: ~w.isin(short))
+        return df.select(key, F.coalesce(F.array_join(kept, " "), F.lit("")).alias(text_col))
     out = lookup_tokens(df, key, split_words(F.col(text_col)), marked, "gone", lambda w: w)
     kept = F.filter("values", lambda v: v != "")
     return out.select(key, F.array_join(kept, " ").alias(text_col))

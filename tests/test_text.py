@@ -102,3 +102,29 @@ def test_listed_words(spark):
     assert sorted(r.word for r in unlisted_words(counts, listed).collect()) == ["mice", "mouse"]
     lexicon = spark.createDataFrame([("mice", "mouse")], "token string, replacement string")
     assert {(r.word, r.n) for r in lemma_counts(counts, lexicon).collect()} == {("a", 3), ("mouse", 3)}
+
+
+def test_words_are_matched_by_numbers(spark):
+    from pulse.functions.wordarrays import looked_up, tallied
+
+    rows = [(["a", "b", "a", None], ["a", "c"], ["x", "y"]), ([], ["a"], ["z"]), (None, ["a"], ["z"]), (["c", "a"], [], []), (["b", "a"], ["b"], ["w"])]
+    df = spark.createDataFrame(rows, "w array<string>, t array<string>, v array<string>").coalesce(1)
+    got = df.select(looked_up(F.col("w"), F.col("t"), F.col("v"), "string").alias("l"), tallied(F.col("w")).alias("n")).collect()
+    assert [r.l for r in got] == [["x", None, "x", None], [], [], [None, None], ["w", None]]
+    assert [[tuple(p) for p in r.n] for r in got] == [[("a", 2), ("b", 1), (None, 1)], [], [], [("c", 1), ("a", 1)], [("b", 1), ("a", 1)]]
+
+
+def test_long_and_short_lists_drop_the_same_words(spark, monkeypatch):
+    from pulse.operators import lexicon
+
+    rows = spark.createDataFrame([(1, "a b  a c"), (2, ""), (3, None), (4, "a"), (5, "d")], "id int, t string")
+    listed = spark.createDataFrame([("a",), ("a",), (None,), ("c",)], "word string")
+    want = {1: "b", 2: "", 3: "", 4: "", 5: "d"}
+    short = drop_listed(rows, "id", "t", listed)
+    assert {r.id: r.t for r in short.collect()} == want
+    assert "Exchange" not in short._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(lexicon, "SHORT_LIST", 1)
+    long = drop_listed(rows, "id", "t", listed)
+    assert {r.id: r.t for r in long.collect()} == want
+    # the words of a text are not searched one by one in a map
+    assert "map_from_entries" not in long._jdf.queryExecution().executedPlan().toString()
