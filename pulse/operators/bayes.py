@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.binding import once
 from ..functions.labels import SENTIMENTS
 from ..functions.text import split_words
+from ..functions.wordarrays import tallied
+from ..session import ship_package
 from ..settle import settle
 from .scoring import Model
 
@@ -28,17 +30,19 @@ class Bayes:
     def predict(self, df: DataFrame, key: str, text_col: str = "clean_text") -> DataFrame:
         """Add ``logits``: the prior and the words that training saw, each as often as it occurs.
 
-        Words are looked up first and their numbers summed where they are, then by ``key``, which must be unique.
+        A row's distinct words are looked up with their counts, and their numbers summed where they are, then by ``key``, which must be unique.
         A row's columns travel with its first word, so nothing is joined with itself and texts are worked on
         once. A text without known words has the priors.
         """
         z = [f"z{i}" for i in range(len(self.priors))]
         rows = once(df.select(key, F.struct(*df.columns).alias("_row"), text_col), _words=split_words(F.col(text_col)))
-        asked = F.transform("_words", lambda w, i: F.struct(w.alias("word"), F.when(i == 0, F.col("_row")).alias("_own")))
-        alone = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.col("_row").alias("_own")))
+        ship_package(df.sparkSession)
+        rows = rows.withColumn("_words", tallied(F.col("_words")))
+        asked = F.transform("_words", lambda w, i: F.struct(w["word"].alias("word"), w["n"].alias("_n"), F.when(i == 0, F.col("_row")).alias("_own")))
+        alone = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(None).cast("long").alias("_n"), F.col("_row").alias("_own")))
         spread = rows.select(F.col(key).alias("_key"), F.inline(F.when(F.size("_words") > 0, asked).otherwise(alone)))
         known = spread.join(self.words, "word", "left").where(F.col("_own").isNotNull() | F.col(z[0]).isNotNull())
-        sums = known.groupBy("_key").agg(F.first("_own", ignorenulls=True).alias("_row"), *[F.sum(c).alias(c) for c in z])
+        sums = known.groupBy("_key").agg(F.first("_own", ignorenulls=True).alias("_row"), *[F.sum(F.col("_n") * F.col(c)).alias(c) for c in z])
         logits = F.array(*[F.lit(p) + F.coalesce(F.col(c), F.lit(0.0)) for c, p in zip(z, self.priors)])
         return sums.select(*[F.col("_row").getField(c).alias(c) for c in df.columns], logits.alias("logits"))
 

@@ -280,3 +280,17 @@ def test_lemmas_of_the_corpus_itself(spark):
     known = spark.createDataFrame([("dog",)], "word string")
     other = column_model(lambda t: F.array(F.lit(0.0)), names=("only",), rewrite=own_lemmas("id", known=known))
     assert {r.id: r.clean_text for r in enrich(df, other).collect()}[2] == "dog only dog children"
+
+
+def test_bayes_looks_up_distinct_words_of_a_text(spark):
+    from pulse.operators.bayes import fit_bayes
+
+    df = spark.createDataFrame([(1, "a b " * 500, 0), (2, "b", 1), (3, "new " * 9 + "a", 2)], "id long, clean_text string, label int")
+    model = fit_bayes(df.where("id < 3"), "serving")
+    out = model.predict(df, "id")
+    rows = {r.id: r.logits for r in out.collect()}
+    z = {r.word: [r.z0, r.z1, r.z2] for r in model.words.collect()}
+    assert all(abs(rows[1][i] - model.priors[i] - 500 * (z["a"][i] + z["b"][i])) < 1e-9 for i in range(3))
+    assert all(abs(rows[3][i] - model.priors[i] - z["a"][i]) < 1e-9 for i in range(3))
+    # words are counted in their row before they are spread
+    assert "tally(" in out._jdf.queryExecution().executedPlan().toString()
