@@ -15,7 +15,7 @@ from ..batch_job import CLEANED, cleaned_comments
 from ..dashboard import comment_report, dashboard_for
 from ...session import discard_at_exit, shared_dir
 from ...sources.feed import flatten_posts, join_posts, read_posts
-from ...sources.layout import land_comments, land_posts
+from ...sources.layout import deal_texts, land_comments, land_posts
 from .base import dealt, documents, query, quoted, table, words_sql, ORACLES
 from .cleaning import normalize_sql
 from .words import IRREGULAR, STEMS_SQL
@@ -84,14 +84,14 @@ _LINES_SQL = """lines AS (SELECT doc_id, source, unnest(string_split(text, chr(1
     FROM lines WHERE i < 5 AND i > 0""",
 )
 def flatten(spark, sf):
-    return flatten_posts(_nested(spark, sf), 5).select("post_id", "post_title", "post_created", "comment_text", "comment_created")
+    return flatten_posts(_nested(documents(spark, sf)), 5).select("post_id", "post_title", "post_created", "comment_text", "comment_created")
 
 
-def _nested(spark, sf):
+def _nested(docs):
     made = F.lit(1704067200) + F.col("doc_id")
     lines = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(
         i.alias("rank"), line.alias("body"), (made + i).alias("created_utc"), (i == 0).alias("stickied")))
-    return documents(spark, sf).select(
+    return docs.select(
         F.col("doc_id").cast("string").alias("post_id"), F.col("source").alias("title"),
         F.col("text").alias("selftext"), made.alias("created_utc"), lines.alias("comments"),
     )
@@ -106,7 +106,7 @@ def _nested(spark, sf):
 )
 def read_feed(spark, sf):
     """Nested posts from JSON lines, some of them broken or without their community."""
-    posts = _nested(spark, sf).join(table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("post_id"), "lang"), "post_id")
+    posts = _nested(documents(spark, sf)).join(table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("post_id"), "lang"), "post_id")
     fields = ["post_id", "title", "selftext", "created_utc", F.lit(1).alias("score"), "comments"]
     whole = F.to_json(F.struct(*fields, F.col("lang").alias("community")))
     line = F.when(F.col("lang") == "de", F.concat(F.lit("{"), whole)).when(F.col("lang") == "es", F.to_json(F.struct(*fields))).otherwise(whole)
@@ -127,7 +127,8 @@ def read_feed(spark, sf):
     FROM lines JOIN documents USING (doc_id) WHERE i > 0""",
 )
 def flatten_all(spark, sf):
-    return flatten_posts(_nested(spark, sf)).select(
+    docs = deal_texts(table(spark, sf, "documents"), "text", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return flatten_posts(_nested(docs)).select(
         "post_id", "post_title", "post_text", "post_created", "comment_text", "comment_created")
 
 

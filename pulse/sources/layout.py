@@ -1,7 +1,8 @@
-"""Posts and comments laid out for what is asked of them: joins by post, look-backs by community and day."""
+"""Posts and comments laid out for what is asked of them: joins by post, look-backs by community and day, texts in every row."""
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,21 @@ MOST_FOLDERS = 512
 #: Coarser folders, tried in this order, and the column that a table with them has.
 COARSER = ("month", "quarter", "year")
 FOLDER = "day_folder"
+#: Parquet keeps a column's different values once, in a dictionary, up to 1 MB of them in a row group; so many bytes of
+#: texts leave room for parts that get more than others.
+TEXTS_PER_PART = 768 << 10
+
+
+def deal_texts(posts: DataFrame, text_col: str = "selftext", least: int = 1, part_bytes: int = TEXTS_PER_PART) -> DataFrame:
+    """Posts dealt out so that the texts of a part, about ``part_bytes``, fit one Parquet dictionary; ``least`` parts at least.
+
+    For results that repeat a post's text in many rows, as :func:`.feed.flatten_posts` does: each file then has
+    the text once. Beyond its dictionary a file has it in every row, and pages are compressed by 64 KB at most, in
+    which long texts hardly repeat. Parts, and so files, grow with the texts; a text larger than a dictionary is in every row.
+    Posts are read twice: for the size of their texts, and to be dealt.
+    """
+    texts = posts.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return posts.repartition(max(least, math.ceil(texts / part_bytes)))
 
 
 def _land(df: DataFrame, name: str | None, path: str | None, buckets: int, folders: list[str], key: str) -> DataFrame:

@@ -2,15 +2,17 @@
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulse.operators.topn import top_posts
+from pulse.plans.queries import QUERIES
 from pulse.sources.feed import join_posts
 from pulse.sources.files import read_labelled_csv, write_csv
-from pulse.sources.layout import land_comments, land_posts
+from pulse.sources.layout import deal_texts, land_comments, land_posts
 from pulse.sources.splitcsv import read_split_csv, split_records
 
 ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("day", T.DateType())])
@@ -179,3 +181,28 @@ def test_posts_of_many_days_are_landed_in_few_folders(spark, most, unit):
         assert [r.post_id for r in top.collect()] == [r.post_id for r in plain.collect()]
         scan = top._jdf.queryExecution().executedPlan().toString()
         assert "folder" in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_post_text_repeated_with_every_comment_is_written_about_once(spark, tmp_path):
+    rng = random.Random(4)
+    texts = ["\n".join(rng.randbytes(1000).hex() for _ in range(20)) for _ in range(200)] + [None, "", "one line", "\n"]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)] + [(0, texts[0], "en", "s", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    made = str(tmp_path / "made")
+    QUERIES["flatten_posts_all"](spark, str(tmp_path)).write.parquet(made)
+    read = {}
+    for r in spark.read.parquet(made).collect():
+        read.setdefault((r.post_id, r.post_text), []).append(r.comment_text)
+    want = {}
+    for i, t, *_ in rows:
+        want.setdefault((str(i), t), []).extend((t or "").split("\n")[1:])
+    assert {k: sorted(v) for k, v in read.items()} == {k: sorted(v) for k, v in want.items() if v}
+    assert sum(p.stat().st_size for p in Path(made).glob("*.parquet")) < 2.5 * sum(len(t or "") for t in texts)
+
+
+def test_dealt_texts_keep_their_rows(spark):
+    none = spark.createDataFrame([], "id int, selftext string")
+    assert deal_texts(none, least=3).rdd.getNumPartitions() == 3 and deal_texts(none).count() == 0
+    rows = [(None, "é" * 50), (1, None), (1, None), (2, ""), (2, "x" * 1000)]
+    out = deal_texts(spark.createDataFrame(rows, "id int, selftext string"), part_bytes=300)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(rows, key=str) and out.rdd.getNumPartitions() == 4
